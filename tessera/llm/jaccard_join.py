@@ -37,7 +37,7 @@ from tessera.llm.shingles import shingle_sets
 #: Similarity as a fraction: 100 * intersection >= 75 * union.
 SIMILARITY = (75, 100)
 #: Tokens (hash range) that one counting group holds, and tokens of one block of documents.
-GROUP_TOKENS, BLOCK_TOKENS, BLOCK_DOCS = 1_000_000, 1_000_000, 60_000
+GROUP_TOKENS, BLOCK_TOKENS, BLOCK_DOCS = 1_000_000, 500_000, 60_000
 #: Classes of a family that one side of a block pair holds.
 FAMILY_BLOCK = 1024
 #: Lengths that a prefix may be extended to, and shared tokens then required.
