@@ -36,9 +36,19 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+#: Prefix of working columns that stand beside a caller's.
+OWN = "__tessera_"
+
+
+def named(docs: DataFrame, replaced: dict, dropped: tuple[str, ...] = ()) -> list:
+    """A caller's columns, some replaced; what an operator adds takes the place of a column of that name."""
+    out = {x.lower() for x in dropped}
+    return [replaced[c].alias(c) if c in replaced else docs[f"`{c}`"] for c in docs.columns if c.lower() not in out]
+
+
 def documents(docs: DataFrame) -> DataFrame:
-    """(doc_id, text) with a null text as the empty one; every other column stays out."""
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text"), F.lit("")).alias("text"))
+    """(doc_id, text) with a null text as the empty one; every other column stays out. A row without a doc_id is no document."""
+    return docs.where(F.col("doc_id").isNotNull()).select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text"), F.lit("")).alias("text"))
 
 
 def held_out(doc_id) -> "F.Column":

@@ -12,12 +12,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import materialize
+from tessera.llm.common import OWN, materialize, named
 
 MEAN_LINES = 4
 #: Weight of the line before in the rolling hash of two lines.
 ROLL = 31
-_LINES = r"split(text, '\n', -1)"
 
 
 def chunks(mean_lines: int = MEAN_LINES) -> str:
@@ -31,10 +30,11 @@ def line_dedup(docs: DataFrame, mean_lines: int = MEAN_LINES) -> DataFrame:
     """``docs`` with removed chunks taken out of ``text``, and n_lines, n_removed_lines.
 
     A null text stays null, an empty one is a single line that is never removed.
-    Rows that share a doc_id are one document and keep a chunk alike. All other
-    columns pass through; an empty table gives no rows.
+    Rows that share a doc_id are one document and keep a chunk alike; a row
+    without one keeps its text. All other columns pass through (but for those
+    named like the two added); an empty table gives no rows.
     """
-    held = docs.where("text is not null").select(F.col("doc_id"), F.expr(_LINES).alias("lines"))
+    held = docs.where(F.col("text").isNotNull() & F.col("doc_id").isNotNull()).select(F.col("doc_id"), F.split("text", "\n", -1).alias("lines"))
     cut = F.expr(f"filter({chunks(mean_lines)}, c -> size(filter(slice(lines, c.s + 1, c.e - c.s + 1), l -> l rlike '[^ \\t-\\r]')) > 1)")
     found = held.select("doc_id", "lines", F.explode(cut).alias("c"))
     found = found.select("doc_id", "c.s", "c.e", F.expr("xxhash64(slice(lines, c.s + 1, c.e - c.s + 1))").alias("k"))
@@ -44,13 +44,15 @@ def line_dedup(docs: DataFrame, mean_lines: int = MEAN_LINES) -> DataFrame:
     bodies = materialize(bodies.select("doc_id", "c.*", F.expr("array_join(slice(lines, c.s + 1, c.e - c.s + 1), '\n')").alias("body")), "bodies")
     first = bodies.groupBy("k", "body").agg(F.min(F.struct("doc_id", "s")).alias("first"), F.count("*").alias("n")).where("n > 1").drop("n")
     later = bodies.join(materialize(first, "first"), ["k", "body"]).where(F.struct("doc_id", "s") != F.col("first"))
-    gone = later.groupBy(F.col("doc_id").alias("_of")).agg(F.sort_array(F.collect_set(F.struct("s", "e"))).alias("_gone"))
-    out = docs.join(materialize(gone, "gone"), docs.doc_id == F.col("_of"), "left")
-    kept = F.expr(f"array_join(filter({_LINES}, (l, i) -> not exists(_gone, r -> i between r.s and r.e)), '\n')")
+    of, spans = f"{OWN}of", f"{OWN}gone"
+    gone = later.groupBy(F.col("doc_id").alias(of)).agg(F.sort_array(F.collect_set(F.struct("s", "e"))).alias(spans))
+    out = docs.join(materialize(gone, "gone"), docs.doc_id == F.col(of), "left")
+    text = docs["text"]
+    kept = F.array_join(F.filter(F.split(text, "\n", -1), lambda line, i: ~F.exists(F.col(spans), lambda r: i.between(r.s, r.e))), "\n")
     return out.select(
-        *[F.when(F.col("_gone").isNull(), F.col("text")).otherwise(kept).alias("text") if c == "text" else docs[c] for c in docs.columns],
-        F.coalesce(F.size(F.expr(_LINES)), F.lit(0)).cast("long").alias("n_lines"),
-        F.coalesce(F.expr("aggregate(_gone, 0L, (x, r) -> x + r.e - r.s + 1)"), F.lit(0)).alias("n_removed_lines"),
+        *named(docs, {"text": F.when(F.col(spans).isNull(), text).otherwise(kept)}, ("n_lines", "n_removed_lines")),
+        F.coalesce(F.size(F.split(text, "\n", -1)), F.lit(0)).cast("long").alias("n_lines"),
+        F.coalesce(F.aggregate(spans, F.lit(0).cast("long"), lambda x, r: x + r.e - r.s + 1), F.lit(0)).alias("n_removed_lines"),
     )
 
 

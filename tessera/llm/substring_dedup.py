@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import materialize
+from tessera.llm.common import OWN, materialize, named
 
 #: Words that a removed run has at least, and words below which a unit has no digest of its own.
 MIN_WORDS, SHORT = 10, 3
@@ -60,7 +60,7 @@ def _remove(min_words: int, short: int):
                 texts.append("".join([*kept, text[at:]]))
                 spans.append([{"start": a, "end": b, "source": s} for a, b, s in gone])
             kind = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64()), ("source", pa.int64())]))
-            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(texts, pa.string()), pa.array(spans, kind)], names=["_of", "_kept", "_spans"])
+            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(texts, pa.string()), pa.array(spans, kind)], names=[f"{OWN}of", f"{OWN}kept", f"{OWN}spans"])
 
     return run
 
@@ -69,19 +69,21 @@ def substring_dedup(docs: DataFrame, min_words: int = MIN_WORDS, short: int = SH
     """``docs`` with repeated runs taken out of ``text``, and removed: array of (start, end, source).
 
     A null text stays null; empty and blank texts have no units and stay. Rows
-    that share a doc_id are one document. All other columns pass through; an
-    empty table gives no rows.
+    that share a doc_id are one document; a row without one keeps its text. All
+    other columns pass through (but for one named removed); an empty table gives
+    no rows.
     """
-    held = docs.where("text is not null").select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    held = docs.where(F.col("text").isNotNull() & F.col("doc_id").isNotNull()).select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     units = held.select("doc_id", F.posexplode(F.expr(f"transform({_UNITS}, u -> {_NORMAL})")).alias("i", "u")).where(F.size(F.split("u", " ")) >= short)
     units = units.select("doc_id", "i", F.xxhash64("u").alias("h1"), F.xxhash64("u", F.lit(1)).alias("h2"))
     first = units.groupBy("h1", "h2").agg(F.min(F.struct("doc_id", "i")).alias("first"), F.count("*").alias("n")).where("n > 1").drop("n")
     later = units.join(materialize(first, "first"), ["h1", "h2"]).where(F.struct("doc_id", "i") != F.col("first"))
     marks = later.groupBy(F.col("doc_id").alias("d")).agg(F.collect_set(F.struct("i", F.col("first.doc_id").alias("source"))).alias("marks"))
     cut = held.join(materialize(marks, "marks"), F.col("doc_id") == F.col("d")).select("doc_id", F.expr(_UNITS).alias("units"), "marks")
-    cut = cut.mapInArrow(_remove(min_words, short), f"_of long, _kept string, _spans {_SPANS}").where(F.size("_spans") > 0)
-    out = docs.join(materialize(cut.dropDuplicates(["_of"]), "kept"), docs.doc_id == F.col("_of"), "left")
+    of, kept, spans = f"{OWN}of", f"{OWN}kept", f"{OWN}spans"
+    cut = cut.mapInArrow(_remove(min_words, short), f"{of} long, {kept} string, {spans} {_SPANS}").where(F.size(spans) > 0)
+    out = docs.join(materialize(cut.dropDuplicates([of]), "kept"), docs.doc_id == F.col(of), "left")
     return out.select(
-        *[F.when(F.col("_of").isNull(), F.col("text")).otherwise(F.col("_kept")).alias("text") if c == "text" else docs[c] for c in docs.columns],
-        F.coalesce("_spans", F.expr(f"cast(array() as {_SPANS})")).alias("removed"),
+        *named(docs, {"text": F.when(F.col(of).isNull(), docs["text"]).otherwise(F.col(kept))}, ("removed",)),
+        F.coalesce(spans, F.expr(f"cast(array() as {_SPANS})")).alias("removed"),
     )
