@@ -131,10 +131,11 @@ def fit(texts: list[bytes], labels: np.ndarray, epochs: int = EPOCHS, seed: int
     return net
 
 
-def training_rows(docs: DataFrame, labels: DataFrame, label: str, sample: int) -> tuple[list[str], np.ndarray]:
-    """At most ``sample`` texts of each label, the first by a hash of the id; never of the held-out fold."""
+def training_rows(docs: DataFrame, labels: DataFrame, label: str, sample: int | tuple[int, int]) -> tuple[list[str], np.ndarray]:
+    """At most ``sample`` texts of each label (or so many of label 0, of label 1), the first by a hash of the id; never of the held-out fold."""
     marked = labels.where(~held_out(F.col("doc_id")) & F.col(label).isin(0, 1)).select(F.col("doc_id").cast("long").alias("doc_id"), F.col(label).cast("int").alias("y"))
-    picked = [marked.where(f"y = {y}").orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample) for y in (0, 1)]
+    bounds = sample if isinstance(sample, tuple) else (sample, sample)
+    picked = [marked.where(f"y = {y}").orderBy(F.xxhash64("doc_id"), "doc_id").limit(bounds[y]) for y in (0, 1)]
     rows = docs.join(F.broadcast(picked[0].union(picked[1])), "doc_id").select("doc_id", "text", "y").collect()
     rows.sort(key=lambda r: r.doc_id)
     return [r.text for r in rows], np.array([r.y for r in rows], np.float32)

@@ -20,11 +20,11 @@ from pyspark.sql import functions as F
 from tessera.llm.byte_cnn import training_rows
 from tessera.llm.common import documents, held_out
 
-#: Labelled rows of each label that the lexicon is mined from at most.
-SAMPLE = 2000
+#: Labelled rows that the lexicon is mined from at most: clean, toxic.
+SAMPLE = (3000, 1000)
 THRESHOLD = 0.7
 #: A term's least documents among toxic rows and least share of toxic ones; stem lengths.
-SUPPORT, PRECISION, STEMS = 5, 0.92, (5, 8)
+SUPPORT, PRECISION, STEMS = 5, 0.95, (5, 8)
 #: Edits allowed from these lengths on (whole words only), and a match's worth by its edits.
 EDITS, WORTH = ((9, 2), (5, 1)), (1.0, 0.85, 0.75)
 #: A term with so many different near words in clean rows is matched without edits.
@@ -174,20 +174,27 @@ class Lexicon:
 
 def mine(texts: list[str], labels: np.ndarray) -> Lexicon:
     """Words and stems that mark toxic rows. Of a stem and a longer form with the same rows, the longer one stays."""
-    seen: Counter[str] = Counter()
-    toxic: Counter[str] = Counter()
     low, high = STEMS
-    for text, y in zip(texts, labels):
+
+    def forms(text: str) -> set[str]:
         found = set()
         for w in set(_PART.findall(text.lower())):
             if len(w) >= 4:
                 found.add(w)
                 found.update(w[:k] + "*" for k in range(low, min(len(w), high + 1)))
-        seen.update(found)
+        return found
+
+    toxic: Counter[str] = Counter()
+    for text, y in zip(texts, labels):
         if y:
-            toxic.update(found)
+            toxic.update(forms(text))
+    toxic = Counter({w: n for w, n in toxic.items() if n >= SUPPORT})
+    seen = toxic.copy()
+    for text, y in zip(texts, labels):
+        if not y:
+            seen.update(forms(text) & toxic.keys())
     share = len(texts) / max(1.0, 2 * float(np.sum(labels == 0)))
-    good = {w: n for w, n in toxic.items() if n >= SUPPORT and n / (n + (seen[w] - n)) >= PRECISION}
+    good = {w: n for w, n in toxic.items() if n / seen[w] >= PRECISION}
     terms = {}
     for w, n in good.items():
         base = w.rstrip("*")
@@ -219,11 +226,11 @@ def _score(terms: dict[str, float], exceptions: frozenset[str], exact: frozenset
     return run
 
 
-def toxicity_scores(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, threshold: float = THRESHOLD) -> DataFrame:
+def toxicity_scores(docs: DataFrame, labels: DataFrame, sample: tuple[int, int] = SAMPLE, threshold: float = THRESHOLD) -> DataFrame:
     """(doc_id, held_out, score, predicted, n_matches) of every row of ``docs``.
 
     Null and empty texts score 0.01 as any text without a match. The lexicon is
-    mined from at most ``sample`` labelled rows of each label, its one bound; with
+    mined from at most ``sample`` labelled rows (clean, toxic), its one bound; with
     no toxic row it is empty. Repeated rows are scored alike, other columns are no
     inputs, an empty table gives no rows.
     """
