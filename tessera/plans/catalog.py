@@ -417,9 +417,9 @@ def count_distribution(spark, sf_dir):
     return merge.shallowest(ad.zones(spark, sf_dir)).groupBy(F.col("n_zones").alias("n")).agg(F.count("*").alias("cells"))
 
 
-@query("""SELECT p_partkey AS id, CASE WHEN p_size % 4 = 0 THEN CAST(p_size AS DOUBLE) + 2.5 WHEN p_size % 4 = 1 THEN p_size * 0.3048 WHEN p_size % 4 = 2 THEN (p_size + (p_size + 1) * 2) / 2.0::DOUBLE END AS metres FROM part""")
+@query("""SELECT p_partkey AS id, round(CASE WHEN p_size % 4 = 0 THEN p_size + 2.5::DOUBLE WHEN p_size % 4 = 1 THEN p_size * 0.3048::DOUBLE WHEN p_size % 4 = 2 THEN (p_size + (p_size + 1) * 2) / 2.0::DOUBLE END, 6) AS metres FROM part""")
 def thickness_parse(spark, sf_dir):
-    return ad.read(spark, sf_dir, "part").select(F.col("p_partkey").alias("id"), text.thickness_m(_literal()).alias("metres"))
+    return ad.read(spark, sf_dir, "part").select(F.col("p_partkey").alias("id"), r6(text.thickness_m(_literal())).alias("metres"))
 
 
 def _literal():

@@ -29,7 +29,7 @@ def fields(spark: SparkSession, path: str, columns: list[str], skip: int = 0) ->
 
 def ascii_grid(spark: SparkSession, path: str, header: int = 6) -> DataFrame:
     """(r, c, v) of an ESRI ASCII grid, south first; the nodata value becomes null. A file is one row of lines."""
-    whole = spark.read.text(path, wholetext=True).select(F.split(F.trim("value"), r"\r?\n").alias("l"))
+    whole = spark.read.text(path, wholetext=True).select(F.filter(F.split("value", r"\r?\n"), lambda x: F.trim(x) != "").alias("l"))
     head = lambda name: F.get(F.filter(F.slice("l", 1, header), lambda x: F.lower(x).startswith(name)), 0)
     number = lambda name: F.regexp_extract(head(name), r"([-+.\deE]+)\s*$", 1).cast("double")
     rows = whole.select(number("nrows").cast("int").alias("nrows"), number("nodata").alias("nodata"), F.posexplode(F.slice("l", header + 1, F.size("l"))).alias("i", "line"))
