@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tessera.functions import grid, text
-from tessera.operators import geometry, kernels, merge, stats, windows
+from tessera.operators import geometry, kernels, lines, merge, spectra, stats, windows
 from tessera.plans import adapters as ad
 
 QUERIES: dict = {}
@@ -464,3 +464,64 @@ def source_digests(spark, sf_dir):
 @query()
 def layer_checksum(spark, sf_dir):
     return stats.layer_checksum(ad.raster(spark, sf_dir).withColumn("layer", F.lit("raster")), ["layer"], "v")
+
+
+# lines and spectra
+
+
+_CUT = "CASE WHEN ceil(least({a},{b})) <= floor(greatest({a},{b})) AND {a} <> {b} THEN list_transform(range(CAST(ceil(least({a},{b})) AS BIGINT), CAST(floor(greatest({a},{b})) AS BIGINT) + 1), lambda k: (k - {a}) / ({b} - {a})) ELSE [] END"
+
+
+@query(f"""WITH s AS (SELECT user_id AS line, (lon + 180) / 2 AS x0, (lat + 90) / 2 AS y0, (lon2 + 180) / 2 AS x1, (lat2 + 90) / 2 AS y1, sqrt(pow(lon2 - lon, 2) + pow(lat2 - lat, 2)) AS len FROM ({_SEG}) WHERE abs(lon2 - lon) <= 180),
+  l AS (SELECT line, round(sum(len), 6) AS length FROM s GROUP BY 1),
+  t AS (SELECT *, list_sort(list_concat([0.0::DOUBLE], {_CUT.format(a='x0', b='x1')}, {_CUT.format(a='y0', b='y1')}, [1.0::DOUBLE])) AS t FROM s WHERE line % 5 <> 0),
+  u AS (SELECT *, unnest(range(1, len(t))) AS i FROM t),
+  m AS (SELECT *, (t[i] + t[i + 1]) / 2 AS m FROM u WHERE t[i + 1] > t[i]),
+  c AS (SELECT line, CAST(least(greatest(floor(y0 + m * (y1 - y0)), 0), 89) AS INT) AS r, CAST(least(greatest(floor(x0 + m * (x1 - x0)), 0), 179) AS INT) AS c FROM m),
+  k AS (SELECT c.*, row_number() OVER (PARTITION BY r, c ORDER BY length, c.line DESC) AS n, min(c.line) OVER (PARTITION BY r, c) <> max(c.line) OVER (PARTITION BY r, c) AS overlap FROM c JOIN l ON c.line = l.line)
+  SELECT r, c, line % 5 AS code, overlap FROM k WHERE n = 1""")
+def line_burn(spark, sf_dir):
+    segs = _segments(spark, sf_dir).where(F.abs(F.col("lon2") - F.col("lon")) <= 180).withColumnRenamed("user_id", "line")
+    length = segs.groupBy("line").agg(F.round(F.sum(F.sqrt(F.pow(F.col("lon2") - F.col("lon"), F.lit(2)) + F.pow(F.col("lat2") - F.col("lat"), F.lit(2)))), 6).alias("length"))
+    return lines.burn_lines(segs.join(length, "line").withColumn("code", F.col("line") % 5), 2.0, 90, 180)
+
+
+_FAULTS = f"SELECT lat, lon, lat * 0.9 AS lat2, lon + 3 AS lon2 FROM ({ad.EXTRA_SQL})"
+
+
+@query(f"""WITH g AS (SELECT CAST(a.range AS INT) AS r, CAST(b.range AS INT) AS c, (a.range + 0.5::DOUBLE) * 4 - 90 AS glat, (b.range + 0.5::DOUBLE) * 4 - 180 AS glon FROM range(45) a CROSS JOIN range(90) b),
+  s AS (SELECT r, c, {_v('lat', 'lon', 'a')}, {_v('lat2', 'lon2', 'e')}, {_v('glat', 'glon', 'p')} FROM g CROSS JOIN ({_FAULTS})),
+  n AS (SELECT *, ay*ez-az*ey AS nx, az*ex-ax*ez AS ny, ax*ey-ay*ex AS nz FROM s),
+  m AS (SELECT *, ny*pz-nz*py AS mx, nz*px-nx*pz AS my, nx*py-ny*px AS mz, sqrt(nx*nx+ny*ny+nz*nz) AS size FROM n)
+  SELECT r, c, round(min(CASE WHEN mx*ax+my*ay+mz*az <= 0 AND mx*ex+my*ey+mz*ez >= 0 AND size > 0 THEN {R}*abs(asin(least(1.0, greatest(-1.0, (px*nx+py*ny+pz*nz)/size))))
+    ELSE {R}*acos(least(1.0, greatest(-1.0, greatest(px*ax+py*ay+pz*az, px*ex+py*ey+pz*ez)))) END), 2) AS km FROM m GROUP BY 1, 2""")
+def nearest_segment_grid(spark, sf_dir):
+    segs = ad.extra(spark, sf_dir).select("lat", "lon", (F.col("lat") * 0.9).alias("lat2"), (F.col("lon") + 3).alias("lon2"))
+    return lines.distance_pyramid(segs, [20, 4]).withColumn("km", r6(F.col("km"), 2))
+
+
+_E = "sqrt(0.0066943799901413165::DOUBLE)"
+_QA = f"((1 - 0.0066943799901413165::DOUBLE) * ({{0}} / (1 - 0.0066943799901413165::DOUBLE * {{0}} * {{0}}) + atanh({_E} * {{0}}) / {_E}))"
+
+
+@query(f"""WITH x AS (SELECT id, tan(asin({_QA.format('sin(radians(lat * 0.9))')} / {_QA.format('1.0::DOUBLE')}) / 2) AS a, tan(asin({_QA.format('sin(radians(lat * 0.9 + 5))')} / {_QA.format('1.0::DOUBLE')}) / 2) AS b FROM ({ad.EXTRA_SQL}))
+  SELECT id, round(abs(2 * atan2(tan(radians(4.0::DOUBLE) / 2) * 2 * a, 1 + a * a) - 2 * atan2(tan(radians(4.0::DOUBLE) / 2) * 2 * b, 1 + b * b)) * pow(6378.137::DOUBLE, 2) * {_QA.format('1.0::DOUBLE')} / 2, 3) AS km2 FROM x""")
+def polygon_area(spark, sf_dir):
+    corner = lambda dx, dy: F.struct((F.col("lon") + dx).alias("x"), (F.col("lat") * 0.9 + dy).alias("y"))
+    boxes = ad.extra(spark, sf_dir).withColumn("ring", F.array(corner(0, 0), corner(4, 0), corner(4, 5), corner(0, 5), corner(0, 0)))
+    return boxes.select("id", r6(lines.ring_area_km2("ring"), 3).alias("km2"))
+
+
+@query(f"""WITH z AS (SELECT CAST(r // 12 AS INT) AS wr, CAST(c // 12 AS INT) AS wc, r % 12 AS i, c % 12 AS j, z FROM ({ad.DENSE_SQL})),
+  h AS (SELECT wr, wc, i, j, (z - avg(z) OVER (PARTITION BY wr, wc)) * (0.5 - 0.5 * cos(2 * pi() * i / 11)) * (0.5 - 0.5 * cos(2 * pi() * j / 11)) AS z FROM z),
+  f AS (SELECT wr, wc, u.range AS u, v.range AS v, sum(z * cos(2 * pi() * (u.range * i + v.range * j) / 12)) AS re, sum(z * sin(2 * pi() * (u.range * i + v.range * j) / 12)) AS im FROM h CROSS JOIN range(12) u CROSS JOIN range(7) v GROUP BY 1, 2, 3, 4)
+  SELECT wr, wc, count(*) AS elements, round(ln(avg(re * re + im * im)), 6) AS log_power,
+    round(max(sqrt(pow(2 * pi() * (CASE WHEN u < 6 THEN u ELSE u - 12 END) / 60 / (pi() / 180 * {R}), 2) + pow(2 * pi() * v / 60 / (pi() / 180 * {R} * cos(radians((wr + 0.5::DOUBLE) * 60 - 90))), 2))), 9) AS k_max FROM f GROUP BY 1, 2""")
+def window_power(spark, sf_dir):
+    each = spectra.window_power(ad.dense(spark, sf_dir), 12, 5.0, "z")
+    return each.groupBy("wr", "wc").agg(F.count("*").alias("elements"), r6(F.log(F.avg("power"))).alias("log_power"), r6(F.max("k"), 9).alias("k_max"))
+
+
+@query()
+def radial_power(spark, sf_dir):
+    return spectra.radial_power(ad.dense(spark, sf_dir), 12, 5.0, 8, "z").select("wr", "wc", "bin", r6(F.col("k"), 9).alias("k"), r6(F.log("power"), 5).alias("log_power"), "elements")
