@@ -20,7 +20,7 @@ def window_power(cells: DataFrame, n: int, res: float, value: str = "v") -> Data
     km = np.pi / 180 * RADIUS_KM
     hann = np.hanning(n)
 
-    def power(key, frame: pd.DataFrame) -> pd.DataFrame:
+    def power(key: tuple, frame: pd.DataFrame) -> pd.DataFrame:
         z = np.full((n, n), np.nan)
         z[frame["i"], frame["j"]] = frame["z"]
         if np.isnan(z).any():
