@@ -92,8 +92,8 @@ def _q(s: Column) -> Column:
 def ring_area_km2(ring: str) -> Column:
     """Area of a closed ring of struct(x, y) on WGS84, without sign: spherical excess over authalic latitudes.
 
-    Edges are great circles of the authalic sphere, which differ from geodesics by
-    parts in a thousand of an edge's own sagitta. A ring round a pole is not meant.
+    Edges are great circles of the authalic sphere in place of geodesics; by how much
+    that moves an area is not measured. A ring round a pole is not meant.
     """
     e = math.sqrt(WGS84_E2)
     pole = 1 + (1 - WGS84_E2) * math.atanh(e) / e
