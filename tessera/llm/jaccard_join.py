@@ -38,8 +38,8 @@ from tessera.llm.shingles import shingle_sets
 SIMILARITY = (75, 100)
 #: Tokens (hash range) that one counting group holds, and tokens of one block of documents.
 GROUP_TOKENS, BLOCK_TOKENS, BLOCK_DOCS = 1_000_000, 500_000, 60_000
-#: Classes of a family that one side of a block pair holds.
-FAMILY_BLOCK = 1024
+#: Classes of a family that one side of a block pair holds; salts that larger families are dealt by.
+FAMILY_BLOCK, SALTS = 1024, 64
 #: Lengths that a prefix may be extended to, and shared tokens then required.
 MATCHES = (1, 2, 4, 8, 16, 32)
 _LOW = np.uint64((1 << 48) - 1)
@@ -326,10 +326,12 @@ def jaccard_groups(docs: DataFrame, similarity: tuple[int, int] = SIMILARITY) ->
     heads = posts.groupBy("token").agg(F.min("rep").alias("head"), F.count("*").alias("df")).where("df > 1").drop("df")
     families = components(posts.join(materialize(heads, "heads"), "token").select("head", "rep"), "head", "rep")
     members = materialize(able.join(materialize(families.withColumnRenamed("node", "rep"), "families"), "rep"), "members")
-    sized = members.groupBy("component").agg(F.count("*").alias("size"))
-    # blocks of a family by a hash of the class: about FAMILY_BLOCK classes each, whatever the family's size
-    blocks = F.ceil(F.col("size") / F.lit(FAMILY_BLOCK)).cast("int")
-    dealt = members.join(sized.select("component", blocks.alias("blocks")), "component").withColumn("mine", F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int"))
+    # blocks of a family by a hash of the class: about FAMILY_BLOCK classes each, whatever the family's size;
+    # a family of one block needs no size, so only the few larger ones are repeated for every salt
+    sized = members.groupBy("component").agg(F.count("*").alias("size")).where(F.col("size") > FAMILY_BLOCK)
+    sized = sized.select("component", F.ceil(F.col("size") / F.lit(FAMILY_BLOCK)).cast("int").alias("blocks"), F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt"))
+    salted = members.withColumn("salt", F.pmod(F.hash("rep"), F.lit(SALTS)))
+    dealt = salted.join(sized, ["component", "salt"], "left").fillna(1, "blocks").withColumn("mine", F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int"))
     met = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     met = met.select("component", "rep", "n", "tokens", F.least("mine", "other").alias("bi"), F.greatest("mine", "other").alias("bj"), F.when(F.col("mine") <= F.col("other"), 0).otherwise(1).alias("side"))
     found = materialize(met.groupBy("component", "bi", "bj").applyInPandas(_join_blocks(similarity), "a long, b long, links long"), "links")
