@@ -1,42 +1,18 @@
-"""Command line: build, validate, checksum, export-public. Exit code 0 pass, 1 fail, 2 contract or lookup error."""
+"""Command line: build, validate, fidelity, integrate, checksum, export-public. Exit code 0 pass, 1 fail, 2 contract or lookup error."""
 
 from __future__ import annotations
 
 import argparse
 import json
 import sys
-from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
-from tessera.functions.grid import factor
-from tessera.operators import kernels
-from tessera.plans import adapters
+from tessera.plans import builders
+from tessera.plans.builders import BUILDERS
 from tessera.sources import contract as contracts
-from tessera.sources import store
-
-#: Layer id to what builds it: f(spark, data folder, tier) gives (r, c, v).
-BUILDERS: dict[str, Callable[[SparkSession, str, str], DataFrame]] = {}
-
-
-def builder(layer: str):
-    """Register a layer's builder."""
-
-    def add(f):
-        BUILDERS[layer] = f
-        return f
-
-    return add
-
-
-@builder("point_density")
-def _point_density(spark: SparkSession, data: str, tier: str) -> DataFrame:
-    from tessera.functions.grid import col_of, row_of
-
-    fine = adapters.points(spark, data).groupBy(row_of(F.col("lat"), "3min").alias("r"), col_of(F.col("lon"), "3min").alias("c")).agg(F.count("*").alias("n"))
-    return kernels.block_sum(fine, factor(tier, "3min")).select("r", "c", F.col("n").cast("double").alias("v"))
-
+from tessera.sources import reports, store
 
 def build(spark: SparkSession, contract_path: str, data: str, out: str) -> list[str]:
     """Write every layer that has a builder, then the manifest; gives the ids that wait for one. A broken contract writes nothing."""
@@ -47,17 +23,29 @@ def build(spark: SparkSession, contract_path: str, data: str, out: str) -> list[
     ready = [x for x in contract.layers if x.id in BUILDERS]
     for layer in ready:
         for tier in layer.tiers:
-            store.write_layer(BUILDERS[layer.id](spark, data, tier), out, layer.id, tier)
+            store.write_layer(BUILDERS[layer.id].make(spark, data, tier), out, layer.id, tier)
+            if layer.needs_mask:
+                store.write_mask(spark, out, layer.id, tier)
     if ready:
-        cover = [x.asDict() for x in store.coverage(store.read_store(spark, out)).collect()]
+        cells = store.read_store(spark, out).where(~F.col("layer").endswith(store.MASK))
+        cover = [x.asDict() for x in store.coverage(cells).collect()]
         store.write_manifest(store.manifest(contract, cover), out)
     return [x.id for x in contract.layers if x.id not in BUILDERS]
 
 
+def fidelity(spark: SparkSession, layer: str, data: str, store_dir: str, folder: str) -> bool:
+    """Check a layer against its source, write its report and say whether nothing failed."""
+    entry = next((x for x in store.read_manifest(store_dir)["layers"] if x["id"] == layer), None)
+    if entry is None or layer not in BUILDERS:
+        raise KeyError(f"{layer} is not built")
+    found = builders.checks(spark, layer, data, {t: store.read_layer(spark, store_dir, layer, t) for t in sorted(entry["coverage"])}).collect()
+    return reports.write(f"fidelity-{layer}", [x.asDict() for x in found], folder)
+
+
 def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> int:
     parser = argparse.ArgumentParser(prog="tessera")
     verbs = parser.add_subparsers(dest="verb", required=True)
-    for verb, names in {"build": ("contract", "data", "store"), "validate": ("contract", "store"), "checksum": ("store",), "export-public": ("contract", "store", "licences", "out")}.items():
+    for verb, names in {"build": ("contract", "data", "store"), "validate": ("contract", "store"), "fidelity": ("data", "store", "layer", "reports"), "integrate": ("contract", "store", "reports"), "checksum": ("store",), "export-public": ("contract", "store", "licences", "out")}.items():
         sub = verbs.add_parser(verb)
         for name in names:
             sub.add_argument(f"--{name}", required=True)
@@ -72,6 +60,12 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
             for x in found:
                 print(x.status, x.name, x.summary)
             return int(any(x.status == "FAIL" for x in found))
+        elif args.verb == "fidelity":
+            return int(not fidelity(spark, args.layer, args.data, args.store, args.reports))
+        elif args.verb == "integrate":
+            contract = contracts.load_contract(args.contract)
+            structure = [x.asDict() for x in store.checks(spark, args.store, contract).collect()]
+            return int(not reports.integrate(structure, args.store, args.reports))
         elif args.verb == "checksum":
             for x in store.checksums(spark, args.store).orderBy("layer", "tier").collect():
                 print(x.layer, x.tier, x.cells, x.checksum)

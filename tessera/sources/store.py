@@ -8,10 +8,13 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.functions.grid import TIERS, shape
+from tessera.functions.grid import TIERS, dense_grid, shape
 from tessera.operators.stats import layer_checksum, present
 from tessera.sources.contract import Contract
 
+#: What a layer's mask is called after it.
+MASK = "__validity"
+
 
 def write_layer(df: DataFrame, store: str, layer: str, tier: str) -> None:
     """One (tier, layer) partition of the store, replaced as a whole; rows ordered by cell within files for pruning."""
@@ -23,10 +26,27 @@ def read_store(spark: SparkSession, store: str) -> DataFrame:
     return spark.read.option("basePath", store).option("mergeSchema", "true").parquet(f"{store}/tier=*/layer=*")
 
 
+def read_layer(spark: SparkSession, store: str, layer: str, tier: str) -> DataFrame:
+    return spark.read.parquet(f"{store}/tier={tier}/layer={layer}")
+
+
+def write_mask(spark: SparkSession, store: str, layer: str, tier: str, zero_is_missing: bool = False) -> None:
+    """The companion of a stored layer: 1 where it has a value, 0 in every other cell of the grid."""
+    cells = read_layer(spark, store, layer, tier)
+    there = cells.groupBy("r", "c").agg(F.max(present(F.col("v"), zero_is_missing)).alias("p"))
+    mask = dense_grid(spark, tier).join(there, ["r", "c"], "left").select("r", "c", F.coalesce("p", F.lit(0)).cast("double").alias("v"))
+    write_layer(mask, store, f"{layer}{MASK}", tier)
+
+
+def _level(cells: DataFrame):
+    """The level of a cell, 0 in layers without levels."""
+    return F.coalesce("k", F.lit(0.0)) if "k" in cells.columns else F.lit(0.0)
+
+
 def coverage(cells: DataFrame, zero_is_missing: bool = False) -> DataFrame:
     """(tier, layer, coverage): present cells over the grid's cells."""
     size = F.create_map(*[F.lit(x) for t in TIERS for x in (t, shape(t)[0] * shape(t)[1])])
-    return cells.groupBy("tier", "layer").agg(F.sum(present(F.col("v"), zero_is_missing)).alias("n")).select("tier", "layer", (F.col("n") / size[F.col("tier")]).alias("coverage"))
+    return cells.groupBy("tier", "layer").agg(F.sum(present(F.col("v"), zero_is_missing)).alias("n"), F.count_distinct(_level(cells)).alias("levels")).select("tier", "layer", (F.col("n") / F.col("levels") / size[F.col("tier")]).alias("coverage"))
 
 
 def manifest(contract: Contract, cover: list[dict], sidecars: list[dict] = ()) -> dict:
@@ -60,11 +80,18 @@ def checks(spark: SparkSession, store: str, contract: Contract) -> DataFrame:
     at = limits[F.col("tier")]
     found = cells.groupBy("tier", "layer").agg(
         F.count("*").alias("n"),
-        F.count_distinct("r", "c").alias("cells"),
+        F.count_distinct(_level(cells), "r", "c").alias("cells"),
         F.count_if(~(F.col("r").between(0, at.nlat - 1) & F.col("c").between(0, at.nlon - 1))).alias("outside"),
     )
     shown = found.select(F.concat_ws(" ", "layer", "tier", F.lit("cells")).alias("name"), F.when((F.col("n") == F.col("cells")) & (F.col("outside") == 0), "pass").otherwise("FAIL").alias("status"), F.concat_ws("/", "n", "cells", "outside").alias("summary"))
-    return spark.createDataFrame(rows, "name string, status string, summary string").union(shown)
+    out = spark.createDataFrame(rows, "name string, status string, summary string").union(shown)
+    if masked := [x["id"] for x in data["layers"] if known.get(x["id"]) and known[x["id"]].needs_mask]:
+        # a mask says 1 just where its layer has a value
+        value = cells.where(F.col("layer").isin(masked)).groupBy("tier", "layer", "r", "c").agg(F.max(present(F.col("v"))).alias("p"))
+        mask = cells.where(F.col("layer").isin([x + MASK for x in masked])).select("tier", F.expr(f"substr(layer, 1, length(layer) - {len(MASK)})").alias("layer"), "r", "c", F.col("v").alias("m"))
+        wrong = value.join(mask, ["tier", "layer", "r", "c"], "full").groupBy("tier", "layer").agg(F.count_if(F.coalesce("p", F.lit(0)) != F.coalesce("m", F.lit(-1.0))).alias("wrong"))
+        out = out.union(wrong.select(F.concat_ws(" ", "layer", "tier", F.lit("mask")), F.when(F.col("wrong") == 0, "pass").otherwise("FAIL"), F.col("wrong").cast("string")))
+    return out
 
 
 def checksums(spark: SparkSession, store: str) -> DataFrame:
@@ -84,7 +111,7 @@ def export_public(spark: SparkSession, store: str, keep: list[str], out: str) ->
     a, b = Path(store).resolve(), Path(out).resolve()
     if a == b or a in b.parents or b in a.parents:
         raise ValueError(f"{out} overlaps {store}")
-    wanted = [*keep, *[f"{x}__validity" for x in keep]]
+    wanted = [*keep, *[x + MASK for x in keep]]
     read_store(spark, store).where(F.col("layer").isin(wanted)).write.partitionBy("tier", "layer").parquet(out)
     data = read_manifest(store)
     write_manifest(data | {"layers": [x for x in data["layers"] if x["id"] in keep]}, out)
