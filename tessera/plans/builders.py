@@ -20,6 +20,8 @@ from tessera.plans import adapters
 #: Cells of the stand-in rasters, in degrees.
 COARSE = 5
 HOME = "30min"
+#: Elevation above which the stand-in is land.
+SEA_LEVEL = 100.0
 
 
 @dataclass(frozen=True)
@@ -41,10 +43,14 @@ def builder(layer: str, kind: str):
     return add
 
 
+def _met(cells: DataFrame, tier: str) -> DataFrame:
+    step = COARSE * UNITS
+    return kernels.overlaps(cells, F.col("c") * step, (F.col("c") + 1) * step, F.col("r") * step, (F.col("r") + 1) * step, int(TIERS[tier] * UNITS))
+
+
 def on_tier(cells: DataFrame, tier: str, keys: tuple[str, ...] = (), axial: bool = False, value: str = "v") -> DataFrame:
     """Cells of COARSE degrees to a tier: area-weighted mean, or mean direction of axes."""
-    step = COARSE * UNITS
-    met = kernels.overlaps(cells, F.col("c") * step, (F.col("c") + 1) * step, F.col("r") * step, (F.col("r") + 1) * step, int(TIERS[tier] * UNITS))
+    met = _met(cells, tier)
     if axial:
         some = met.where(F.col(value).isNotNull())
         return some.groupBy(*keys, F.col("tr").alias("r"), F.col("tc").alias("c")).agg(kernels.axial_mean(F.col(value), F.col("w")).alias("v"))
@@ -126,8 +132,10 @@ def _dense(spark, data, tier) -> DataFrame:
 
 @builder("land_mask", "derived")
 def land_mask(spark, data, tier):
-    middle = 100.0
-    return _dense(spark, data, tier).select("r", "c", (F.col("z") > middle).cast("double").alias("v"))
+    # the source is judged, not its mean: what lies at sea level stays there whatever a mean's last bit says; ties are sea
+    met = _met(elevation_source(spark, data).withColumn("land", F.coalesce(F.col("v") > SEA_LEVEL, F.lit(False))), tier)
+    land = met.groupBy(F.col("tr").alias("r"), F.col("tc").alias("c")).agg((F.sum(F.when(F.col("land"), F.col("w")).otherwise(0.0)) > F.sum("w") / 2).alias("land"))
+    return dense_grid(spark, tier).join(land, ["r", "c"], "left").select("r", "c", F.coalesce(F.col("land").cast("double"), F.lit(0.0)).alias("v"))
 
 
 @builder("slope", "derived")

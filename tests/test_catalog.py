@@ -6,6 +6,7 @@ import duckdb
 import pytest
 
 from tessera.plans import catalog
+from tessera.plans import layers as _layers  # noqa: F401 - registers its queries in the catalog
 
 DATA = "/root/testdata/sf0.001"
 
