@@ -34,7 +34,7 @@ def write_mask(spark: SparkSession, store: str, layer: str, tier: str, zero_is_m
     """The companion of a stored layer: 1 where it has a value, 0 in every other cell of the grid."""
     cells = read_layer(spark, store, layer, tier)
     there = cells.groupBy("r", "c").agg(F.max(present(F.col("v"), zero_is_missing)).alias("p"))
-    mask = dense_grid(spark, tier).join(there, ["r", "c"], "left").select("r", "c", F.coalesce("p", F.lit(0)).cast("double").alias("v"))
+    mask = dense_grid(spark, tier).join(there, ["r", "c"], "left").select("r", "c", F.coalesce("p", F.lit(0)).cast(cells.schema["v"].dataType).alias("v"))
     write_layer(mask, store, f"{layer}{MASK}", tier)
 
 

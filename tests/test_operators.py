@@ -101,6 +101,8 @@ def test_contract_and_store(spark, tmp_path):
     store.write_layer(grid.dense_grid(spark, "1deg").withColumn("v", F.lit(1.0).cast("float")), out, "a__y", "1deg")
     cover = [r.asDict() for r in store.coverage(store.read_store(spark, out)).collect()]
     store.write_manifest(store.manifest(c, cover), out)
+    assert {r.name for r in store.checks(spark, out, c).collect() if r.status != "pass"} == {"a__x 1deg mask"}
+    store.write_mask(spark, out, "a__x", "1deg")
     assert {r.status for r in store.checks(spark, out, c).collect()} == {"pass"}
     first = sorted(map(tuple, store.checksums(spark, out).collect()))
     store.write_layer(grid.dense_grid(spark, "1deg").repartition(3).withColumn("v", F.lit(1.0).cast("float")), out, "a__y", "1deg")
@@ -109,6 +111,7 @@ def test_contract_and_store(spark, tmp_path):
     keep = [r.id for r in plan.collect() if r.keep]
     store.export_public(spark, out, keep, str(tmp_path / "public"))
     assert {x["id"] for x in store.read_manifest(str(tmp_path / "public"))["layers"]} == {"a__x"}
+    assert {r.layer for r in store.read_store(spark, str(tmp_path / "public")).select("layer").distinct().collect()} == {"a__x", "a__x__validity"}
     with pytest.raises(ValueError):
         store.export_public(spark, out, keep, out + "/inner")
 
