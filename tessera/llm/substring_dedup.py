@@ -2,56 +2,84 @@
 
 A unit is a line, cut further after sentence ends and before capitalised words,
 so that a passage set into other text still yields its own units. Units are
-normalised (lower case, single blanks) and grouped by a 128-bit digest over all
-documents; the earliest occurrence (smallest doc_id, then place) keeps its text.
-A run of repeated units, units of few words joining in, is removed once it has
-MIN_WORDS words; spans are kept with their offsets in the original text.
+normalised (lower case, single blanks). A unit of few words is hashed with those
+after it, and once more with those before it, until they have half of MIN_WORDS;
+so each word of a repeated run of MIN_WORDS words lies in a window of its own
+that repeats. Windows are grouped by a 128-bit digest over all documents; the
+earliest occurrence (smallest doc_id, then place) keeps its text. A run of
+repeated units is removed once it has MIN_WORDS words, and ends at the first
+word that no repeated window holds; spans are kept with their offsets in the
+original text.
 """
 
 from __future__ import annotations
 
+import re
+
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tessera.llm.common import OWN, materialize, named
 
-#: Words that a removed run has at least, and words below which a unit has no digest of its own.
+#: Words that a removed run has at least, and words below which a unit is hashed with its neighbours.
 MIN_WORDS, SHORT = 10, 3
 _UNITS = r"split(text, '(?<=\\n)|(?<=[.!?][ \\t])(?=[^ \\t\\n])|(?<=[ \\t])(?=\\p{Lu})')"
 _NORMAL = r"lower(trim(regexp_replace(u, '[ \\t-\\r]+', ' ')))"
 _SPANS = "array<struct<start:long,end:long,source:long>>"
+_WORD = r"[^ \t-\r]+"
+
+
+def windows(min_words: int = MIN_WORDS, short: int = SHORT) -> str:
+    """SQL array of (s, e, w): first and last unit and the words of each window of ``text``.
+
+    A unit without a word lies in no window. With ``least`` words in a window, a
+    short unit whose windows to both sides leave a run has 2 * least - 3 words
+    around it at most, which is less than ``min_words``. A window backwards that
+    is one forwards too is left out.
+    """
+    least = max(short, (min_words + 2) // 2)
+    none = "named_struct('s', -1, 'e', -1, 'n', 0, 'k', 0, 'w', '')"
+    onward = f"""aggregate(slice(v, p + 1, {least}), {none}, (a, y) -> if(a.n >= {least}, a,
+      named_struct('s', x.i, 'e', y.i, 'n', a.n + y.n, 'k', x.n, 'w', concat(a.w, ' ', y.u))), a -> if(a.n < {least}, null, named_struct('s', a.s, 'e', a.e, 'w', substr(a.w, 2))))"""
+    back = f"""aggregate(reverse(slice(v, greatest(p + 2 - {least}, 1), least(p + 1, {least}))), {none}, (a, y) -> if(a.n >= {least}, a,
+      named_struct('s', y.i, 'e', x.i, 'n', a.n + y.n, 'k', y.n, 'w', concat(' ', y.u, a.w))),
+      a -> if(a.n < {least} or (a.k < {short} and a.n - x.n < {least}), null, named_struct('s', a.s, 'e', a.e, 'w', substr(a.w, 2))))"""
+    word = _WORD.replace("\\", "\\\\")
+    return f"""transform(array(filter(transform(transform({_UNITS}, u -> {_NORMAL}), (u, i) -> named_struct('i', i, 'u', u, 'n', cast(regexp_count(u, '{word}') as int))), x -> x.n > 0)), v ->
+      flatten(transform(v, (x, p) -> if(x.n >= {short}, array(named_struct('s', x.i, 'e', x.i, 'w', x.u)), filter(array({onward}, {back}), y -> y is not null)))))[0]"""
 
 
-def removed_spans(units: list[str], sources: dict[int, int], min_words: int = MIN_WORDS, short: int = SHORT) -> list[tuple[int, int, int]]:
-    """(start, end, source) in code points of the runs to remove; sources: repeated unit -> doc_id of its earliest occurrence."""
-    out, at, run, words, pending = [], 0, None, 0, 0
+def removed_spans(units: list[str], marks: list[tuple[int, int, int]], min_words: int = MIN_WORDS) -> list[tuple[int, int, int]]:
+    """(start, end, source) in code points of the runs to remove; marks: first and last unit of a repeated window, doc_id of its earliest occurrence."""
+    sources = {}
+    for s, e, source in marks:
+        for i in range(s, e + 1):
+            sources[i] = min(source, sources.get(i, source))
+    out, at, run, words = [], 0, None, 0
     for i, u in enumerate(units):
-        n = len(u.split())
-        if i in sources:
+        n = len(re.findall(_WORD, u)) if i in sources or run is not None else 0
+        if i in sources and n:
             if run is None:
                 run, words = [at, 0, sources[i]], 0
-            words += n + pending
-            pending = 0
+            words += n
             run[1] = at + len(u)
-        elif run is not None and n < short:
-            pending += n
-        elif run is not None:
+        elif n:
             if words >= min_words:
                 out.append(tuple(run))
-            run, pending = None, 0
+            run = None
         at += len(u)
     if run is not None and words >= min_words:
         out.append(tuple(run))
     return out
 
 
-def _remove(min_words: int, short: int):
+def _remove(min_words: int):
     def run(batches):
         for batch in batches:
             ids, texts, spans = [], [], []
             for doc, units, marks in zip(*(c.to_pylist() for c in batch.columns)):
-                gone = removed_spans(units, {m["i"]: m["source"] for m in marks}, min_words, short)
+                gone = removed_spans(units, [(m["s"], m["e"], m["source"]) for m in marks], min_words)
                 text, at, kept = "".join(units), 0, []
                 for a, b, _ in gone:
                     kept.append(text[at:a])
@@ -74,14 +102,14 @@ def substring_dedup(docs: DataFrame, min_words: int = MIN_WORDS, short: int = SH
     no rows.
     """
     held = docs.where(F.col("text").isNotNull() & F.col("doc_id").isNotNull()).select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    units = held.select("doc_id", F.posexplode(F.expr(f"transform({_UNITS}, u -> {_NORMAL})")).alias("i", "u")).where(F.size(F.split("u", " ")) >= short)
-    units = units.select("doc_id", "i", F.xxhash64("u").alias("h1"), F.xxhash64("u", F.lit(1)).alias("h2"))
-    first = units.groupBy("h1", "h2").agg(F.min(F.struct("doc_id", "i")).alias("first"), F.count("*").alias("n")).where("n > 1").drop("n")
-    later = units.join(materialize(first, "first"), ["h1", "h2"]).where(F.struct("doc_id", "i") != F.col("first"))
-    marks = later.groupBy(F.col("doc_id").alias("d")).agg(F.collect_set(F.struct("i", F.col("first.doc_id").alias("source"))).alias("marks"))
+    units = held.select("doc_id", F.explode(F.expr(windows(min_words, short))).alias("u"))
+    units = materialize(units.select("doc_id", "u.s", "u.e", F.xxhash64("u.w").alias("h1"), F.xxhash64(F.lit(1), "u.w").alias("h2")), "units")
+    first = units.groupBy("h1", "h2").agg(F.min(F.struct("doc_id", "s", "e")).alias("first"), F.count("*").alias("n")).where("n > 1").drop("n")
+    later = units.join(materialize(first, "first"), ["h1", "h2"]).where("doc_id <> first.doc_id or s > first.e")
+    marks = later.groupBy(F.col("doc_id").alias("d")).agg(F.collect_set(F.struct("s", "e", F.col("first.doc_id").alias("source"))).alias("marks"))
     cut = held.join(materialize(marks, "marks"), F.col("doc_id") == F.col("d")).select("doc_id", F.expr(_UNITS).alias("units"), "marks")
     of, kept, spans = f"{OWN}of", f"{OWN}kept", f"{OWN}spans"
-    cut = cut.mapInArrow(_remove(min_words, short), f"{of} long, {kept} string, {spans} {_SPANS}").where(F.size(spans) > 0)
+    cut = cut.mapInArrow(_remove(min_words), f"{of} long, {kept} string, {spans} {_SPANS}").where(F.size(spans) > 0)
     out = docs.join(materialize(cut.dropDuplicates([of]), "kept"), docs.doc_id == F.col(of), "left")
     return out.select(
         *named(docs, {"text": F.when(F.col(of).isNull(), docs["text"]).otherwise(F.col(kept))}, ("removed",)),

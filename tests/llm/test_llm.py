@@ -316,3 +316,14 @@ def test_pipeline(spark):
         tokens[p.doc_id] += p.length
     bpe = wordbpe.load()
     assert tokens == {i: len(bpe.encode(t)) // 4 + 1 for i, t in kept.items()}
+
+
+def cut(spark, texts):
+    return {r.doc_id: r.text for r in substring_dedup.substring_dedup(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()}
+
+
+def test_substring_dedup_keeps_unique_short_units(spark):
+    head, foot = "shared header line of our site here\n", "\nshared footer line of our site there"
+    own = [" ".join(f"{c}{i}" for i in range(40)) for c in "QX"] + ["\n".join(f"{c}{i}" for i in range(40)) for c in "rs"]
+    got = cut(spark, [head + x + foot for x in own])
+    assert all(x in got[i] for i, x in enumerate(own))
