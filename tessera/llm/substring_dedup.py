@@ -1,8 +1,9 @@
 """Substring dedup by hashed units of text (operator 9).
 
 A unit is a line, cut further after sentence ends and before capitalised words,
-so that a passage set into other text still yields its own units. Units are
-normalised (lower case, single blanks). A unit of few words is hashed with those
+so that a passage set into other text still yields its own units. Scripts without
+blanks are cut after their own full stops. Units are normalised (lower case,
+single blanks). A unit of few words is hashed with those
 after it, and once more with those before it, until they have half of MIN_WORDS;
 so each word of a repeated run of MIN_WORDS words lies in a window of its own
 that repeats. Windows are grouped by a 128-bit digest over all documents; the
@@ -24,10 +25,12 @@ from tessera.llm.common import OWN, materialize, named
 
 #: Words that a removed run has at least, and words below which a unit is hashed with its neighbours.
 MIN_WORDS, SHORT = 10, 3
-_UNITS = r"split(text, '(?<=\\n)|(?<=[.!?][ \\t])(?=[^ \\t\\n])|(?<=[ \\t])(?=\\p{Lu})')"
+_UNITS = r"split(text, '(?<=\\n)|(?<=[.!?][ \\t])(?=[^ \\t\\n])|(?<=[ \\t])(?=\\p{Lu})|(?<=[。！？])(?=[^ \\t\\n])')"
 _NORMAL = r"lower(trim(regexp_replace(u, '[ \\t-\\r]+', ' ')))"
 _SPANS = "array<struct<start:long,end:long,source:long>>"
-_WORD = r"[^ \t-\r]+"
+#: Kana, Han, Thai, Lao, Khmer and Burmese are written without blanks; two of their characters count as a word.
+_UNSPACED = "".join(f"{chr(a)}-{chr(b)}" for a, b in ((0xE00, 0xEFF), (0x1000, 0x109F), (0x1780, 0x17FF), (0x3040, 0x30FF), (0x3400, 0x4DBF), (0x4E00, 0x9FFF), (0xF900, 0xFAFF), (0x20000, 0x323AF)))
+_WORD = rf"[{_UNSPACED}]{{1,2}}|[^ \t-\r{_UNSPACED}]+"
 
 
 def windows(min_words: int = MIN_WORDS, short: int = SHORT) -> str:
@@ -46,7 +49,8 @@ def windows(min_words: int = MIN_WORDS, short: int = SHORT) -> str:
       named_struct('s', y.i, 'e', x.i, 'n', a.n + y.n, 'k', y.n, 'w', concat(' ', y.u, a.w))),
       a -> if(a.n < {least} or (a.k < {short} and a.n - x.n < {least}), null, named_struct('s', a.s, 'e', a.e, 'w', substr(a.w, 2))))"""
     word = _WORD.replace("\\", "\\\\")
-    return f"""transform(array(filter(transform(transform({_UNITS}, u -> {_NORMAL}), (u, i) -> named_struct('i', i, 'u', u, 'n', cast(regexp_count(u, '{word}') as int))), x -> x.n > 0)), v ->
+    count = f"if(u = '', 0, if(octet_length(u) = char_length(u), 1 + octet_length(u) - octet_length(replace(u, ' ', '')), cast(regexp_count(u, '{word}') as int)))"
+    return f"""transform(array(filter(transform(transform({_UNITS}, u -> {_NORMAL}), (u, i) -> named_struct('i', i, 'u', u, 'n', {count})), x -> x.n > 0)), v ->
       flatten(transform(v, (x, p) -> if(x.n >= {short}, array(named_struct('s', x.i, 'e', x.i, 'w', x.u)), filter(array({onward}, {back}), y -> y is not null)))))[0]"""
 
 

@@ -327,3 +327,13 @@ def test_substring_dedup_keeps_unique_short_units(spark):
     own = [" ".join(f"{c}{i}" for i in range(40)) for c in "QX"] + ["\n".join(f"{c}{i}" for i in range(40)) for c in "rs"]
     got = cut(spark, [head + x + foot for x in own])
     assert all(x in got[i] for i, x in enumerate(own))
+
+
+def test_substring_dedup_finds_short_units(spark):
+    title = " ".join(f"Title{i}" for i in range(60))
+    capitals = " ".join(f"CAPS{i}" for i in range(60))
+    pairs = "\n".join(f"left{i} right{i}" for i in range(60))
+    unspaced = "。".join("".join(chr(0x4E00 + 97 * i + j) for j in range(8)) for i in range(9)) + "。"
+    for p in (title, capitals, pairs, unspaced):
+        got = cut(spark, [f"Some own words come first\n{p}\nand then some more", f"Quite other words begin here\n{p}\nwith another end"])
+        assert p in got[0] and got[1] == "Quite other words begin here\nwith another end"
