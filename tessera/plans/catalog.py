@@ -230,6 +230,14 @@ def set_reconcile(spark, sf_dir):
     return merge.reconcile(a, b, "k")
 
 
+@query("""SELECT c_custkey AS k, 'left' AS side FROM (SELECT DISTINCT c_custkey FROM customer) WHERE c_custkey NOT IN (SELECT user_id FROM events WHERE user_id IS NOT NULL)
+  UNION ALL SELECT user_id AS k, 'right' AS side FROM (SELECT DISTINCT user_id FROM events) WHERE user_id NOT IN (SELECT c_custkey FROM customer WHERE c_custkey IS NOT NULL)""")
+def set_reconcile_keys(spark, sf_dir):
+    """Keys of the whole tables."""
+    a = ad.read(spark, sf_dir, "customer").select(F.col("c_custkey").alias("k"))
+    return merge.reconcile(a, ad.read(spark, sf_dir, "events").select(F.col("user_id").alias("k")), "k")
+
+
 @query(f"SELECT coalesce(a.r, b.r) AS r, coalesce(a.c, b.c) AS c, coalesce(a.v, b.v) AS v FROM (SELECT * FROM ({ad.RASTER_SQL}) WHERE v % 3 = 0) a FULL OUTER JOIN (SELECT r, c, v * 10 AS v FROM ({ad.RASTER_SQL}) WHERE v % 2 = 0) b ON a.r = b.r AND a.c = b.c")
 def priority_overlay(spark, sf_dir):
     x = ad.raster(spark, sf_dir)

@@ -36,3 +36,9 @@ def test_entry_without_llm():
     import __spark_entry__ as e
 
     assert set(catalog.QUERIES) <= set(e.queries()) and set(e.oracle_sql()) <= set(e.queries())
+
+
+def test_reconcile_whole_tables(spark):
+    a, b = ({r[0] for r in spark.read.parquet(f"{DATA}/{t}.parquet").select(c).collect()} for t, c in (("customer", "c_custkey"), ("events", "user_id")))
+    got = {(r.k, r.side) for r in catalog.QUERIES["set_reconcile_keys"](spark, DATA).collect()}
+    assert got == {(k, "left") for k in a - b} | {(k, "right") for k in b - a} and got
