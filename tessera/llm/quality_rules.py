@@ -8,6 +8,8 @@ a document's size bounds what a task holds.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -23,6 +25,8 @@ BOILERPLATE = (
     "cookie policy", "privacy policy", "terms of use", "terms of service", "all rights reserved", "licensed under", "copyright (c)",
     "enable javascript", "subscribe to our", "sign in", "log in", "click here", "read more", "share this", "skip to content", "lorem ipsum",
 )
+#: Share of a line's words that boilerplate phrases may hold.
+MAX_BOILERPLATE = 0.2
 _BLANK = r"[ \t-\r]"
 _WORD = r"[^ \t-\r]"
 
@@ -43,12 +47,14 @@ def _repeated(words: str) -> str:
 def line_verdict(line: str) -> str:
     """SQL boolean: a line that holds a word passes."""
     marks = " or ".join(f"contains(m, '{x}')" for x in BOILERPLATE)
+    phrases = rf"(?<![\p{{L}}\p{{N}}])(?:{'|'.join(map(re.escape, BOILERPLATE))})(?![\p{{L}}\p{{N}}])"
     return rf"""transform(array(regexp_count({line}, '{_WORD}+')), n ->
       (n >= {LONG} or contains('{ENDS}', right(rtrim({line}), 1)))
       and regexp_count({line}, '[|>»]') <= {MAX_BARS} * n
       and regexp_count({line}, '[{SYMBOLS}]') <= {MAX_SYMBOLS} * n
       and (n < 5 or regexp_count({line}, r'\p{{Lu}}') <= {MAX_CAPITALS} * char_length({line}))
-      and not transform(array(lower({line})), m -> {marks})[0])[0]"""
+      and transform(array(lower({line})), m -> not ({marks})
+        or aggregate(regexp_extract_all(m, r'{phrases}', 0), 0, (x, y) -> x + size(split(y, ' '))) <= {MAX_BOILERPLATE} * n)[0])[0]"""
 
 
 def quality_rules(docs: DataFrame, max_lost: float = MAX_LOST) -> DataFrame:

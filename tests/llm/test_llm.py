@@ -337,3 +337,10 @@ def test_substring_dedup_finds_short_units(spark):
     for p in (title, capitals, pairs, unspaced):
         got = cut(spark, [f"Some own words come first\n{p}\nand then some more", f"Quite other words begin here\n{p}\nwith another end"])
         assert p in got[0] and got[1] == "Quite other words begin here\nwith another end"
+
+
+def test_quality_rules_boilerplate(spark):
+    words = " ".join(f"word{i}" for i in range(60))
+    texts = [f"{words} design in, catalog in, analog in.", f"{words} and then sign in.", f"{words}.\nPlease sign in or log in.", "We design in steel.\n" + words + "."]
+    got = {r.doc_id: r for r in quality_rules.quality_rules(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()}
+    assert all(got[i].kept for i in range(4)) and [got[i].n_failed_lines for i in range(4)] == [0, 0, 1, 0]
