@@ -20,9 +20,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: ``spark.checkpoint.dir``, or a local one where it is unset (tests)."""
+    """The folder that driver and executors share: ``spark.checkpoint.dir``, or a local one where it is unset and all runs on one machine (tests)."""
     path = spark.conf.get("spark.checkpoint.dir", None)
     if not path:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
         path = getattr(spark, "_tessera_shared", None) or "file://" + tempfile.mkdtemp(prefix="tessera-")
         spark._tessera_shared = path
     return path.rstrip("/")
@@ -38,6 +40,25 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
 
 #: Prefix of working columns that stand beside a caller's.
 OWN = "__tessera_"
+#: A key with more than this share of the rows is dealt to many tasks; there are fewer than 1 / HOT such keys.
+HOT = 0.001
+
+
+def join_dealt(rows: DataFrame, found: DataFrame, keys: list[str], n: str) -> DataFrame:
+    """Inner join of ``rows`` with one row of ``found`` a key, whose column ``n`` (dropped) is the number of rows that have it.
+
+    Keys with more than HOT of these rows, so fewer than 1 / HOT keys, are
+    broadcast; their rows are dealt over all partitions by a hash of the row.
+    """
+    spark = rows.sparkSession
+    total = found.agg(F.sum(n)).first()[0] or 0
+    deal = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    salt, hot = f"{OWN}salt", f"{OWN}hot"
+    many = F.broadcast(found.where(F.col(n) > F.lit(HOT * total)).select(*keys, F.lit(True).alias(hot)))
+    mine = F.when(F.col(hot), F.pmod(F.hash(*[f"`{c}`" for c in rows.columns]), F.lit(deal))).otherwise(0)
+    dealt = rows.join(many, keys, "left").withColumn(salt, mine).drop(hot)
+    every = F.when(F.col(n) > F.lit(HOT * total), F.sequence(F.lit(0), F.lit(deal - 1))).otherwise(F.array(F.lit(0)))
+    return dealt.join(found.withColumn(salt, F.explode(every)).drop(n), [*keys, salt]).drop(salt)
 
 
 def named(docs: DataFrame, replaced: dict, dropped: tuple[str, ...] = ()) -> list:

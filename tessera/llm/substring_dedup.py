@@ -1,16 +1,16 @@
-"""Substring dedup by hashed units of text (operator 9).
+"""Substring dedup by hashed lines and sentences (operator 9).
 
 A unit is a line, cut further after sentence ends and before capitalised words,
-so that a passage set into other text still yields its own units. Scripts without
-blanks are cut after their own full stops. Units are normalised (lower case,
-single blanks). A unit of few words is hashed with those
-after it, and once more with those before it, until they have half of MIN_WORDS;
-so each word of a repeated run of MIN_WORDS words lies in a window of its own
-that repeats. Windows are grouped by a 128-bit digest over all documents; the
-earliest occurrence (smallest doc_id, then place) keeps its text. A run of
-repeated units is removed once it has MIN_WORDS words, and ends at the first
-word that no repeated window holds; spans are kept with their offsets in the
-original text.
+so that a passage set into another sentence still yields its own units. Scripts
+without blanks are cut after their own full stops. Units are normalised (lower
+case, single blanks) and hashed; one of fewer than SHORT words is hashed with
+those after it, and once more with those before it, until WINDOW words. These
+windows are grouped by a 128-bit digest over all documents, the earliest
+occurrence (smallest doc_id, then place) being each group's source. A unit goes
+only if it lies in a window that its source holds too, and only as part of a run
+of MIN_WORDS such words or more. Every removed span has its offsets in the
+original text and a source whose text contains the span's words; where the
+sources of a run's windows differ, the run is several spans.
 """
 
 from __future__ import annotations
@@ -21,27 +21,27 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import OWN, materialize, named
+from tessera.llm.common import OWN, join_dealt, materialize, named
 
-#: Words that a removed run has at least, and words below which a unit is hashed with its neighbours.
-MIN_WORDS, SHORT = 10, 3
+#: Words that a removed run has at least; words below which a unit is hashed with its neighbours, and how many they make together.
+MIN_WORDS, SHORT, WINDOW = 30, 3, 6
 _UNITS = r"split(text, '(?<=\\n)|(?<=[.!?][ \\t])(?=[^ \\t\\n])|(?<=[ \\t])(?=\\p{Lu})|(?<=[。！？])(?=[^ \\t\\n])')"
 _NORMAL = r"lower(trim(regexp_replace(u, '[ \\t-\\r]+', ' ')))"
 _SPANS = "array<struct<start:long,end:long,source:long>>"
 #: Kana, Han, Thai, Lao, Khmer and Burmese are written without blanks; two of their characters count as a word.
 _UNSPACED = "".join(f"{chr(a)}-{chr(b)}" for a, b in ((0xE00, 0xEFF), (0x1000, 0x109F), (0x1780, 0x17FF), (0x3040, 0x30FF), (0x3400, 0x4DBF), (0x4E00, 0x9FFF), (0xF900, 0xFAFF), (0x20000, 0x323AF)))
+#: What a unit without a word consists of.
+_BLANKS = " \t\n\x0b\x0c\r"
 _WORD = rf"[{_UNSPACED}]{{1,2}}|[^ \t-\r{_UNSPACED}]+"
 
 
-def windows(min_words: int = MIN_WORDS, short: int = SHORT) -> str:
-    """SQL array of (s, e, w): first and last unit and the words of each window of ``text``.
+def windows(short: int = SHORT, window: int = WINDOW) -> str:
+    """SQL array of (s, e, w): first and last unit and the words of each window of ``text``; units without a word are not counted.
 
-    A unit without a word lies in no window. With ``least`` words in a window, a
-    short unit whose windows to both sides leave a run has 2 * least - 3 words
-    around it at most, which is less than ``min_words``. A window backwards that
-    is one forwards too is left out.
+    A unit of ``short`` words or more is a window of its own. A window backwards
+    that is one forwards too is left out.
     """
-    least = max(short, (min_words + 2) // 2)
+    least = max(short, window)
     none = "named_struct('s', -1, 'e', -1, 'n', 0, 'k', 0, 'w', '')"
     onward = f"""aggregate(slice(v, p + 1, {least}), {none}, (a, y) -> if(a.n >= {least}, a,
       named_struct('s', x.i, 'e', y.i, 'n', a.n + y.n, 'k', x.n, 'w', concat(a.w, ' ', y.u))), a -> if(a.n < {least}, null, named_struct('s', a.s, 'e', a.e, 'w', substr(a.w, 2))))"""
@@ -50,31 +50,56 @@ def windows(min_words: int = MIN_WORDS, short: int = SHORT) -> str:
       a -> if(a.n < {least} or (a.k < {short} and a.n - x.n < {least}), null, named_struct('s', a.s, 'e', a.e, 'w', substr(a.w, 2))))"""
     word = _WORD.replace("\\", "\\\\")
     count = f"if(u = '', 0, if(octet_length(u) = char_length(u), 1 + octet_length(u) - octet_length(replace(u, ' ', '')), cast(regexp_count(u, '{word}') as int)))"
-    return f"""transform(array(filter(transform(transform({_UNITS}, u -> {_NORMAL}), (u, i) -> named_struct('i', i, 'u', u, 'n', {count})), x -> x.n > 0)), v ->
+    return f"""transform(array(transform(filter(transform(transform({_UNITS}, u -> {_NORMAL}), u -> named_struct('u', u, 'n', {count})), x -> x.n > 0), (x, i) -> named_struct('i', i, 'u', x.u, 'n', x.n))), v ->
       flatten(transform(v, (x, p) -> if(x.n >= {short}, array(named_struct('s', x.i, 'e', x.i, 'w', x.u)), filter(array({onward}, {back}), y -> y is not null)))))[0]"""
 
 
-def removed_spans(units: list[str], marks: list[tuple[int, int, int]], min_words: int = MIN_WORDS) -> list[tuple[int, int, int]]:
-    """(start, end, source) in code points of the runs to remove; marks: first and last unit of a repeated window, doc_id of its earliest occurrence."""
-    sources = {}
-    for s, e, source in marks:
-        for i in range(s, e + 1):
-            sources[i] = min(source, sources.get(i, source))
-    out, at, run, words = [], 0, None, 0
-    for i, u in enumerate(units):
-        n = len(re.findall(_WORD, u)) if i in sources or run is not None else 0
-        if i in sources and n:
-            if run is None:
-                run, words = [at, 0, sources[i]], 0
-            words += n
-            run[1] = at + len(u)
-        elif n:
-            if words >= min_words:
-                out.append(tuple(run))
-            run = None
+def removed_spans(units: list[str], marks: list[tuple[int, int, int, int]], min_words: int = MIN_WORDS) -> list[tuple[int, int, int]]:
+    """(start, end, source) in code points of what goes.
+
+    marks: first and last unit of a repeated window, doc_id of its earliest
+    occurrence and the first unit there; units without a word are not counted.
+    """
+    # windows that lie alike in one source grow together: the source holds their units one after another
+    alike: dict[tuple[int, int], list[list[int]]] = {}
+    for s, e, source, there in sorted(marks):
+        spans = alike.setdefault((source, there - s), [])
+        if spans and s <= spans[-1][1] + 1:
+            spans[-1][1] = max(spans[-1][1], e)
+        else:
+            spans.append([s, e])
+    stretches = sorted((s, -e, source) for (source, _), spans in alike.items() for s, e in spans)
+    at, begin, end = 0, [], []
+    for u in units:
+        if u.strip(_BLANKS):
+            begin.append(at)
+            end.append(at + len(u))
         at += len(u)
-    if run is not None and words >= min_words:
-        out.append(tuple(run))
+    text = "".join(units)
+    out: list[tuple[int, int, int]] = []
+    run: list[tuple[int, int, int]] = []
+
+    def close():
+        if run and len(re.findall(_WORD, text[begin[run[0][0]] : end[run[-1][1]]])) >= min_words:
+            for k, (s, e, source) in enumerate(run):
+                out.append((begin[s], begin[run[k + 1][0]] if k + 1 < len(run) else end[e], source))
+        run.clear()
+
+    k, upto = 0, 0
+    best = None  # of the stretches that begin at ``upto`` or before, the one that reaches farthest
+    while k < len(stretches) or best:
+        while k < len(stretches) and stretches[k][0] <= upto:
+            s, e, source = stretches[k][0], -stretches[k][1], stretches[k][2]
+            if e >= upto and (best is None or e > best[0] or (e == best[0] and source < best[1])):
+                best = e, source
+            k += 1
+        if best:
+            run.append((upto, *best))
+            upto, best = best[0] + 1, None
+        elif k < len(stretches):
+            close()
+            upto = stretches[k][0]
+    close()
     return out
 
 
@@ -83,7 +108,7 @@ def _remove(min_words: int):
         for batch in batches:
             ids, texts, spans = [], [], []
             for doc, units, marks in zip(*(c.to_pylist() for c in batch.columns)):
-                gone = removed_spans(units, [(m["s"], m["e"], m["source"]) for m in marks], min_words)
+                gone = removed_spans(units, [(m["s"], m["e"], m["source"], m["there"]) for m in marks], min_words)
                 text, at, kept = "".join(units), 0, []
                 for a, b, _ in gone:
                     kept.append(text[at:a])
@@ -97,20 +122,22 @@ def _remove(min_words: int):
     return run
 
 
-def substring_dedup(docs: DataFrame, min_words: int = MIN_WORDS, short: int = SHORT) -> DataFrame:
+def substring_dedup(docs: DataFrame, min_words: int = MIN_WORDS, short: int = SHORT, window: int = WINDOW) -> DataFrame:
     """``docs`` with repeated runs taken out of ``text``, and removed: array of (start, end, source).
 
-    A null text stays null; empty and blank texts have no units and stay. Rows
-    that share a doc_id are one document; a row without one keeps its text. All
-    other columns pass through (but for one named removed); an empty table gives
-    no rows.
+    A null text stays null; empty and blank texts have no units and stay. A very
+    long text is a row of units like any other; a task holds the units of a few
+    such rows. Rows that share a doc_id are one document; a row without one keeps
+    its text. Of occurrences in one document the first place is the earliest one
+    (ties cannot be: a place is unique). All other columns pass through (but for
+    one named removed); an empty table gives no rows.
     """
     held = docs.where(F.col("text").isNotNull() & F.col("doc_id").isNotNull()).select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    units = held.select("doc_id", F.explode(F.expr(windows(min_words, short))).alias("u"))
+    units = held.select("doc_id", F.explode(F.expr(windows(short, window))).alias("u"))
     units = materialize(units.select("doc_id", "u.s", "u.e", F.xxhash64("u.w").alias("h1"), F.xxhash64(F.lit(1), "u.w").alias("h2")), "units")
-    first = units.groupBy("h1", "h2").agg(F.min(F.struct("doc_id", "s", "e")).alias("first"), F.count("*").alias("n")).where("n > 1").drop("n")
-    later = units.join(materialize(first, "first"), ["h1", "h2"]).where("doc_id <> first.doc_id or s > first.e")
-    marks = later.groupBy(F.col("doc_id").alias("d")).agg(F.collect_set(F.struct("s", "e", F.col("first.doc_id").alias("source"))).alias("marks"))
+    first = units.groupBy("h1", "h2").agg(F.min(F.struct("doc_id", "s", "e")).alias("first"), F.count("*").alias("n")).where("n > 1")
+    later = join_dealt(units, materialize(first, "first"), ["h1", "h2"], "n").where("doc_id <> first.doc_id or s > first.e")
+    marks = later.groupBy(F.col("doc_id").alias("d")).agg(F.collect_set(F.struct("s", "e", F.col("first.doc_id").alias("source"), F.col("first.s").alias("there"))).alias("marks"))
     cut = held.join(materialize(marks, "marks"), F.col("doc_id") == F.col("d")).select("doc_id", F.expr(_UNITS).alias("units"), "marks")
     of, kept, spans = f"{OWN}of", f"{OWN}kept", f"{OWN}spans"
     cut = cut.mapInArrow(_remove(min_words), f"{of} long, {kept} string, {spans} {_SPANS}").where(F.size(spans) > 0)
