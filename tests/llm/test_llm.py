@@ -21,7 +21,7 @@ ODD = [
     (1, None), (2, ""), (3, " \n\t "), (4, "one two"), (5, "one two"), (6, "One  TWO"), (7, LONG), (8, LONG + " tail"), (9, LONG), (9, LONG),
     (10, "First line here.\nSecond line there.\nThird."), (11, "Intro of eleven.\nFirst line here.\nSecond line there.\nThird."), (12, "x" * 5000), (13, "日本語 😀 ï\r\nß"),
     (14, "Some own words come first " + PASSAGE + " and then some more"), (15, "Quite other words begin here " + PASSAGE + " with another end"), (16, PASSAGE),
-    (17, " ".join("a b c".split() * 30)), (None, "no id"),
+    (17, " ".join("a b c".split() * 30)), (18, "One.\n\nTwo.\n \nThree.\nFour."), (19, "One.\nTwo.\nThree.\n\n\nFour."), (20, "Same.\n" * 40), (21, "Same.\n" * 41), (None, "no id"),
 ]
 
 
@@ -124,26 +124,35 @@ def test_quality_rules(spark, docs, odd, empty):
 
 
 def brute_lines(rows):
-    seen, out = {}, {}
+    seen, out = set(), {}
     for i, t in sorted(set(rows)):
         lines = t.split("\n")
-        h = [int(hashlib.md5(x.encode()).hexdigest()[:8], 16) for x in lines]
-        start, kept, gone = 0, [], 0
-        for k in range(len(lines)):
-            if k == len(lines) - 1 or (h[k] + line_dedup.ROLL * (h[k - 1] if k else 0)) % line_dedup.MEAN_LINES == 0:
-                part = lines[start : k + 1]
-                full = sum(bool(WORD.search(x)) for x in part) > 1
-                if full and "\n".join(part) in seen:
-                    gone += len(part)
-                else:
-                    kept += part
-                    if full:
-                        seen["\n".join(part)] = i
+        at = [k for k, x in enumerate(lines) if WORD.search(x)]
+        h = [0, 0, *(int(hashlib.md5(lines[k].encode()).hexdigest()[:7], 16) for k in at)]
+        marks = [((h[k + 2] * line_dedup.BASE + h[k + 1]) * line_dedup.BASE + h[k]) % line_dedup.MODULUS % line_dedup.ONE_IN == 0 for k in range(len(at))]
+        start, gone = 0, set()
+        for k in range(len(at)):
+            if k == len(at) - 1 or (0 < k < len(at) - 2 and marks[k] and not (k > 1 and marks[k - 1])):
+                body = "\n".join(lines[x] for x in at[start : k + 1])
+                if k > start:
+                    if body in seen:
+                        gone.update(range(at[start], at[k] + 1))
+                    seen.add(body)
                 start = k + 1
-        out[i] = "\n".join(kept), len(lines), gone
+        out[i] = "\n".join(x for k, x in enumerate(lines) if k not in gone), len(lines), len(gone)
     return out
 
 
+def test_line_dedup_of_copies(spark):
+    """Whole copies go but for nothing, however many of their lines are equal; a shared run goes but for its edges."""
+    same = "\n".join(["Head line one.", "Second line.", *["Equal line."] * 6, "Last line."])
+    shared = [f"Shared line number {k}." for k in range(30)]
+    texts = [same, same, same, "\n".join(["Own a.", "Own b.", *shared, "End a."]), "\n".join(["Other c.", *shared, "End d.", "End e.", "End f."]), "\n\n".join(shared)]
+    got = {r.doc_id: r.text for r in line_dedup.line_dedup(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()}
+    assert got[0] == same and got[1] == got[2] == "" and got[3] == texts[3]
+    assert sum(x in got[4] for x in shared) <= 6 and sum(x in got[5] for x in shared) <= 6 and all(x in got[4] for x in ("Other c.", "End d.", "End f."))
+
+
 @pytest.mark.parametrize("which", ["docs", "odd", "empty"])
 def test_line_dedup(which, request):
     df = request.getfixturevalue(which)
