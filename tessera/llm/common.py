@@ -31,7 +31,10 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def materialize(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` to the shared folder and read it back: cuts lineage, survives lost executors, forgets partitioning."""
+    """Write ``df`` to the shared folder and read it back: cuts lineage, survives lost executors, forgets partitioning.
+
+    The table stays, since results are read from it lazily; the folder is the caller's to empty after a job.
+    """
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
@@ -44,8 +47,8 @@ OWN = "__tessera_"
 HOT = 0.001
 
 
-def join_dealt(rows: DataFrame, found: DataFrame, keys: list[str], n: str) -> DataFrame:
-    """Inner join of ``rows`` with one row of ``found`` a key, whose column ``n`` (dropped) is the number of rows that have it.
+def join_dealt(rows: DataFrame, found: DataFrame, keys: list[str], n: str, how: str = "inner") -> DataFrame:
+    """Inner or left join of ``rows`` with one row of ``found`` a key, whose column ``n`` (dropped) is the number of rows that have it.
 
     Keys with more than HOT of these rows, so fewer than 1 / HOT keys, are
     broadcast; their rows are dealt over all partitions by a hash of the row.
@@ -58,7 +61,7 @@ def join_dealt(rows: DataFrame, found: DataFrame, keys: list[str], n: str) -> Da
     mine = F.when(F.col(hot), F.pmod(F.hash(*[f"`{c}`" for c in rows.columns]), F.lit(deal))).otherwise(0)
     dealt = rows.join(many, keys, "left").withColumn(salt, mine).drop(hot)
     every = F.when(F.col(n) > F.lit(HOT * total), F.sequence(F.lit(0), F.lit(deal - 1))).otherwise(F.array(F.lit(0)))
-    return dealt.join(found.withColumn(salt, F.explode(every)).drop(n), [*keys, salt]).drop(salt)
+    return dealt.join(found.withColumn(salt, F.explode(every)).drop(n), [*keys, salt], how).drop(salt)
 
 
 def named(docs: DataFrame, replaced: dict, dropped: tuple[str, ...] = ()) -> list:

@@ -10,14 +10,23 @@ similarity of 0.75 or more:
 2. Equal sets collapse into one class. A class's prefix in rare-first order
    (unshared tokens first) must hold a token of each partner's prefix; classes
    whose unshared tokens fill the prefix drop out here, which is most of them.
-3. Classes that meet in prefix tokens form families (connected components).
-   A family is joined in blocks of classes; within a pair of blocks each class
+3. Classes that meet in prefix tokens form families (connected components). Where
+   a token is so frequent that its family is large, and lengthening costs less
+   than the pairs it saves, the classes of that family lengthen their prefixes by
+   one token and must share two: a frequent token meets nobody by itself, only
+   together with another token of the longer prefix. What falls apart so is
+   dealt as several families.
+4. A family is joined in blocks of classes; within a pair of blocks each class
    picks how far to lengthen its prefix by estimated cost and verifies only
    partners with as many shared prefix tokens as that length asks for.
-4. A block pair returns a spanning forest of its links and each class's number
+5. A block pair returns a spanning forest of its links and each class's number
    of links, never the pairs; components of the forests are the groups.
 
-Nothing is capped, sampled or collected; blocks bound each task's memory.
+Nothing is capped, sampled or collected; blocks bound each task's memory. Tokens
+are 64-bit hashes and are not compared below them: of s different shingles some
+s * s / 2**65 pairs coincide (less than one at 30 GB of text), and one matters
+only where it lifts a pair of documents over the threshold. A very long text is
+one set, which a task holds while it is hashed.
 """
 
 from __future__ import annotations
@@ -30,7 +39,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import documents, materialize, mix, slices, text_bytes
+from tessera.llm.common import documents, join_dealt, materialize, mix, slices, text_bytes
 from tessera.llm.components import components
 from tessera.llm.shingles import shingle_sets
 
@@ -38,11 +47,10 @@ from tessera.llm.shingles import shingle_sets
 SIMILARITY = (75, 100)
 #: Tokens (hash range) that one counting group holds, and tokens of one block of documents.
 GROUP_TOKENS, BLOCK_TOKENS, BLOCK_DOCS = 1_000_000, 500_000, 60_000
-#: Classes of a family that one side of a block pair holds; salts that larger families are dealt by.
-FAMILY_BLOCK, SALTS = 1024, 64
+#: Classes of a family, and bytes of their tokens, that one side of a block pair holds.
+FAMILY_BLOCK, FAMILY_BYTES = 256, 32 << 20
 #: Lengths that a prefix may be extended to, and shared tokens then required.
 MATCHES = (1, 2, 4, 8, 16, 32)
-_LOW = np.uint64((1 << 48) - 1)
 _REQUESTS = pa.schema([("part", pa.int64()), ("phase", pa.int32()), ("block", pa.int64()), ("a", pa.binary()), ("b", pa.binary())])
 _REQUESTS_SQL = "part long, phase int, block long, a binary, b binary"
 _ANSWERS = pa.schema([("block", pa.int64()), ("kind", pa.int32()), ("a", pa.binary()), ("b", pa.binary()), ("c", pa.binary())])
@@ -81,12 +89,11 @@ def _ask(parts: int):
                 count = np.diff(np.append(new, len(tokens))).astype(np.uint16)
                 distinct = tokens[new]
                 part = ((distinct >> np.uint64(32)) * np.uint64(parts) >> np.uint64(32)).astype(np.int64)
-                low = (distinct & _LOW).view(np.uint8).reshape(-1, 8)[:, :6]
                 cuts = np.flatnonzero(np.concatenate([[True], part[1:] != part[:-1], [True]]))
                 ends = np.append(new, len(tokens))
                 for a, b in zip(cuts[:-1], cuts[1:]):
                     p = int(part[a])
-                    rows.append((p, 0, block, low[a:b].tobytes(), count[a:b].tobytes()))
+                    rows.append((p, 0, block, distinct[a:b].tobytes(), count[a:b].tobytes()))
                     rows.append((p, 1, block, owner[ends[a] : ends[b]].tobytes(), b""))
             ids, sets, held = [], [], 0
             return pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*rows), _REQUESTS.types)], schema=_REQUESTS)
@@ -108,12 +115,6 @@ def _ask(parts: int):
     return run
 
 
-def _tokens48(raw: bytes) -> np.ndarray:
-    out = np.zeros((len(raw) // 6, 8), np.uint8)
-    out[:, :6] = np.frombuffer(raw, np.uint8).reshape(-1, 6)
-    return out.view(np.uint64).ravel()
-
-
 def _answer(batches):
     """Requests sorted by (part, phase, block) -> per block its postings of tokens that two documents share.
 
@@ -128,7 +129,7 @@ def _answer(batches):
         order = np.argsort(tokens, kind="stable")
         tokens, count = tokens[order], count[order]
         new = np.flatnonzero(np.concatenate([[True], tokens[1:] != tokens[:-1]]))
-        total = np.add.reduceat(count, new)
+        total = np.add.reduceat(count, new)  # clipped below: it only ranks tokens
         return tokens[new][total > 1], np.minimum(total[total > 1], 0xFFFFFFFF).astype(np.uint32)
 
     for batch in batches:
@@ -137,7 +138,7 @@ def _answer(batches):
             if p != part:
                 part, asked, shared = p, {}, None
             if phase == 0:
-                asked[block] = _tokens48(a), np.frombuffer(b, np.uint16)
+                asked[block] = np.frombuffer(a, np.uint64), np.frombuffer(b, np.uint16)
             elif phase == 1:
                 if shared is None:
                     shared = closed()
@@ -148,8 +149,7 @@ def _answer(batches):
                 hit = shared[0][at] == tokens
                 if hit.any():
                     owners = np.frombuffer(a, np.uint16)[np.repeat(hit, count)]
-                    name = mix(tokens[hit] + np.uint64(p * 0x9E3779B97F4A7C15 % (1 << 64)))
-                    rows.append((block, 0, owners.tobytes(), np.repeat(name, count[hit]).tobytes(), np.repeat(shared[1][at[hit]], count[hit]).tobytes()))
+                    rows.append((block, 0, owners.tobytes(), np.repeat(tokens[hit], count[hit]).tobytes(), np.repeat(shared[1][at[hit]], count[hit]).tobytes()))
             else:
                 rows.append((block, 1, a, b, b""))
         if rows:
@@ -191,21 +191,78 @@ def shingle_table(docs: DataFrame, similarity: tuple[int, int] = SIMILARITY) ->
     return answers.groupBy("block").applyInPandas(_assemble(similarity), _SETS_SQL)
 
 
+def _prefix(tokens: np.ndarray, n: int, similarity: tuple[int, int], matches: int = 1) -> np.ndarray:
+    """Shared tokens in the prefix in which partners share at least so many tokens."""
+    return tokens[: max(0, int(n - least_overlap(n, similarity) + matches - (n - len(tokens))))]
+
+
 def _prefixes(similarity: tuple[int, int]):
-    """Classes -> (token, rep) for the shared tokens of each class's prefix."""
+    """Classes (rep, n, tokens) -> (token, rep) for the shared tokens of each class's prefix."""
 
     def run(batches):
         for batch in batches:
             reps = batch.column(0).to_numpy(zero_copy_only=False)
-            n = batch.column(1).to_numpy(zero_copy_only=False)
-            tokens = [np.frombuffer(x, np.int64) for x in batch.column(2).to_pylist()]
-            length = n - least_overlap(n, similarity) + 1
-            kept = [t[: max(0, int(p - (m - len(t))))] for t, p, m in zip(tokens, length, n)]
+            kept = [_prefix(np.frombuffer(x, np.int64), n, similarity) for n, x in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist())]
             yield pa.RecordBatch.from_arrays([pa.array(np.concatenate([*kept, np.zeros(0, np.int64)])), pa.array(np.repeat(reps, [len(k) for k in kept]))], names=["token", "rep"])
 
     return run
 
 
+def _lengthened(similarity: tuple[int, int]):
+    """Classes (rep, n, tokens, frequent) -> (token, rep): tokens of the prefix, but for a frequent one its pairs with each other token of the prefix that two matches ask for.
+
+    A set of one token links with none but its copies and has no row.
+    """
+
+    def run(batches):
+        for batch in batches:
+            for rep, n, raw, frequent in zip(*(c.to_pylist() for c in batch.columns)):
+                if n < 2:
+                    continue
+                tokens = np.frombuffer(raw, np.int64)
+                mine, longer = _prefix(tokens, n, similarity), _prefix(tokens, n, similarity, 2).view(np.uint64)
+                often = np.isin(mine, np.array(frequent or [], np.int64))
+                out = [mine[~often]]
+                for t in mine[often].view(np.uint64):
+                    other = longer[longer != t]
+                    out.append(mix(np.minimum(other, t) * np.uint64(0x9E3779B97F4A7C15) + mix(np.maximum(other, t))).view(np.int64))
+                found = np.unique(np.concatenate(out))
+                yield pa.RecordBatch.from_arrays([pa.array(found), pa.array(np.full(len(found), rep, np.int64))], names=["token", "rep"])
+
+    return run
+
+
+def _families(posts: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """((rep, component) of classes that meet in tokens, (token, head, df) of the tokens they meet in)."""
+    heads = materialize(posts.groupBy("token").agg(F.min("rep").alias("head"), F.count("*").alias("df")).where("df > 1"), "heads")
+    return materialize(components(join_dealt(posts, heads, ["token"], "df").select("head", "rep"), "head", "rep").withColumnRenamed("node", "rep"), "families"), heads
+
+
+def _members(able: DataFrame, similarity: tuple[int, int], block: int) -> DataFrame:
+    """(component, rep, n, tokens): classes by family; frequent tokens of large families ask for a second match where that costs less than the pairs."""
+    posts = materialize(able.mapInArrow(_prefixes(similarity), "token long, rep long"), "posts")
+    families, heads = _families(posts)
+    members = materialize(able.join(families, "rep").select("component", "rep", "n", "tokens"), "members")
+    large = materialize(members.groupBy("component").agg(F.count("*").alias("size")).where(F.col("size") > block).withColumn("large", F.lit(True)), "large")
+    if not large.limit(1).count():
+        return members
+    split = join_dealt(members, large, ["component"], "size", "left")
+    big = materialize(split.where("large").drop("large"), "big")
+    own = big.select("rep", "n", "tokens").mapInArrow(_prefixes(similarity), "token long, rep long")
+    frequent = join_dealt(own, heads.where(F.col("df") > block).select("token", "df"), ["token"], "df").groupBy("rep").agg(F.collect_set("token").alias("frequent"))
+    told = materialize(big.join(frequent, "rep", "left"), "told")
+    cost = F.coalesce(F.size("frequent"), F.lit(0)).cast("double") * F.octet_length("tokens") / 8
+    gain = told.groupBy("component").agg(F.count("*").alias("size"), F.sum(cost).alias("cost"), F.max(F.size("frequent")).alias("most"))
+    gain = gain.where("most > 0 and cost < size * size / 2").select("component", "size", F.lit(True).alias("longer"))
+    told = materialize(join_dealt(told, materialize(gain, "gain"), ["component"], "size", "left"), "told")
+    anew, _ = _families(materialize(told.where("longer").select("rep", "n", "tokens", "frequent").mapInArrow(_lengthened(similarity), "token long, rep long"), "posts"))
+    out = [split.where("large is null"), told.where("longer is null"), told.where("longer").drop("component").join(anew, "rep")]
+    first, *rest = [x.select("component", "rep", "n", "tokens") for x in out]
+    for x in rest:
+        first = first.union(x)
+    return materialize(first, "members")
+
+
 def adaptive_links(n_a, tokens_a, n_b=None, tokens_b=None, similarity: tuple[int, int] = SIMILARITY):
     """Links (i, j) between sets a and b, or within a (i < j): sizes, and shared tokens as int arrays.
 
@@ -307,31 +364,27 @@ def _join_blocks(similarity: tuple[int, int]):
     return run
 
 
-def jaccard_groups(docs: DataFrame, similarity: tuple[int, int] = SIMILARITY) -> DataFrame:
+def jaccard_groups(docs: DataFrame, similarity: tuple[int, int] = SIMILARITY, block: int = FAMILY_BLOCK) -> DataFrame:
     """(doc_id, n_shingles, component_id, n_links) of every document.
 
     component_id is the smallest doc_id that links reach, n_links the number of
     *different* sets that link to the document's. Documents without words (null,
-    empty or blank text) have no shingles and link with nothing. Repeated rows of
-    one doc_id count as copies. Any other column is ignored; an empty table gives
-    no rows.
+    empty or blank text) have no shingles and link with nothing; a similarity of
+    just the threshold is a link. Repeated rows of one doc_id count as copies. Any
+    other column is ignored; an empty table gives no rows.
     """
     sets = materialize(shingle_table(docs, similarity), "sets")
     some = sets.where("n > 0")
-    classes = materialize(some.groupBy("d0", "d1").agg(F.min("doc_id").alias("rep")), "classes")
+    classes = materialize(some.groupBy("d0", "d1").agg(F.min("doc_id").alias("rep"), F.count("*").alias("copies")), "classes")
     # of the documents with a possible partner, the one that stands for its class
     able = some.where("tokens is not null").select("doc_id", "n", "tokens").dropDuplicates(["doc_id"])
     able = materialize(able.join(classes.select(F.col("rep").alias("doc_id")), "doc_id", "left_semi").withColumnRenamed("doc_id", "rep"), "able")
-    posts = materialize(able.mapInArrow(_prefixes(similarity), "token long, rep long"), "posts")
-    heads = posts.groupBy("token").agg(F.min("rep").alias("head"), F.count("*").alias("df")).where("df > 1").drop("df")
-    families = components(posts.join(materialize(heads, "heads"), "token").select("head", "rep"), "head", "rep")
-    members = materialize(able.join(materialize(families.withColumnRenamed("node", "rep"), "families"), "rep"), "members")
-    # blocks of a family by a hash of the class: about FAMILY_BLOCK classes each, whatever the family's size;
-    # a family of one block needs no size, so only the few larger ones are repeated for every salt
-    sized = members.groupBy("component").agg(F.count("*").alias("size")).where(F.col("size") > FAMILY_BLOCK)
-    sized = sized.select("component", F.ceil(F.col("size") / F.lit(FAMILY_BLOCK)).cast("int").alias("blocks"), F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt"))
-    salted = members.withColumn("salt", F.pmod(F.hash("rep"), F.lit(SALTS)))
-    dealt = salted.join(sized, ["component", "salt"], "left").fillna(1, "blocks").withColumn("mine", F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int"))
+    members = _members(able, similarity, block)
+    # blocks of a family by a hash of the class, about ``block`` classes each, whatever the family's size
+    sized = members.groupBy("component").agg(F.count("*").alias("size"), F.sum(F.octet_length("tokens")).alias("bytes"))
+    blocks = F.greatest(F.ceil(F.col("size") / F.lit(block)), F.ceil(F.col("bytes") / F.lit(FAMILY_BYTES))).cast("int")
+    sized = materialize(sized.select("component", "size", blocks.alias("blocks")).where("blocks > 1"), "sized")
+    dealt = join_dealt(members, sized, ["component"], "size", "left").fillna(1, "blocks").withColumn("mine", F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int"))
     met = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     met = met.select("component", "rep", "n", "tokens", F.least("mine", "other").alias("bi"), F.greatest("mine", "other").alias("bj"), F.when(F.col("mine") <= F.col("other"), 0).otherwise(1).alias("side"))
     found = materialize(met.groupBy("component", "bi", "bj").applyInPandas(_join_blocks(similarity), "a long, b long, links long"), "links")
@@ -339,6 +392,6 @@ def jaccard_groups(docs: DataFrame, similarity: tuple[int, int] = SIMILARITY) ->
     degree = found.where("links > 0").groupBy(F.col("a").alias("rep")).agg(F.sum("links").alias("n_links"))
     named = materialize(classes.join(groups, "rep", "left").join(degree, "rep", "left"), "named")
     return (
-        sets.join(named, ["d0", "d1"], "left")
+        join_dealt(sets, named, ["d0", "d1"], "copies", "left")
         .select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component", "rep", "doc_id").alias("component_id"), F.coalesce("n_links", F.lit(0)).alias("n_links"))
     )
