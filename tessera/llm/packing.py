@@ -4,7 +4,13 @@ Documents lie one after another in ascending doc_id order. Windows of at most
 LENGTH tokens are cut at document ends, at sentence ends for a penalty, or, in a
 stretch with neither, anywhere for a higher one. The cheapest cuts (padding, cut
 penalties, a little for each window) come from a monotone queue: with f the
-cheapest cost up to a cut, f(i) + place(i) is what a later cut looks for.
+cheapest cost up to a cut, f(i) + place(i) is what a later cut looks for; windows
+of a power of two, which count no padding, are looked up by place. Cuts are the
+cheapest within a segment of SEGMENT tokens of a partition (PARTITION_BYTES of
+text): a segment's last window is left to the next one, whose programme starts
+there, and a partition's last window ends with the partition. So at most one
+window in SEGMENT / LENGTH is not chosen with all that follows in view, and one a
+partition may be short.
 """
 
 from __future__ import annotations
@@ -23,7 +29,7 @@ from tessera.llm.token_store import in_order, part_starts
 
 LENGTH = 4096
 #: In tokens of padding: a cut at a sentence's end, a cut elsewhere, a window.
-SENTENCE_CUT, FORCED_CUT, WINDOW = 8, 64, 4
+SENTENCE_CUT, FORCED_CUT, WINDOW = 8, 64, 256
 #: Tokens that are packed at a time; the last window of them goes on to the next.
 SEGMENT = 1 << 20
 _POWERS = tuple(1 << k for k in range(12))
@@ -56,10 +62,13 @@ def windows(places: np.ndarray, cost: np.ndarray, length: int = LENGTH) -> list[
     at, pen = places.tolist(), cost.tolist()
     n = len(at)
     best, back = [0] * n, [0] * n
-    where = {p: i for i, p in enumerate(at)}
+    # for each place, the places that lie a power of two or ``length`` before it
+    exact: list[list[int]] = [[] for _ in at]
+    for k in {*(k for k in _POWERS if k <= length), length}:
+        x = np.minimum(np.searchsorted(places, places - k), n - 1)
+        for j, i in zip(*(y[places[x] == places - k].tolist() for y in (np.arange(n), x))):
+            exact[j].append(i)
     queue: deque[tuple[int, int]] = deque([(0, 0)])  # (best + place, index), rising
-    find = where.get
-    powers = [k for k in _POWERS if k <= length]
     for j in range(1, n):
         p = at[j]
         low = p - length
@@ -67,13 +76,9 @@ def windows(places: np.ndarray, cost: np.ndarray, length: int = LENGTH) -> list[
             queue.popleft()
         value, i = queue[0]
         value += length - p
-        for k in powers:
-            x = find(p - k)
-            if x is not None and best[x] < value:
+        for x in exact[j]:
+            if best[x] < value:
                 value, i = best[x], x
-        x = find(low)
-        if x is not None and best[x] < value:
-            value, i = best[x], x
         best[j] = value = value + pen[j] + WINDOW
         back[j] = i
         value += p
@@ -157,13 +162,13 @@ def _pack(path: str | None, length: int):
 def pack(docs: DataFrame, path: str | None = None, length: int = LENGTH) -> DataFrame:
     """A row for each piece: doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset.
 
-    Null and empty texts are their end id alone. Rows of equal doc_id follow one
-    another; other columns are ignored; an empty table gives no rows. Each
-    partition's last window may be short; sequence ids go on from one to the next.
+    Null and empty texts are their end id alone. A very long text is cut into
+    pieces; its ids are in memory at once. Rows of equal doc_id (ties) follow one
+    another, ordered by text; of cuts that cost the same the earliest found wins.
+    Other columns are ignored; an empty table gives no rows. Sequence ids go on
+    from one partition to the next.
     """
     kind = "part long, doc_id long, start long, length long, ids_crc32 long, doc_tokens long, window long, offset long"
     packed = materialize(in_order(docs).mapInArrow(_pack(path, length), kind), "packed")
-    counts = packed.groupBy("part").agg((F.max("window") + 1).alias("n"))
-    starts = part_starts(counts, "n")
-    base = F.element_at(F.create_map(*[F.lit(x) for kv in (starts or {-1: 0}).items() for x in kv]), F.col("part").cast("int"))
-    return packed.select("doc_id", "start", "length", "ids_crc32", "doc_tokens", (base + F.col("window")).cast("long").alias("sequence_id"), "offset")
+    base = part_starts(packed.groupBy("part").agg((F.max("window") + 1).alias("n")), "n")
+    return packed.join(base, "part").select("doc_id", "start", "length", "ids_crc32", "doc_tokens", (F.col("base") + F.col("window")).alias("sequence_id"), "offset")

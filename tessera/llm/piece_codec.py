@@ -128,8 +128,6 @@ class PieceCodec:
         """All ids of a text, as the library gives them."""
         if not text:
             return []
-        if "\0" in text:
-            return self.library.encode(text)
         return list(chain.from_iterable(map(self._known, _SEGMENT.findall(_BLANK + text.replace(" ", _BLANK)))))
 
     def decode(self, ids: list[int]) -> str:
@@ -196,5 +194,11 @@ def _run(path: str | None):
 
 
 def piece_digests(docs: DataFrame, path: str | None = None) -> DataFrame:
-    """(doc_id, n_tokens, ids_sha256, decoded_sha256) of every row. Null texts are empty: no ids. Other columns are ignored; repeated rows give equal rows."""
+    """(doc_id, n_tokens, ids_sha256, decoded_sha256) of every row.
+
+    Null texts are empty: no ids. A very long text is encoded segment by segment;
+    one segment (no blank in it) is in memory with its matches. Ties are the
+    library's: of merges of one score the leftmost comes first. Other columns are
+    ignored; repeated rows give equal rows; an empty table gives none.
+    """
     return documents(docs).mapInArrow(_run(path), "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")

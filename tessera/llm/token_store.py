@@ -13,7 +13,7 @@ import zlib
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tessera.llm import wordbpe
@@ -22,6 +22,8 @@ from tessera.llm.common import documents, materialize
 LEVEL_BITS = 8
 #: Tokens of a full shard, bits of a rank directory's entry, UTF-8 bytes of text dealt to a partition.
 SHARD, RANK_BITS, PARTITION_BYTES = 1 << 20, 512, 24 << 20
+#: Parts that one task of the prefix sum takes.
+GROUP = 1024
 _MAGIC = b"DAC1"
 _POP = np.unpackbits(np.arange(256, dtype=np.uint8)[:, None], axis=1).sum(1).astype(np.uint32)
 
@@ -131,33 +133,41 @@ def in_order(docs: DataFrame) -> DataFrame:
 
 
 def write_tokens(docs: DataFrame, path: str | None = None) -> DataFrame:
-    """The table of shards: part, serial, start (within the part), n_tokens, docs, ends, codes. Null texts are empty: the end id alone."""
+    """The table of shards: part, serial, start (within the part), n_tokens, docs, ends, codes.
+
+    Null and empty texts are the end id alone. A very long text is one document of
+    one shard, however large (a shard ends with a document). Rows of equal doc_id
+    (ties) lie together, ordered by text; other columns are ignored; an empty
+    table gives no shards.
+    """
     kind = "part long, serial long, start long, n_tokens long, docs binary, ends binary, codes binary"
     return materialize(in_order(docs).mapInArrow(_write(path), kind), "tokens")
 
 
-def part_starts(counts: DataFrame, n: str) -> dict[int, int]:
-    """Ids before each part, from one number a part."""
-    total, out = 0, {}
-    for part, m in sorted(counts.groupBy("part").agg(F.sum(n)).collect()):
-        out[part] = total
-        total += m
-    return out
+def part_starts(counts: DataFrame, n: str) -> DataFrame:
+    """(part, base): the sum of ``n`` over all parts before, from counts a part.
 
+    A prefix sum in two levels: parts of a group of GROUP in order, and the groups' sums in order.
+    """
+    parts = materialize(counts.groupBy("part").agg(F.sum(n).alias("n")).withColumn("group", F.floor(F.col("part") / GROUP)), "counts")
+    before = Window.rowsBetween(Window.unboundedPreceding, -1)
+    groups = parts.groupBy("group").agg(F.sum("n").alias("n"))
+    groups = groups.select("group", F.coalesce(F.sum("n").over(before.orderBy("group")), F.lit(0)).alias("first"))
+    inner = parts.select("part", "group", F.coalesce(F.sum("n").over(before.partitionBy("group").orderBy("part")), F.lit(0)).alias("inner"))
+    return inner.join(groups, "group").select("part", (F.col("first") + F.col("inner")).alias("base"))
 
-def _read(starts: dict[int, int]):
-    def run(batches):
-        for batch in batches:
-            for part, start, docs, ends, codes in zip(*(batch.column(i).to_pylist() for i in range(5))):
-                shard = Codes(codes)
-                last = np.frombuffer(ends, "<i8")
-                first = np.concatenate([[0], last[:-1]])
-                crc = [zlib.crc32(shard.range(int(a), int(b)).astype("<u4").tobytes()) for a, b in zip(first, last)]
-                yield pa.RecordBatch.from_arrays([pa.array(np.frombuffer(docs, "<i8")), pa.array(starts[part] + start + first), pa.array(last - first), pa.array(crc, pa.int64())], names=["doc_id", "start", "n_tokens", "ids_crc32"])
 
-    return run
+def _read(batches):
+    for batch in batches:
+        for part, start, docs, ends, codes in zip(*(batch.column(i).to_pylist() for i in range(5))):
+            shard = Codes(codes)
+            last = np.frombuffer(ends, "<i8")
+            first = np.concatenate([[0], last[:-1]])
+            crc = [zlib.crc32(shard.range(int(a), int(b)).astype("<u4").tobytes()) for a, b in zip(first, last)]
+            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(last), part)), pa.array(np.frombuffer(docs, "<i8")), pa.array(start + first), pa.array(last - first), pa.array(crc, pa.int64())], names=["part", "doc_id", "start", "n_tokens", "ids_crc32"])
 
 
 def read_tokens(shards: DataFrame) -> DataFrame:
-    """(doc_id, start, n_tokens, ids_crc32) of every document, read back from the shards."""
-    return shards.select("part", "start", "docs", "ends", "codes").mapInArrow(_read(part_starts(shards, "n_tokens")), "doc_id long, start long, n_tokens long, ids_crc32 long")
+    """(doc_id, start, n_tokens, ids_crc32) of every document, read back from the shards; an empty table gives no rows."""
+    rows = shards.select("part", "start", "docs", "ends", "codes").mapInArrow(_read, "part long, doc_id long, start long, n_tokens long, ids_crc32 long")
+    return rows.join(part_starts(shards, "n_tokens"), "part").select("doc_id", (F.col("base") + F.col("start")).alias("start"), "n_tokens", "ids_crc32")

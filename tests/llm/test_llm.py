@@ -216,6 +216,42 @@ def test_tokens_and_packing(odd, empty, docs):
     assert token_store.read_tokens(token_store.write_tokens(empty)).count() == 0 and packing.pack(empty).count() == 0
 
 
+def test_prefix_sums(spark):
+    """Two levels: parts of many groups, some missing, in several rows."""
+    rng = np.random.default_rng(8)
+    rows = [(int(p), int(n)) for p, n in zip(rng.integers(0, 5000, 9000), rng.integers(0, 1 << 33, 9000))]
+    each = collections.Counter()
+    for p, n in rows:
+        each[p] += n
+    total, want = 0, {}
+    for p in sorted(each):
+        want[p] = total
+        total += each[p]
+    assert {r.part: r.base for r in token_store.part_starts(spark.createDataFrame(rows, "part long, n long"), "n").collect()} == want
+
+
+def test_long_documents(spark):
+    """Above a shard and a segment of 2**20 tokens: every id is there once, in order, and little is padding."""
+    long = " ".join(f"word{k % 7919} and." for k in range(230000))
+    rows = [(1, "short one."), (2, long), (3, None), (4, long[: len(long) // 3]), (5, "last")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    bpe = wordbpe.load()
+    ids = {i: np.append(np.frombuffer(bpe.encode(t or ""), "<u4"), wordbpe.END).astype("<u4") for i, t in rows}
+    assert len(ids[2]) > token_store.SHARD
+    start = 0
+    for r in token_store.read_tokens(token_store.write_tokens(df)).orderBy("doc_id").collect():
+        assert (r.start, r.n_tokens, r.ids_crc32) == (start, len(ids[r.doc_id]), zlib.crc32(ids[r.doc_id].tobytes()))
+        start += r.n_tokens
+    pieces = packing.pack(df).orderBy("doc_id", "start").collect()
+    at, fill = collections.Counter(), collections.Counter()
+    for p in pieces:
+        assert p.start == at[p.doc_id] and p.ids_crc32 == zlib.crc32(ids[p.doc_id][p.start : p.start + p.length].tobytes())
+        at[p.doc_id] += p.length
+        fill[p.sequence_id] += p.length
+    assert at == {i: len(x) for i, x in ids.items()} and sorted(fill) == list(range(len(fill))) and max(fill.values()) <= packing.LENGTH
+    assert sum(packing.padding(n) for n in fill.values()) < 0.01 * start and len(fill) < 1.05 * start / packing.LENGTH + 2
+
+
 def test_codes():
     rng = np.random.default_rng(0)
     for ids in (rng.integers(0, 50000, 5000), np.zeros(0), np.array([0, 255, 256, 2**32 - 1] * 300), np.zeros(1500)):
