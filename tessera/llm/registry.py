@@ -5,13 +5,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from tessera.llm import line_dedup as lines
+from tessera.llm import quality_rules as rules
 from tessera.llm.byte_cnn import quality_scores
 from tessera.llm.common import table
 from tessera.llm.gif_media import stored_and_read
 from tessera.llm.jaccard_join import jaccard_groups
 from tessera.llm.packing import pack
 from tessera.llm.piece_codec import piece_digests
-from tessera.llm.quality_rules import quality_rules
 from tessera.llm.substring_dedup import substring_dedup
 from tessera.llm.token_store import read_tokens, write_tokens
 from tessera.llm.toxicity import toxicity_scores
@@ -46,7 +46,7 @@ def op7_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quality_rules(table(spark, sf_dir, "documents")).drop("clean_text")
+    return rules.quality_rules(table(spark, sf_dir, "documents")).drop("clean_text")
 
 
 def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -72,4 +72,5 @@ QUERIES = {
 
 ORACLE_SQL: dict[str, str] = {
     "op1_line_dedup": lines.ORACLE_SQL,
+    "op8_quality_rules": rules.ORACLE_SQL,
 }

@@ -389,3 +389,11 @@ def test_quality_rules_boilerplate(spark):
     texts = [f"{words} design in, catalog in, analog in.", f"{words} and then sign in.", f"{words}.\nPlease sign in or log in.", "We design in steel.\n" + words + "."]
     got = {r.doc_id: r for r in quality_rules.quality_rules(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()}
     assert all(got[i].kept for i in range(4)) and [got[i].n_failed_lines for i in range(4)] == [0, 0, 1, 0]
+
+
+def test_quality_rules_carriage_returns(spark):
+    """Lines that end in a carriage return are judged like those that do not; phrases of other languages count."""
+    lines = [f"Short{k} good{k} line{k}." for k in range(40)]
+    texts = ["\n".join(lines), "\r\n".join(lines), "\r\n".join([*lines, "Alle Rechte vorbehalten."]), "\n".join([*lines, "Tous droits réservés, cliquez ici."])]
+    got = {r.doc_id: r for r in quality_rules.quality_rules(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()}
+    assert all(r.kept for r in got.values()) and [got[i].n_failed_lines for i in range(4)] == [0, 0, 1, 1]
