@@ -18,13 +18,13 @@ from tessera.llm.common import documents, held_out, text_bytes
 EMBED, WIDTH, STRIDE, FILTERS = 8, 8, 4, 16
 #: Positions of a pooled chunk; half of them belong to the next chunk too.
 CHUNK = 64
-#: Labelled rows that the classifier is fitted on at most, for each label; text bytes of each that training looks at (scoring takes all).
-SAMPLE, SAMPLE_BYTES = 1000, 2000
+#: Labelled rows that the classifier is fitted on at most, for each label; their texts are taken whole.
+SAMPLE = 1000
 EPOCHS, BATCH, RATE, SEED = 8, 16, 0.005, 7
-#: Share of training texts cut to a few words, so that short texts are no surprise.
+#: Share of training texts that come once more, cut to a few words, so that short texts are no surprise; bytes of these.
 SHORT_SHARE, SHORT_BYTES = 0.25, 120
 THRESHOLD = 0.5
-#: Positions scored at a time.
+#: Positions scored at a time: a multiple of half a chunk.
 _ROWS = 1 << 16
 
 
@@ -43,45 +43,79 @@ def _chunks(positions: int) -> np.ndarray:
     return np.arange(0, max(1, positions - CHUNK // 2), CHUNK // 2)
 
 
-def _windows(data: np.ndarray) -> np.ndarray:
-    """(positions, WIDTH) byte codes; 256 stands for what lies beyond the end."""
-    p = _positions(len(data))
-    full = np.full((p - 1) * STRIDE + WIDTH, 256, np.int64)
-    full[: len(data)] = data
-    return full[np.arange(p)[:, None] * STRIDE + np.arange(WIDTH)]
+def _codes(data: np.ndarray) -> np.ndarray:
+    """Byte codes up to the last position's end; 256 stands for what lies beyond the text."""
+    out = np.full((_positions(len(data)) - 1) * STRIDE + WIDTH, 256, np.int16)
+    out[: len(data)] = data
+    return out
 
 
-def _responses(data: np.ndarray, net: dict) -> np.ndarray:
-    """Filter responses at all positions, _ROWS at a time."""
-    p = _positions(len(data))
-    full = np.full((p - 1) * STRIDE + WIDTH, 256, np.int16)
-    full[: len(data)] = data
-    out = np.empty((p, FILTERS), np.float32)
+def _halves(data: np.ndarray, net: dict) -> tuple[np.ndarray, np.ndarray]:
+    """Of each half chunk the greatest response of every filter, and its position; _ROWS positions at a time."""
+    p, full, half = _positions(len(data)), _codes(data), CHUNK // 2
+    top, where = [], []
     for a in range(0, p, _ROWS):
         b = min(p, a + _ROWS)
         e = net["E"][full[a * STRIDE : (b - 1) * STRIDE + WIDTH]]
-        view = np.lib.stride_tricks.as_strided(e, (b - a, WIDTH * EMBED), (STRIDE * e.strides[0], e.strides[1]))
-        np.dot(view, net["W"], out=out[a:b])
-    return out
-
-
-def _pool(r: np.ndarray) -> np.ndarray:
-    """Chunk maxima of the responses."""
-    half = np.maximum.reduceat(r, np.arange(0, len(r), CHUNK // 2), axis=0)
-    k = len(_chunks(len(r)))
-    if k == len(half):
-        return half
-    return np.maximum(half[:k], half[1 : k + 1])
+        r = np.lib.stride_tricks.as_strided(e, (b - a, WIDTH * EMBED), (STRIDE * e.strides[0], e.strides[1])) @ net["W"]
+        whole = (b - a) // half * half
+        blocks = [r[:whole].reshape(-1, half, FILTERS)] if whole else []
+        if whole < b - a:
+            blocks.append(r[None, whole:])
+        at = a
+        for block in blocks:
+            arg = block.argmax(1)
+            top.append(np.take_along_axis(block, arg[:, None], 1)[:, 0])
+            where.append(arg + at + half * np.arange(len(block))[:, None])
+            at += whole
+    return np.concatenate(top), np.concatenate(where)
+
+
+def _pool(data: np.ndarray, net: dict, places: bool = False):
+    """Chunk maxima of the responses, and where they are."""
+    top, where = _halves(data, net)
+    k = len(_chunks(_positions(len(data))))
+    if k == len(top):
+        return (top, where) if places else top
+    if not places:
+        return np.maximum(top[:k], top[1 : k + 1])
+    later = top[1 : k + 1] > top[:k]
+    return np.where(later, top[1 : k + 1], top[:k]), np.where(later, where[1 : k + 1], where[:k])
 
 
 def logit(data: np.ndarray, net: dict) -> float:
     """Of one text's bytes (all of them); an empty text has one window beyond its end."""
-    h = np.maximum(_pool(_responses(data, net)) + net["b"], 0)
+    h = np.maximum(_pool(data, net) + net["b"], 0)
     return float(np.concatenate([h.mean(0), h.max(0)]) @ net["v"] + net["c"][0])
 
 
+def _gradient(data: np.ndarray, label: float, weight: float, net: dict, grad: dict) -> None:
+    """Adds one text's gradient of the weighted logistic loss."""
+    r, arg = _pool(data, net, places=True)
+    z = r + net["b"]
+    h = np.maximum(z, 0)
+    top = h.argmax(0)
+    pooled = np.concatenate([h.mean(0), h.max(0)])
+    p = 1 / (1 + np.exp(-np.clip(pooled @ net["v"] + net["c"][0], -30, 30)))
+    d = np.float32((p - label) * weight)
+    grad["v"] += d * pooled
+    grad["c"] += d
+    dh = np.tile(d * net["v"][:FILTERS] / len(h), (len(h), 1))
+    dh[top, np.arange(FILTERS)] += d * net["v"][FILTERS:]
+    dh *= z > 0
+    grad["b"] += dh.sum(0)
+    full = _codes(data)
+    for a in range(0, len(arg), _ROWS // FILTERS):
+        used, place = np.unique(arg[a : a + _ROWS // FILTERS], return_inverse=True)
+        dr = np.zeros((len(used), FILTERS), np.float32)
+        np.add.at(dr, (place.ravel(), np.tile(np.arange(FILTERS), len(place.ravel()) // FILTERS)), dh[a : a + _ROWS // FILTERS].ravel())
+        codes = full[used[:, None] * STRIDE + np.arange(WIDTH)]
+        grad["W"] += net["E"][codes].reshape(len(used), -1).T @ dr
+        np.add.at(grad["E"], codes.ravel(), (dr @ net["W"].T).reshape(-1, EMBED))
+
+
 def fit(texts: list[bytes], labels: np.ndarray, epochs: int = EPOCHS, seed: int = SEED) -> dict[str, np.ndarray]:
-    """Adam on the logistic loss, classes weighted alike; each epoch looks at another stretch of a long text."""
+    """Adam on the logistic loss, classes weighted alike, over whole texts; some come once more as a short stretch."""
     rng = np.random.default_rng(seed)
     net = initial(rng)
     m = {k: np.zeros_like(x) for k, x in net.items()}
@@ -95,33 +129,11 @@ def fit(texts: list[bytes], labels: np.ndarray, epochs: int = EPOCHS, seed: int
             grad = {k: np.zeros_like(x) for k, x in net.items()}
             some = order[lo : lo + BATCH]
             for i in some:
-                t = texts[i]
-                at = int(rng.integers(0, max(1, len(t) - SAMPLE_BYTES + 1)))
-                size = int(rng.integers(4, SHORT_BYTES)) if rng.random() < SHORT_SHARE else SAMPLE_BYTES
-                codes = _windows(np.frombuffer(t[at : at + size], np.uint8))
-                x = net["E"][codes].reshape(len(codes), -1)
-                r = x @ net["W"]
-                starts = _chunks(len(r))
-                arg = np.stack([r[a : a + CHUNK].argmax(0) + a for a in starts])
-                z = np.take_along_axis(r, arg, 0) + net["b"]
-                h = np.maximum(z, 0)
-                top = h.argmax(0)
-                pooled = np.concatenate([h.mean(0), h.max(0)])
-                p = 1 / (1 + np.exp(-(pooled @ net["v"] + net["c"][0])))
-                d = np.float32((p - labels[i]) * weight[i] / len(some))
-                grad["v"] += d * pooled
-                grad["c"] += d
-                dh = np.tile(d * net["v"][:FILTERS] / len(h), (len(h), 1))
-                dh[top, np.arange(FILTERS)] += d * net["v"][FILTERS:]
-                dh *= z > 0
-                grad["b"] += dh.sum(0)
-                flat, col, val = arg.ravel(), np.tile(np.arange(FILTERS), len(h)), dh.ravel()
-                dr = np.zeros_like(r)
-                np.add.at(dr, (flat, col), val)
-                used = np.unique(flat)
-                grad["W"] += x[used].T @ dr[used]
-                dx = (dr[used] @ net["W"].T).reshape(-1, EMBED)
-                np.add.at(grad["E"], codes[used].ravel(), dx)
+                data = np.frombuffer(texts[i], np.uint8)
+                _gradient(data, labels[i], weight[i] / len(some), net, grad)
+                if rng.random() < SHORT_SHARE:
+                    at = int(rng.integers(0, max(1, len(data) - SHORT_BYTES + 1)))
+                    _gradient(data[at : at + int(rng.integers(4, SHORT_BYTES))], labels[i], weight[i] / len(some), net, grad)
             step += 1
             rate = RATE * (1 - 0.9 * epoch / epochs)
             for k in net:
@@ -173,10 +185,12 @@ def keep_good(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, threshol
 def quality_scores(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, threshold: float = THRESHOLD) -> DataFrame:
     """(doc_id, held_out, score, predicted) of every row of ``docs``.
 
-    Null and empty texts are scored as no bytes. The fit takes at most ``sample``
-    labelled rows of each label, its one bound; without a row of each label every
-    score is the untrained network's. Ids repeated in ``docs`` are scored row by
-    row; other columns are no inputs. An empty table gives no rows.
+    Null and empty texts are scored as no bytes, a very long text in blocks of
+    positions. The fit takes at most ``sample`` labelled rows of each label, whole,
+    its one bound; without a row of each label every score is the untrained
+    network's. A score of just ``threshold`` (a tie) is predicted 1. Ids repeated in
+    ``docs`` are scored row by row; other columns are no inputs. An empty table
+    gives no rows.
     """
     net = network(docs, labels, sample)
     docs = documents(docs)

@@ -4,6 +4,9 @@
 colours, frames of WIDTH x up to ROWS pixels, variable-width LZW. ``decode_gif``
 reads any GIF87a/89a: logical screen, global and local palettes, interlace,
 graphic control (delay, disposal, transparency), and composes each timed frame.
+``gif_frames`` gives a table of frames with their times, rules and histograms.
+What is no whole GIF raises ValueError in ``decode_gif``; the tables name the
+fault in a column of the file's row instead and go on.
 """
 
 from __future__ import annotations
@@ -85,6 +88,8 @@ def lzw_decode(packed: bytes, bits: int, size: int) -> bytes:
     output follow from the code's number: entry k repeats the output of code k
     and the byte after it.
     """
+    if not 2 <= bits <= 8:
+        raise ValueError(f"code size {bits}")
     clear, end = 1 << bits, (1 << bits) + 1
     raw = np.frombuffer(packed + b"\0\0\0\0", np.uint8).astype(np.uint32)
     total, at = len(packed) * 8, 0
@@ -122,6 +127,8 @@ def lzw_decode(packed: bytes, bits: int, size: int) -> bytes:
                 here += 1
             else:
                 k = c - base
+                if not 0 <= k < len(lengths):
+                    raise ValueError(f"code {c} before its entry")
                 a = starts[k]
                 m = lengths[k] + 1
                 if a + m > here:  # the entry that this very code completes
@@ -162,13 +169,26 @@ def encode_gif(payload: bytes) -> bytes:
 def _blocks(raw: bytes, at: int) -> tuple[bytes, int]:
     parts = []
     while raw[at]:
+        if at + raw[at] >= len(raw):
+            raise ValueError("cut off in a block")
         parts.append(raw[at + 1 : at + 1 + raw[at]])
         at += 1 + raw[at]
     return b"".join(parts), at + 1
 
 
 def decode_gif(raw: bytes, compose: bool = True) -> list[dict]:
-    """Frames of a GIF: index (h, w uint8), palette (n, 3), place, delay, disposal, transparent, and image, the composed RGB screen."""
+    """Frames of a GIF: index (h, w uint8), palette (n, 3), place, delay, disposal, transparent, and image, the composed RGB screen.
+
+    ValueError for what is no whole GIF: another signature, a file cut off, an
+    unknown block, a code that no entry stands for, an image without a palette.
+    """
+    try:
+        return _decode(raw, compose)
+    except IndexError:
+        raise ValueError("cut off") from None
+
+
+def _decode(raw: bytes, compose: bool) -> list[dict]:
     if raw[:6] not in (b"GIF87a", b"GIF89a"):
         raise ValueError("not a GIF")
     width, height, flags = int.from_bytes(raw[6:8], "little"), int.from_bytes(raw[8:10], "little"), raw[10]
@@ -195,7 +215,12 @@ def decode_gif(raw: bytes, compose: bool = True) -> list[dict]:
             n = 3 << (own & 7) + 1
             colours, at = np.frombuffer(raw, np.uint8, n, at).reshape(-1, 3), at + n
         packed, after = _blocks(raw, at + 1)
-        index = np.frombuffer(lzw_decode(packed, raw[at], w * h).ljust(w * h, b"\0"), np.uint8).reshape(h, w)
+        if colours is None:
+            raise ValueError("no palette")
+        pixels = lzw_decode(packed, raw[at], w * h)
+        if len(pixels) < w * h:
+            raise ValueError(f"{len(pixels)} of {w * h} pixels")
+        index = np.frombuffer(pixels, np.uint8).reshape(h, w)
         if own & 0x40:
             order = np.concatenate([np.arange(a, h, s) for a, s in ((0, 8), (4, 8), (2, 4), (1, 2))])
             index = index[np.argsort(order)]
@@ -225,14 +250,18 @@ def gif_payload(frames: list[dict]) -> bytes:
     return b"".join(np.ascontiguousarray(f["image"][f["place"][1] : f["place"][1] + f["place"][3], f["place"][0] : f["place"][0] + f["place"][2], 0]).tobytes() for f in frames)
 
 
+def histogram(frame: dict) -> np.ndarray:
+    """(3, 16): pixels of the frame's place, as composed, by channel and 16 levels."""
+    x, y, w, h = frame["place"]
+    levels = frame["image"][y : y + h, x : x + w].reshape(-1, 3) >> 4
+    return np.stack([np.bincount(levels[:, c], minlength=16) for c in range(3)])
+
+
 def gif_feature(frames: list[dict]) -> str:
-    """Frame count, duration and the colour histogram (16 levels of brightness, all frames) with the commonest level."""
-    counts = np.zeros(256, np.int64)
-    for f in frames:
-        x, y, w, h = f["place"]
-        counts += np.bincount(f["image"][y : y + h, x : x + w, 0].ravel(), minlength=256)
-    bins = counts.reshape(16, 16).sum(1)
-    return f"{len(frames)}f {sum(f['delay'] for f in frames)}cs {','.join(map(str, bins))} top{int(counts.argmax())}"
+    """Frame count, duration and the colour histogram of all frames: 16 levels, once for grey, else for red, green and blue."""
+    bins = sum((histogram(f) for f in frames), np.zeros((3, 16), np.int64))
+    grey = (bins[0] == bins[1]).all() and (bins[0] == bins[2]).all()
+    return f"{len(frames)}f {sum(f['delay'] for f in frames)}cs {';'.join(','.join(map(str, b)) for b in bins[: 1 if grey else 3])} top{int(bins[0].argmax())}"
 
 
 def payload_of(text: str) -> tuple[int, bytes]:
@@ -248,26 +277,63 @@ def _store(batches):
             yield pa.RecordBatch.from_arrays([part.column(0), pa.array([n for n, _ in made], pa.int64()), pa.array([g for _, g in made], pa.binary())], names=["doc_id", "n_bytes", "gif"])
 
 
+def _opened(gif: bytes | None) -> tuple[list[dict], str | None]:
+    """Frames, or none and why."""
+    try:
+        return decode_gif(gif or b""), None
+    except ValueError as fault:
+        return [], str(fault)
+
+
 def _read(batches):
-    names = ["doc_id", "n_bytes", "payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", "feature", "n_frames"]
+    names = ["doc_id", "n_bytes", "payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", "feature", "n_frames", "fault"]
+    kinds = [pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.string(), pa.string(), pa.int64(), pa.string()]
     for batch in batches:
         rows = []
         for doc, n, gif in zip(*(batch.column(i).to_pylist() for i in range(3))):
-            frames = decode_gif(gif)
+            frames, fault = _opened(gif)
+            media = (len(gif), hashlib.sha256(gif).hexdigest()) if gif is not None else (None, None)
+            if fault:
+                rows.append((doc, n, None, None, None, *media, None, None, fault))
+                continue
             payload = gif_payload(frames)
-            rows.append((doc, n, len(payload), hashlib.sha256(payload).hexdigest(), zlib.crc32(payload[-64:]), len(gif), hashlib.sha256(gif).hexdigest(), gif_feature(frames), len(frames)))
+            rows.append((doc, n, len(payload), hashlib.sha256(payload).hexdigest(), zlib.crc32(payload[-64:]), *media, gif_feature(frames), len(frames), None))
         if rows:
-            yield pa.RecordBatch.from_arrays([pa.array(x) for x in zip(*rows)], names=names)
+            yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*rows), kinds)], names=names)
+
+
+def _frames(batches):
+    names = ["doc_id", "frame", "starts_cs", "delay_cs", "disposal", "transparent", "x", "y", "width", "height", "n_colours", "red", "green", "blue"]
+    for batch in batches:
+        for doc, gif in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+            rows, at = [], 0
+            for k, f in enumerate(_opened(gif)[0]):
+                rows.append((doc, k, at, f["delay"], f["disposal"], f["transparent"], *f["place"], len(f["palette"]), *histogram(f).tolist()))
+                at += f["delay"]
+            if rows:
+                yield pa.RecordBatch.from_arrays([pa.array(x, pa.list_(pa.int64()) if i > 10 else pa.int64()) for i, x in enumerate(zip(*rows))], names=names)
 
 
 def gif_column(docs: DataFrame) -> DataFrame:
-    """(doc_id, n_bytes, gif): each text's UTF-8 bytes, padded to a positive multiple of 64, as a GIF. Null texts are empty; other columns are ignored."""
+    """(doc_id, n_bytes, gif): each text's UTF-8 bytes, padded to a positive multiple of 64, as a GIF.
+
+    Null texts are empty. A very long text is one GIF of many frames, whole in its
+    row. Equal texts (ties) give equal GIFs; other columns are ignored; an empty
+    table gives no rows.
+    """
     return documents(docs).mapInArrow(_store, "doc_id long, n_bytes long, gif binary")
 
 
 def gif_features(stored: DataFrame) -> DataFrame:
-    """What the stored GIFs hold: payload and media digests, histogram feature and frame count of each row."""
-    return stored.mapInArrow(_read, "doc_id long, n_bytes long, payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, feature string, n_frames long")
+    """What the stored GIFs hold: payload and media digests, histogram feature and frame count of each row; fault: why one is no whole GIF, its other values being null."""
+    kind = "doc_id long, n_bytes long, payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, feature string, n_frames long, fault string"
+    return stored.select("doc_id", "n_bytes", "gif").mapInArrow(_read, kind)
+
+
+def gif_frames(stored: DataFrame) -> DataFrame:
+    """A row for each frame of (doc_id, gif): when it starts and how long it stays, how it goes, its place, and 16 levels of each colour. No rows of what is no whole GIF."""
+    kind = "doc_id long, frame long, starts_cs long, delay_cs long, disposal long, transparent long, x long, y long, width long, height long, n_colours long, red array<long>, green array<long>, blue array<long>"
+    return stored.select("doc_id", "gif").mapInArrow(_frames, kind)
 
 
 def stored_and_read(docs: DataFrame) -> DataFrame:

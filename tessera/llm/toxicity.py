@@ -229,10 +229,12 @@ def _score(terms: dict[str, float], exceptions: frozenset[str], exact: frozenset
 def toxicity_scores(docs: DataFrame, labels: DataFrame, sample: tuple[int, int] = SAMPLE, threshold: float = THRESHOLD) -> DataFrame:
     """(doc_id, held_out, score, predicted, n_matches) of every row of ``docs``.
 
-    Null and empty texts score 0.01 as any text without a match. The lexicon is
-    mined from at most ``sample`` labelled rows (clean, toxic), its one bound; with
-    no toxic row it is empty. Repeated rows are scored alike, other columns are no
-    inputs, an empty table gives no rows.
+    Null and empty texts score 0.01 as any text without a match; a very long text
+    is scored in whole, its words in memory at once. The lexicon is mined from at
+    most ``sample`` labelled rows (clean, toxic), its one bound; with no toxic row it
+    is empty. Of terms that a word matches alike (a tie) the greatest worth counts;
+    a score of just ``threshold`` is predicted 1. Repeated rows are scored alike,
+    other columns are no inputs, an empty table gives no rows.
     """
     docs = documents(docs)
     lexicon = mine(*training_rows(docs, labels, "toxic", sample))
