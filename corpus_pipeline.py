@@ -13,9 +13,11 @@ from tessera.llm.packing import pack
 from tessera.llm.substring_dedup import substring_dedup
 
 
-def _columns(cleaned: DataFrame, docs: DataFrame) -> DataFrame:
-    """The columns of ``docs`` with n_chars as the cleaned text has them."""
-    out = cleaned.select([f"`{c}`" for c in docs.columns])
+def _cleaned(operator, docs: DataFrame, added: tuple[str, ...]) -> DataFrame:
+    """``docs`` with its texts cleaned, n_chars as they are then, all other columns as they were; ``added``: what the operator adds."""
+    own = {c: f"__own_{c}" for c in docs.columns if c.lower() in added}
+    out = operator(docs.withColumnsRenamed(own))
+    out = out.select([out[f"`{own.get(c, c)}`"].alias(c) for c in docs.columns])
     return out.select(named(out, {"n_chars": F.char_length(out.text).cast("long")} if "n_chars" in docs.columns else {}))
 
 
@@ -26,7 +28,7 @@ def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 def line_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Repeated chunks of lines go, the document stays."""
-    return _columns(line_dedup(docs), docs)
+    return _cleaned(line_dedup, docs, ("n_lines", "n_removed_lines"))
 
 
 def jaccard_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -37,7 +39,7 @@ def jaccard_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def substring_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Repeated passages go, the document stays."""
-    return _columns(substring_dedup(docs), docs)
+    return _cleaned(substring_dedup, docs, ("removed",))
 
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
