@@ -5,7 +5,7 @@ from __future__ import annotations
 import math
 from fractions import Fraction
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 # fixed values: resolutions of the tiers in degrees, and the authalic radius in km
@@ -37,12 +37,65 @@ def _cell(x: Column, per_degree: int, n: int) -> Column:
     return F.least(F.greatest(F.floor(x * per_degree), F.lit(0)), F.lit(n - 1)).cast("int")
 
 
+def valid_lat(lat: Column) -> Column:
+    """On the globe; null and NaN are not."""
+    return F.coalesce((lat >= -90) & (lat <= 90) & ~F.isnan(lat.cast("double")), F.lit(False))
+
+
+def valid_lon(lon: Column) -> Column:
+    """Finite, of any turn."""
+    return F.coalesce((F.abs(lon) < float("inf")) & ~F.isnan(lon.cast("double")), F.lit(False))
+
+
 def row_of(lat: Column, tier: str) -> Column:
-    return _cell(lat + 90, TIERS[tier].denominator, shape(tier)[0])
+    """Null off the globe."""
+    return F.when(valid_lat(lat), _cell(lat + 90, TIERS[tier].denominator, shape(tier)[0]))
 
 
 def col_of(lon: Column, tier: str) -> Column:
-    return _cell(wrap_lon(lon) + 180, TIERS[tier].denominator, shape(tier)[1])
+    """Null where the longitude is not finite."""
+    return F.when(valid_lon(lon), _cell(wrap_lon(lon) + 180, TIERS[tier].denominator, shape(tier)[1]))
+
+
+def point_cells(df: DataFrame, tier: str, lat: str = "lat", lon: str = "lon", drop: bool = False) -> DataFrame:
+    """``df`` with r and c. A point off the globe or not finite raises, or goes with ``drop``."""
+    good = valid_lat(F.col(lat)) & valid_lon(F.col(lon))
+    if not drop and (wrong := df.agg(F.count_if(~good)).first()[0]):
+        raise ValueError(f"{wrong} points without a cell")
+    return df.where(good).withColumns({"r": row_of(F.col(lat), tier), "c": col_of(F.col(lon), tier)})
+
+
+def node_edges(spark: SparkSession, nlat: int) -> DataFrame:
+    """(r, lat, south, north): nodes from pole to pole and the edges halfway between them, clamped to the poles."""
+    step = 180.0 / (nlat - 1)
+    lat = F.col("id") * step - 90
+    return spark.range(nlat).select(F.col("id").cast("int").alias("r"), lat.alias("lat"), F.greatest(lat - step / 2, F.lit(-90.0)).alias("south"), F.least(lat + step / 2, F.lit(90.0)).alias("north"))
+
+
+def nearest_line(x: Column, origin: float, step: float, n: int) -> tuple[Column, Column]:
+    """(index of the nearest of n lines of a regular grid, distance to it)."""
+    k = F.least(F.greatest(F.rint((x - origin) / step), F.lit(0)), F.lit(n - 1)).cast("int")
+    return k, F.abs(x - (origin + k * step))
+
+
+def ring_column(x: Column, step: float, n: int) -> Column:
+    """Column of a cell's western edge on a ring of n cells from -180; what lies beyond the dateline wraps."""
+    return F.pmod(F.rint((x + 180) / step).cast("int"), F.lit(n))
+
+
+def require_contiguous(df: DataFrame, group: str, n: int, c: str = "c") -> DataFrame:
+    """``df`` if each group's columns are neighbours on the ring of n; raises for one with a gap inside."""
+    w = Window.partitionBy(group)
+    each = df.select(group, c).distinct().withColumn("gap", F.coalesce(F.lead(c).over(w.orderBy(c)) - F.col(c), F.min(c).over(w) + n - F.col(c)))
+    torn = each.groupBy(group).agg(F.count_if(F.col("gap") > 1).alias("gaps")).where("gaps > 1").select(group).limit(5).collect()
+    if torn:
+        raise ValueError(f"columns with gaps: {', '.join(str(x[0]) for x in torn)}")
+    return df
+
+
+def axis_attributes(axis: str) -> dict[str, str]:
+    """What a level axis says of itself in the manifest."""
+    return {"time": {"units": "Ma", "positive": "down", "long_name": "age before present"}, "depth": {"units": "km", "positive": "down", "long_name": "depth"}}[axis]
 
 
 def pixel_key(x: Column, per_degree: int = 10) -> Column:

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from tessera.operators.geometry import haversine, segment_distance, unit_vector
 from tessera.functions.grid import RADIUS_KM, TIERS, row_areas, shape
-from tessera.operators.stats import hist_quantiles, histogram
+from tessera.operators.stats import hist_quantiles, histogram, pair_stats
 
 #: Greatest relative deviation of an area integral.
 INTEGRAL_TOLERANCE = 1e-3
@@ -120,3 +120,28 @@ def area_weighted(cells: DataFrame, tier: str) -> DataFrame:
     """``cells`` with ``w``, a cell's area; a row of weights for each latitude is all that is joined."""
     areas = row_areas(cells.sparkSession, tier).select("r", (F.col("area_km2") / RADIUS_KM**2).alias("w"))
     return cells.join(F.broadcast(areas), "r")
+
+
+#: Latitude beyond which a cell is polar.
+POLAR = 60.0
+
+
+def cross_check(pairs: DataFrame, x: str, y: str) -> DataFrame:
+    """(segment, n, r, ...) of two sources at the same cells: ``pair_stats`` in each segment a cell belongs to, which may be several.
+
+    ``land`` is a boolean column of the cells, ``lat`` their latitude.
+    """
+    tests = {"global": F.lit(True), "land": F.col("land"), "sea": ~F.col("land"), "polar": F.abs("lat") > POLAR, "non-polar": F.abs("lat") <= POLAR}
+    segments = F.array_compact(F.array(*[F.when(test, F.lit(name)) for name, test in tests.items()]))
+    return pair_stats(pairs.withColumn("segment", F.explode(segments)), x, y, "segment")
+
+
+def run_groups(groups: dict) -> list[dict]:
+    """Checks of several groups, {name: function that gives rows (name, status, summary)}; a group that raises is a FAIL of its own."""
+    out = []
+    for name, run in groups.items():
+        try:
+            out += [{"name": f"{name}: {x['name']}", "status": x["status"], "summary": x["summary"]} for x in (r.asDict() for r in run().collect())]
+        except Exception as e:  # noqa: BLE001 - whatever it is, the sheet must show it
+            out.append({"name": name, "status": "FAIL", "summary": f"{type(e).__name__}: {e}".split("\n")[0][:300]})
+    return out

@@ -52,6 +52,60 @@ def inside(x: Column, y: Column, ring: Column) -> Column:
     return F.size(F.filter(crossed, lambda v: F.coalesce(v, F.lit(False)))) % 2 == 1
 
 
+def inside_rings(x: Column, y: Column, rings: Column) -> Column:
+    """Even-odd cast against a polygon's exterior and interior rings: a point in a hole is outside."""
+    return F.size(F.filter(rings, lambda ring: inside(x, y, ring))) % 2 == 1
+
+
+def close_pole(ring: Column, winding: Column) -> Column:
+    """An unwound closed ring of struct(x, y) that goes round the globe once, as a polygon: it is led along its pole's parallel.
+
+    winding: 1 or -1 of a ring round a pole, 0 leaves the ring. The pole is that of the ring's mean latitude.
+    """
+    mean = F.aggregate(ring, F.lit(0.0), lambda a, p: a + p.y) / F.size(ring)
+    pole = F.when(mean >= 0, 90.0).otherwise(-90.0)
+    corner = lambda p: F.struct(p.x.alias("x"), pole.alias("y"))
+    last, first = F.element_at(ring, -1), F.element_at(ring, 1)
+    return F.when(winding == 0, ring).otherwise(F.concat(ring, F.array(corner(last), corner(first), first)))
+
+
+def turned_copies(polygons: DataFrame, ring: str = "ring") -> DataFrame:
+    """Each unwound ring as it is and a turn east and west, where such a copy meets [-180, 180]; column turn."""
+    out = polygons.withColumn("turn", F.explode(F.array(F.lit(-360.0), F.lit(0.0), F.lit(360.0))))
+    out = out.withColumn(ring, F.transform(ring, lambda p: F.struct((p.x + F.col("turn")).alias("x"), p.y.alias("y"))))
+    xs = F.transform(ring, lambda p: p.x)
+    return out.where((F.array_max(xs) > -180) & (F.array_min(xs) < 180))
+
+
+def burn_rings(polygons: DataFrame, res: float, nlat: int, nlon: int, rings: str = "rings") -> DataFrame:
+    """``burn`` of polygons with holes: an array of rings, the exterior first; its box bounds the work."""
+    out = burn(polygons.withColumn("_box", F.expr(f"array(named_struct('x', array_min({rings}[0].x), 'y', array_min({rings}[0].y)), named_struct('x', array_max({rings}[0].x), 'y', array_min({rings}[0].y)), named_struct('x', array_max({rings}[0].x), 'y', array_max({rings}[0].y)), named_struct('x', array_min({rings}[0].x), 'y', array_max({rings}[0].y)))")), res, nlat, nlon, "_box")
+    return out.where(inside_rings((F.col("c") + 0.5) * res - 180, (F.col("r") + 0.5) * res - 90, F.col(rings))).drop("_box")
+
+
+def segment_faults(segs: DataFrame) -> DataFrame:
+    """(dropped, long): segments shorter than 1e-12 of the radius, which ``segments`` should not make, and those of 90 degrees or more."""
+    a, b = unit_vector(F.col("lat"), F.col("lon")), unit_vector(F.col("lat2"), F.col("lon2"))
+    n = cross(a, b)
+    return segs.agg(F.count_if((F.sqrt(dot(n, n)) < 1e-12) & (dot(a, b) > 0)).alias("dropped"), F.count_if(dot(a, b) <= 0).alias("long"))
+
+
+def require_short(segs: DataFrame) -> DataFrame:
+    """``segs`` if all are shorter than 90 degrees."""
+    if wrong := segment_faults(segs).first()["long"]:
+        raise ValueError(f"{wrong} segments of 90 degrees or more")
+    return segs
+
+
+def cross_track(p_lat: Column, p_lon: Column, lat: Column, lon: Column, lat2: Column, lon2: Column) -> Column:
+    """Kilometres from a point to the great circle of a segment, by bearings."""
+    def bearing(a, b, c, d):
+        return F.atan2(F.sin(F.radians(d - b)) * F.cos(F.radians(c)), F.cos(F.radians(a)) * F.sin(F.radians(c)) - F.sin(F.radians(a)) * F.cos(F.radians(c)) * F.cos(F.radians(d - b)))
+
+    arc = haversine(lat, lon, p_lat, p_lon) / RADIUS_KM
+    return F.abs(F.asin(_unit(F.sin(arc) * F.sin(bearing(lat, lon, p_lat, p_lon) - bearing(lat, lon, lat2, lon2))))) * RADIUS_KM
+
+
 def burn(polygons: DataFrame, res: float, nlat: int, nlon: int, ring: str = "ring") -> DataFrame:
     """(r, c) of cell centres inside each polygon: its box's cells are exploded, then cast; the box bounds the work."""
     xs, ys = F.transform(ring, lambda p: p.x), F.transform(ring, lambda p: p.y)

@@ -6,6 +6,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tessera.functions.grid import UNITS
+from tessera.operators.stats import finite
+
+
+def whole_blocks(nlat: int, nlon: int, factor: int) -> int:
+    """``factor`` if it divides both sides of a grid; raises otherwise."""
+    if factor < 1 or nlat % factor or nlon % factor:
+        raise ValueError(f"{nlat} x {nlon} cells do not make blocks of {factor}")
+    return factor
 
 
 def _block(factor: int) -> list[Column]:
@@ -27,9 +35,10 @@ def block_mode(df: DataFrame, factor: int, value: str = "v", nodata: int | None
 
 
 def block_weighted(df: DataFrame, factor: int, value: str = "v", weight: str = "w") -> DataFrame:
-    """Weighted mean of the cells that have a value."""
-    w = F.when(F.col(value).isNotNull(), F.col(weight))
-    return df.groupBy(*_block(factor)).agg((F.sum(F.col(value) * w) / F.sum(w)).alias(value))
+    """Weighted mean of the cells that have a finite value."""
+    some = finite(F.col(value))
+    w = F.when(some, F.col(weight))
+    return df.groupBy(*_block(factor)).agg((F.sum(F.when(some, F.col(value)) * w) / F.sum(w)).alias(value))
 
 
 def overlaps(df: DataFrame, x0: Column, x1: Column, y0: Column, y1: Column, tier_units: int) -> DataFrame:
@@ -50,7 +59,7 @@ def overlaps(df: DataFrame, x0: Column, x1: Column, y0: Column, y1: Column, tier
 
 def overlap_mean(cells: DataFrame, value: str = "v", keys: tuple[str, ...] = ()) -> DataFrame:
     """Conservative mean over ``overlaps``: valid weight only, so holes do not dilute. keys: depth, time or the like."""
-    some = cells.where(F.col(value).isNotNull())
+    some = cells.where(finite(F.col(value)))
     return some.groupBy(*keys, F.col("tr").alias("r"), F.col("tc").alias("c")).agg((F.sum(F.col(value) * F.col("w")) / F.sum("w")).alias(value), F.sum("w").alias("weight"))
 
 

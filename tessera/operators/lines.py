@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+from fractions import Fraction
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -49,8 +50,8 @@ def _reach(res: float) -> float:
     return RADIUS_KM * math.radians(res) * math.sqrt(0.5) * 1.001
 
 
-def distance_pyramid(segs: DataFrame, chain: list[int], inside: DataFrame | None = None) -> DataFrame:
-    """(r, c, km) of the finest grid of ``chain`` (degrees, each a whole multiple of the next).
+def distance_pyramid(segs: DataFrame, chain: list[int | Fraction], inside: DataFrame | None = None) -> DataFrame:
+    """(r, c, km) of the finest grid of ``chain`` (degrees, whole or fractions, each a whole multiple of the next).
 
     On the coarsest grid each segment meets every cell (a fixed number), below that
     a cell's segments are those within its parent's least distance plus twice the
@@ -59,9 +60,11 @@ def distance_pyramid(segs: DataFrame, chain: list[int], inside: DataFrame | None
     map-side. inside: (r, c) of cells whose distance is 0.
     """
     near = segs.select(F.struct("lat", "lon", "lat2", "lon2").alias("s"))
-    res = chain[0]
-    nlon = 360 // res
-    near = near.withColumn("_i", F.explode(F.sequence(F.lit(0), F.lit(180 // res * nlon - 1)))).select("s", (F.col("_i") / nlon).cast("int").alias("r"), (F.col("_i") % nlon).cast("int").alias("c"))
+    steps_down = [Fraction(a) / Fraction(b) for a, b in zip(chain[:-1], chain[1:])]
+    if any(x.denominator != 1 for x in steps_down) or (180 / Fraction(chain[0])).denominator != 1:
+        raise ValueError(f"{chain}: each must be a whole multiple of the next")
+    nlon = int(360 / Fraction(chain[0]))
+    near = near.withColumn("_i", F.explode(F.sequence(F.lit(0), F.lit(nlon // 2 * nlon - 1)))).select("s", (F.col("_i") / nlon).cast("int").alias("r"), (F.col("_i") % nlon).cast("int").alias("c"))
     for i, res in enumerate(chain):
         p = unit_vector((F.col("r") + 0.5) * float(res) - 90, (F.col("c") + 0.5) * float(res) - 180)
         km = segment_distance(p, unit_vector(F.col("s.lat"), F.col("s.lon")), unit_vector(F.col("s.lat2"), F.col("s.lon2")))
@@ -70,9 +73,9 @@ def distance_pyramid(segs: DataFrame, chain: list[int], inside: DataFrame | None
         if i == len(chain) - 1:
             out = least.select("r", "c", F.col("least").alias("km"))
             break
-        k = res // chain[i + 1]
+        k = int(steps_down[i])
         steps = F.sequence(F.lit(0), F.lit(k - 1))
-        kept = near.join(least, ["r", "c"]).where(F.col("km") <= F.col("least") + 2 * _reach(res))
+        kept = near.join(least, ["r", "c"]).where(F.col("km") <= F.col("least") + 2 * _reach(float(res)))
         near = kept.withColumn("_a", F.explode(steps)).withColumn("_b", F.explode(steps)).select("s", (F.col("r") * k + F.col("_a")).alias("r"), (F.col("c") * k + F.col("_b")).alias("c"))
     if inside is None:
         return out

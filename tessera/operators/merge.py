@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -53,3 +53,16 @@ def reconcile(a: DataFrame, b: DataFrame, key: str) -> DataFrame:
 def nearest_match(left: DataFrame, right: DataFrame, key: list[str], id_: str, a: str, b: str) -> DataFrame:
     """(id, d): per left row the least difference to the rows of ``right`` at its key."""
     return left.join(right, key).groupBy(id_).agg(F.min(F.abs(F.col(a) - F.col(b))).alias("d"))
+
+
+def match_counts(left: DataFrame, right: DataFrame, key: list[str], id_: str, a: str, b: str, identical: float = 0.01) -> DataFrame:
+    """(exact, comparable, identical): rows of ``left`` whose key ``right`` has, those with values to compare, and those that differ by ``identical`` at most."""
+    met = left.join(right.select(*key, b), key)
+    each = met.groupBy(id_).agg(F.min(F.abs(F.col(a) - F.col(b))).alias("d"))
+    return each.agg(F.count("*").alias("exact"), F.count("d").alias("comparable"), F.count_if(F.col("d") <= identical).alias("identical"))
+
+
+def stratified(df: DataFrame, stratum: str, order: str, n: int) -> DataFrame:
+    """At most ``n`` rows of each stratum, the first by a hash of ``order``: the same rows however the table is cut; partial ranks come before the shuffle."""
+    rank = F.row_number().over(Window.partitionBy(stratum).orderBy(F.xxhash64(order), order))
+    return df.withColumn("_n", rank).where(F.col("_n") <= n).drop("_n")

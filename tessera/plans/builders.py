@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from dataclasses import dataclass
+from fractions import Fraction
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -98,9 +99,9 @@ def line_source(spark: SparkSession, data: str) -> DataFrame:
 
 @builder("line_distance", "distance")
 def line_distance(spark, data, tier):
-    if TIERS[tier] != 1:
-        raise ValueError(f"line_distance is built at 1deg, not {tier}")
-    return lines.distance_pyramid(line_source(spark, data), [20, 5, 1]).select("r", "c", F.col("km").alias("v"))
+    chain = [20, 5, 1, *(x for x in sorted(TIERS.values(), reverse=True) if TIERS[tier] <= x < 1 and (1 / x) % 1 == 0)]
+    chain = [x for i, x in enumerate(chain) if all((Fraction(x) / Fraction(y)).denominator == 1 for y in chain[i + 1 :])]
+    return lines.distance_pyramid(line_source(spark, data), chain).select("r", "c", F.col("km").alias("v"))
 
 
 def merged_zones(spark: SparkSession, data: str) -> DataFrame:

@@ -15,7 +15,9 @@ DTYPES = ("float32", "uint8", "uint32")
 RESAMPLING = ("conservative_area_weighted", "mode", "sum", "none", "circular_axial", "circular", "exact_formula")
 DIMS = ("lat", "lon", "depth", "time")
 REQUIRED = ("id", "source", "native_res", "home_tier", "tiers", "dtype", "unit", "resampling", "mask")
-PER_TIER = "per-tier"
+#: Home tiers of layers that have none of their own, and native resolutions that bound no tier.
+PER_TIER = ("逐档", "per-tier")
+UNBOUND = ("point", "vector-line", "vector-polygon", "exact")
 
 
 class ContractViolation(ValueError):
@@ -81,8 +83,9 @@ def violations(layers: DataFrame) -> DataFrame:
         "unknown tier": F.size(F.array_except("tiers", names)) > 0,
         "1deg is missing": ~F.array_contains("tiers", "1deg"),
         "tier twice": F.size(F.array_distinct("tiers")) < F.size("tiers"),
-        "home tier is none of the tiers": ~F.array_contains("tiers", F.col("home_tier")) & (F.col("home_tier") != PER_TIER),
+        "home tier is none of the tiers": ~F.array_contains("tiers", F.col("home_tier")) & ~F.col("home_tier").isin(*PER_TIER),
         "tier finer than the source": F.exists("tiers", lambda t: F.coalesce(F.try_element_at(degrees, t) < native - 1e-12, F.lit(False))),
+        "native resolution": ~F.col("native_res").rlike(r"^\s*\d+(\.\d+)?\s*(deg|min|sec)\s*$") & ~F.trim(strip_note(F.col("native_res"))).isin(*UNBOUND),
         "unknown dtype": ~F.col("dtype").isin(*DTYPES),
         "unknown resampling": ~strip_note(F.col("resampling")).isin(*RESAMPLING),
         "unknown visibility": ~F.col("visibility").isin("public", "internal"),

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tessera.operators.stats import finite
+
 
 class SourceMismatch(ValueError):
     """A source that is not what its reader was written for."""
@@ -18,13 +20,35 @@ def require(df: DataFrame, **rules: Column) -> DataFrame:
     return df
 
 
-def fields(spark: SparkSession, path: str, columns: list[str], skip: int = 0) -> DataFrame:
-    """White-space separated numbers by position; lines of another width raise. skip: header lines of each file."""
-    lines = spark.read.text(path)
+def numbered_lines(spark: SparkSession, path: str, skip: int = 0) -> DataFrame:
+    """(path, value) of text files without the first ``skip`` lines of each.
+
+    Lines have no numbers in a distributed scan, but a file's first block is read in
+    order: its first row's running id, and the ids after it, are the header's.
+    """
+    lines = spark.read.text(path).select("value", F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("_at"), F.monotonically_increasing_id().alias("_id"))
+    if not skip:
+        return lines.select("path", "value")
+    first = lines.where("_at = 0").groupBy("path").agg(F.min("_id").alias("_first"))
+    return lines.join(first, "path").where(~((F.col("_at") == 0) & (F.col("_id") < F.col("_first") + skip))).select("path", "value")
+
+
+def fields(spark: SparkSession, path: str, columns: list[str], skip: int = 0, text: tuple[str, ...] = (), use: list[int] | None = None) -> DataFrame:
+    """White-space separated fields by position, numbers but for those in ``text``; blank lines go, lines of another width raise.
+
+    skip: header lines of each file. use: positions taken, all of ``width`` fields where it is not given.
+    A number that does not parse raises, so no row changes silently.
+    """
     tokens = F.split(F.trim("value"), r"\s+")
-    rows = lines.where(F.trim("value") != "").select(tokens.alias("t")).where(F.col("t")[0].rlike(r"^[-+.\d]") if skip else F.lit(True))
-    require(rows, width=F.coalesce(F.min(F.size("t")) == len(columns), F.lit(True)) & F.coalesce(F.max(F.size("t")) == len(columns), F.lit(True)))
-    return rows.select([F.col("t")[k].try_cast("double").alias(c) for k, c in enumerate(columns)])
+    rows = numbered_lines(spark, path, skip).where(F.trim("value") != "").select(tokens.alias("t"))
+    at = use or list(range(len(columns)))
+    least = max(at) + 1
+    size = F.size("t")
+    width = (F.min(size) == F.max(size)) & (F.min(size) >= least) if use else (F.min(size) == least) & (F.max(size) == least)
+    numbers = [k for k, c in zip(at, columns) if c not in text]
+    unread = F.count_if(F.array_contains(F.array(*[F.get("t", F.lit(k)).try_cast("double").isNull() for k in numbers]), True)) if numbers else F.lit(0)
+    require(rows, width=F.coalesce(width, F.lit(True)), numbers=unread == 0)
+    return rows.select([F.col("t")[k].alias(c) if c in text else F.col("t")[k].cast("double").alias(c) for k, c in zip(at, columns)])
 
 
 def ascii_grid(spark: SparkSession, path: str, header: int = 6) -> DataFrame:
@@ -47,14 +71,18 @@ def roll_half(df: DataFrame, nlon: int, c: str = "c") -> DataFrame:
 
 
 def drop_seam(df: DataFrame, nlon: int, tolerance: float = 0.0, value: str = "v") -> DataFrame:
-    """Without the column that repeats the first one at +180; raises where the two differ by more than ``tolerance``."""
-    edge = df.where(F.col("c").isin(0, nlon)).groupBy("r").agg((F.max(value) - F.min(value)).alias("d"))
-    require(edge, seam=F.coalesce(F.max("d") <= tolerance, F.lit(True)))
+    """Without the column that repeats the first one at +180; raises where the two differ by more than ``tolerance`` or only one is missing."""
+    v = F.when(finite(F.col(value)), F.col(value))
+    edge = df.where(F.col("c").isin(0, nlon)).groupBy("r").agg((F.max(v) - F.min(v)).alias("d"), F.count(v).alias("n"))
+    require(edge, seam=F.coalesce(F.max("d") <= tolerance, F.lit(True)), one_sided=F.count_if(F.col("n") == 1) == 0)
     return df.where(F.col("c") < nlon)
 
 
-def average_seam(df: DataFrame, nlon: int, keys: tuple[str, ...] = (), value: str = "v") -> DataFrame:
-    """The two independent columns at -180 and +180 become their mean."""
+def average_seam(df: DataFrame, nlon: int, keys: tuple[str, ...] = (), value: str = "v", guard: float | None = None) -> DataFrame:
+    """The two independent columns at -180 and +180 become their mean; raises where they are farther apart than ``guard``."""
+    if guard is not None:
+        edge = df.where(F.col("c").isin(0, nlon)).groupBy(*keys, "r").agg((F.max(value) - F.min(value)).alias("d"))
+        require(edge, guard=F.coalesce(F.max("d") <= guard, F.lit(True)))
     return df.groupBy(*keys, "r", F.pmod("c", F.lit(nlon)).alias("c")).agg(F.avg(value).alias(value))
 
 

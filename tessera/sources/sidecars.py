@@ -1,4 +1,4 @@
-"""Vector and point tables beside the store: geometry columns, set checks, verbatim copies."""
+"""Vector and point tables beside the store: geometry columns, set checks, verbatim copies of folders."""
 
 from __future__ import annotations
 
@@ -39,6 +39,36 @@ def tree_stats(spark: SparkSession, path: str) -> tuple[int, int]:
     return int(got[0]), int(got[1])
 
 
+def array_stats(spark: SparkSession, store: str) -> DataFrame:
+    """(layer, files, bytes) of a store's data files, summed over tiers."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.parquet").load(store)
+    layer = F.regexp_extract(F.col("path"), r"/layer=([^/]+)/", 1)
+    return files.select(layer.alias("layer"), "length").groupBy("layer").agg(F.count("*").alias("files"), F.sum("length").alias("bytes"))
+
+
+def copy_tree(spark: SparkSession, source: str, target: str) -> tuple[int, int]:
+    """Copy a folder as it is, file by file, and give its (files, bytes); raises if the copy has others."""
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    a, b = jvm.org.apache.hadoop.fs.Path(source), jvm.org.apache.hadoop.fs.Path(target)
+    if b.getFileSystem(conf).exists(b):
+        raise SourceMismatch(f"{target} exists")
+    jvm.org.apache.hadoop.fs.FileUtil.copy(a.getFileSystem(conf), a, b.getFileSystem(conf), b, False, conf)
+    want, got = tree_stats(spark, source), tree_stats(spark, target)
+    if want != got:
+        raise SourceMismatch(f"copied {got} of {want} files and bytes")
+    return got
+
+
+def code_table(shapes: DataFrame, label: str, codes: dict[str, int]) -> DataFrame:
+    """Shapes with the ``code`` of their label; one that the table lacks raises."""
+    table = F.create_map(*[F.lit(x) for kv in codes.items() for x in kv])
+    out = shapes.withColumn("code", F.try_element_at(table, F.col(label)))
+    lone = out.where(F.col(label).isNotNull() & F.col("code").isNull()).select(label).distinct().limit(5).collect()
+    if lone:
+        raise SourceMismatch(f"no code for {', '.join(str(x[0]) for x in lone)}")
+    return out
+
+
 def write_table(df: DataFrame, path: str) -> int:
     """Write a sidecar as Parquet and give its rows as read back."""
     df.write.mode("overwrite").parquet(path)
