@@ -47,8 +47,10 @@ from tessera.llm.shingles import shingle_sets
 SIMILARITY = (75, 100)
 #: Tokens (hash range) that one counting group holds, and tokens of one block of documents.
 GROUP_TOKENS, BLOCK_TOKENS, BLOCK_DOCS = 1_000_000, 500_000, 60_000
-#: Classes of a family, and bytes of their tokens, that one side of a block pair holds.
-FAMILY_BLOCK, FAMILY_BYTES = 256, 32 << 20
+#: A block of a family has so many classes; beyond MOST_BLOCKS of them blocks grow, up to LARGE classes or so many bytes of tokens.
+FAMILY_BLOCK, MOST_BLOCKS, LARGE, FAMILY_BYTES = 64, 64, 4096, 32 << 20
+#: Families above so many blocks may ask for a second match of tokens that more classes than they hold share.
+FREQUENT = 4
 #: Lengths that a prefix may be extended to, and shared tokens then required.
 MATCHES = (1, 2, 4, 8, 16, 32)
 _REQUESTS = pa.schema([("part", pa.int64()), ("phase", pa.int32()), ("block", pa.int64()), ("a", pa.binary()), ("b", pa.binary())])
@@ -238,18 +240,18 @@ def _families(posts: DataFrame) -> tuple[DataFrame, DataFrame]:
     return materialize(components(join_dealt(posts, heads, ["token"], "df").select("head", "rep"), "head", "rep").withColumnRenamed("node", "rep"), "families"), heads
 
 
-def _members(able: DataFrame, similarity: tuple[int, int], block: int) -> DataFrame:
+def _members(able: DataFrame, similarity: tuple[int, int], many: int) -> DataFrame:
     """(component, rep, n, tokens): classes by family; frequent tokens of large families ask for a second match where that costs less than the pairs."""
     posts = materialize(able.mapInArrow(_prefixes(similarity), "token long, rep long"), "posts")
     families, heads = _families(posts)
     members = materialize(able.join(families, "rep").select("component", "rep", "n", "tokens"), "members")
-    large = materialize(members.groupBy("component").agg(F.count("*").alias("size")).where(F.col("size") > block).withColumn("large", F.lit(True)), "large")
+    large = materialize(members.groupBy("component").agg(F.count("*").alias("size")).where(F.col("size") > many).withColumn("large", F.lit(True)), "large")
     if not large.limit(1).count():
         return members
     split = join_dealt(members, large, ["component"], "size", "left")
     big = materialize(split.where("large").drop("large"), "big")
     own = big.select("rep", "n", "tokens").mapInArrow(_prefixes(similarity), "token long, rep long")
-    frequent = join_dealt(own, heads.where(F.col("df") > block).select("token", "df"), ["token"], "df").groupBy("rep").agg(F.collect_set("token").alias("frequent"))
+    frequent = join_dealt(own, heads.where(F.col("df") > many).select("token", "df"), ["token"], "df").groupBy("rep").agg(F.collect_set("token").alias("frequent"))
     told = materialize(big.join(frequent, "rep", "left"), "told")
     cost = F.coalesce(F.size("frequent"), F.lit(0)).cast("double") * F.octet_length("tokens") / 8
     gain = told.groupBy("component").agg(F.count("*").alias("size"), F.sum(cost).alias("cost"), F.max(F.size("frequent")).alias("most"))
@@ -379,10 +381,10 @@ def jaccard_groups(docs: DataFrame, similarity: tuple[int, int] = SIMILARITY, bl
     # of the documents with a possible partner, the one that stands for its class
     able = some.where("tokens is not null").select("doc_id", "n", "tokens").dropDuplicates(["doc_id"])
     able = materialize(able.join(classes.select(F.col("rep").alias("doc_id")), "doc_id", "left_semi").withColumnRenamed("doc_id", "rep"), "able")
-    members = _members(able, similarity, block)
-    # blocks of a family by a hash of the class, about ``block`` classes each, whatever the family's size
+    members = _members(able, similarity, FREQUENT * block)
+    # blocks of a family by a hash of the class: each class's tokens are copied once a block, so few blocks while these are small
     sized = members.groupBy("component").agg(F.count("*").alias("size"), F.sum(F.octet_length("tokens")).alias("bytes"))
-    blocks = F.greatest(F.ceil(F.col("size") / F.lit(block)), F.ceil(F.col("bytes") / F.lit(FAMILY_BYTES))).cast("int")
+    blocks = F.greatest(F.least(F.ceil(F.col("size") / F.lit(block)), F.lit(MOST_BLOCKS)), F.ceil(F.col("size") / F.lit(LARGE)), F.ceil(F.col("bytes") / F.lit(FAMILY_BYTES))).cast("int")
     sized = materialize(sized.select("component", "size", blocks.alias("blocks")).where("blocks > 1"), "sized")
     dealt = join_dealt(members, sized, ["component"], "size", "left").fillna(1, "blocks").withColumn("mine", F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int"))
     met = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
