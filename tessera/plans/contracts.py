@@ -90,10 +90,10 @@ def fixed_width_fields(spark, sf_dir):
     return tables.fixed_width(x.select(line.alias("value")), [("plate", 2, "string"), ("rate", 12, "double"), ("id", 9, "long")])
 
 
-@query("SELECT l_orderkey AS id, l_linenumber AS k, round(sqrt((2 * l_quantity * l_quantity + l_extendedprice * l_extendedprice) / 3), 6) AS vs, round((l_extendedprice * l_extendedprice) / (l_quantity * l_quantity), 6) AS xi FROM lineitem")
+@query("SELECT l_orderkey AS id, l_linenumber AS k, round(sqrt((2 * v * v + h * h) / 3), 4) AS vs, round((h * h) / (v * v), 4) AS xi FROM (SELECT *, l_quantity AS v, l_extendedprice / 1000 AS h FROM lineitem)")
 def shear_velocities(spark, sf_dir):
-    out = tables.shear(F.col("l_quantity"), F.col("l_extendedprice"))
-    return ad.read(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("id"), F.col("l_linenumber").alias("k"), *[r6(v).alias(n) for n, v in out.items()])
+    out = tables.shear(F.col("l_quantity"), F.col("l_extendedprice") / 1000)
+    return ad.read(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("id"), F.col("l_linenumber").alias("k"), *[r6(v, 4).alias(n) for n, v in out.items()])
 
 
 # statistics, samples, digests
