@@ -48,9 +48,9 @@ SIMILARITY = (75, 100)
 #: Tokens (hash range) that one counting group holds, and tokens of one block of documents.
 GROUP_TOKENS, BLOCK_TOKENS, BLOCK_DOCS = 1_000_000, 500_000, 60_000
 #: A block of a family has so many classes; beyond MOST_BLOCKS of them blocks grow, up to LARGE classes or so many bytes of tokens.
-FAMILY_BLOCK, MOST_BLOCKS, LARGE, FAMILY_BYTES = 64, 64, 4096, 32 << 20
-#: Families above so many blocks may ask for a second match of tokens that more classes than they hold share.
-FREQUENT = 4
+FAMILY_BLOCK, MOST_BLOCKS, LARGE, FAMILY_BYTES = 256, 64, 4096, 32 << 20
+#: Families above so many blocks of classes may ask for a second match of tokens that more classes than they hold share.
+FREQUENT = 1
 #: Lengths that a prefix may be extended to, and shared tokens then required.
 MATCHES = (1, 2, 4, 8, 16, 32)
 _REQUESTS = pa.schema([("part", pa.int64()), ("phase", pa.int32()), ("block", pa.int64()), ("a", pa.binary()), ("b", pa.binary())])
