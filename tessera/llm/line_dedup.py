@@ -55,13 +55,14 @@ def line_dedup(docs: DataFrame, one_in: int = ONE_IN) -> DataFrame:
     found = found.select("doc_id", "c.s", "c.e", F.expr(f"xxhash64({body})").alias("k"))
     again = materialize(found.groupBy("k").agg(F.count("*").alias("n")).where("n > 1"), "repeated")
     places = join_dealt(found, again, ["k"], "n").groupBy(F.col("doc_id").alias("d")).agg(F.collect_set(F.struct("s", "e", "k")).alias("places"))
-    bodies = held.join(places, F.col("doc_id") == F.col("d")).select("doc_id", "lines", F.explode("places").alias("c"))
+    # places and gone grow with the documents: a merge join at every size, never a broadcast of them
+    bodies = held.join(places.hint("merge"), F.col("doc_id") == F.col("d")).select("doc_id", "lines", F.explode("places").alias("c"))
     bodies = materialize(bodies.select("doc_id", "c.s", "c.e", "c.k", F.expr(f"array_join({body}, '\n')").alias("body")), "bodies")
     first = bodies.groupBy("k", "body").agg(F.min(F.struct("doc_id", "s")).alias("first"), F.count("*").alias("n")).where("n > 1")
     later = join_dealt(bodies, materialize(first, "first"), ["k", "body"], "n").where(F.struct("doc_id", "s") != F.col("first"))
     of, spans = f"{OWN}of", f"{OWN}gone"
     gone = later.groupBy(F.col("doc_id").alias(of)).agg(F.sort_array(F.collect_set(F.struct("s", "e"))).alias(spans))
-    out = docs.join(materialize(gone, "gone"), docs.doc_id == F.col(of), "left")
+    out = docs.join(materialize(gone, "gone").hint("merge"), docs.doc_id == F.col(of), "left")
     text = docs["text"]
     kept = F.array_join(F.filter(F.split(text, "\n", -1), lambda line, i: ~F.exists(F.col(spans), lambda r: i.between(r.s, r.e))), "\n")
     return out.select(
