@@ -13,7 +13,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import documents, held_out, text_bytes
+from tessera.llm.common import documents, enter, held_out, text_bytes
 
 EMBED, WIDTH, STRIDE, FILTERS = 8, 8, 4, 16
 #: Positions of a pooled chunk; half of them belong to the next chunk too.
@@ -155,6 +155,7 @@ def training_rows(docs: DataFrame, labels: DataFrame, label: str, sample: int |
 
 def _score(net: dict, threshold: float):
     def run(batches):
+        enter("quality")
         for batch in batches:
             data, offsets = text_bytes(batch.column(1))
             z = np.array([logit(data[a:b], net) for a, b in zip(offsets[:-1], offsets[1:])], np.float64)
@@ -175,6 +176,7 @@ def keep_good(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, threshol
     net, least = network(docs, labels, sample), float(np.log(threshold / (1 - threshold)))
 
     def run(batches):
+        enter("quality")
         for batch in batches:
             data, offsets = text_bytes(batch.column(batch.schema.get_field_index("text")))
             yield batch.filter(pa.array([logit(data[a:b], net) >= least for a, b in zip(offsets[:-1], offsets[1:])], pa.bool_()))

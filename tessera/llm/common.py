@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import tempfile
 import uuid
 
@@ -75,6 +77,29 @@ def documents(docs: DataFrame) -> DataFrame:
     return docs.where(F.col("doc_id").isNotNull()).select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text"), F.lit("")).alias("text"))
 
 
+#: Caches of a Python worker that outlive a task, and the step that it last ran.
+CACHES: list[dict] = []
+_step: list[str] = []
+
+
+def enter(step: str) -> None:
+    """A Python worker starts a task (or group) of ``step``: what it kept for another one goes, and freed memory goes back to the system.
+
+    Workers outlive stages, so without this an executor holds the caches of every operator that has run.
+    """
+    if _step == [step]:
+        return
+    _step[:] = [step]
+    for cache in CACHES:
+        cache.clear()
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except AttributeError:  # a C library without it
+        pass
+
+
 def held_out(doc_id) -> "F.Column":
     """Fold 1 of 3 by crc32 of the id as text; its labels are never learnt from."""
     return F.crc32(doc_id.cast("string").cast("binary")) % 3 == 1

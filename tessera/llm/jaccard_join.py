@@ -39,7 +39,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import documents, join_dealt, materialize, mix, slices, text_bytes
+from tessera.llm.common import documents, enter, join_dealt, materialize, mix, slices, text_bytes
 from tessera.llm.components import components
 from tessera.llm.shingles import shingle_sets
 
@@ -71,6 +71,7 @@ def _ask(parts: int):
     def run(batches):
         from pyspark import TaskContext
 
+        enter("jaccard requests")
         task, serial = TaskContext.get().partitionId(), 0
         ids: list[int] = []
         sets: list[np.ndarray] = []
@@ -123,6 +124,7 @@ def _answer(batches):
     Phase 0 counts: each token comes once a block, however many documents have it.
     Phase 1 streams the documents past the counts.
     """
+    enter("jaccard answers")
     part, asked, shared = None, {}, None
 
     def closed():
@@ -162,6 +164,7 @@ def _assemble(similarity: tuple[int, int]):
     """A block's answers -> a row for each document; tokens: its shared ones in rare-first order, where they reach into the prefix."""
 
     def run(group: pd.DataFrame) -> pd.DataFrame:
+        enter("jaccard sets")
         info = group[group.kind == 1].iloc[0]
         both = np.frombuffer(info.a, np.int64)
         ids, n = both[: len(both) // 2], both[len(both) // 2 :]
@@ -202,6 +205,7 @@ def _prefixes(similarity: tuple[int, int]):
     """Classes (rep, n, tokens) -> (token, rep) for the shared tokens of each class's prefix."""
 
     def run(batches):
+        enter("jaccard prefixes")
         for batch in batches:
             reps = batch.column(0).to_numpy(zero_copy_only=False)
             kept = [_prefix(np.frombuffer(x, np.int64), n, similarity) for n, x in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist())]
@@ -336,6 +340,7 @@ def _join_blocks(similarity: tuple[int, int]):
     """One pair of a family's blocks -> links of its classes: forest edges (a, b) and numbers of links (a, null, links)."""
 
     def run(group: pd.DataFrame) -> pd.DataFrame:
+        enter("jaccard blocks")
         left, right = group[group.side == 0], group[group.side == 1]
         own = group.bi.iloc[0] == group.bj.iloc[0]
         if not len(left) or not (own or len(right)):

@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tessera.llm import wordbpe
-from tessera.llm.common import materialize
+from tessera.llm.common import enter, materialize
 from tessera.llm.token_store import in_order, part_starts
 
 LENGTH = 4096
@@ -133,6 +133,7 @@ def _pack(path: str | None, length: int):
     def run(batches):
         from pyspark import TaskContext
 
+        enter("packing")
         part, bpe, stops = TaskContext.get().partitionId(), wordbpe.load(path), sentence_ids(path)
         end = np.array([wordbpe.END], "<u4").tobytes()
         held: list[tuple[int, int, int, bytes]] = []

@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import OWN, join_dealt, materialize, named
+from tessera.llm.common import OWN, enter, join_dealt, materialize, named
 
 #: Words that a removed run has at least; words below which a unit is hashed with its neighbours, and how many they make together.
 MIN_WORDS, SHORT, WINDOW = 30, 3, 6
@@ -105,6 +105,7 @@ def removed_spans(units: list[str], marks: list[tuple[int, int, int, int]], min_
 
 def _remove(min_words: int):
     def run(batches):
+        enter("substring")
         for batch in batches:
             ids, texts, spans = [], [], []
             for doc, units, marks in zip(*(c.to_pylist() for c in batch.columns)):

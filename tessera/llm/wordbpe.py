@@ -12,6 +12,8 @@ import re
 
 import numpy as np
 
+from tessera.llm.common import CACHES
+
 #: Words that a worker's memo holds.
 MEMO = 600_000
 END = 2
@@ -68,10 +70,11 @@ class WordBpe:
 
 
 _loaded: dict[str, WordBpe] = {}
+CACHES.append(_loaded)
 
 
 def load(path: str | None = None) -> WordBpe:
-    """The worker's encoder of a vocabulary file; it outlives a task."""
+    """The worker's encoder of a vocabulary file; it outlives a task, until the worker goes on to another operator."""
     if path is None:
         import public_tokenizers
 
