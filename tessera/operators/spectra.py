@@ -9,6 +9,9 @@ from pyspark.sql import functions as F
 
 from tessera.functions.grid import RADIUS_KM
 
+#: How far below a bin's edge, in bins, a wavenumber counts as on it: its last bits depend on the order of the sums.
+EDGE = 1e-9
+
 
 def window_power(cells: DataFrame, n: int, res: float, value: str = "v") -> DataFrame:
     """(wr, wc, k, power) of each element of the half-plane transform of whole windows of n x n cells.
@@ -36,8 +39,8 @@ def window_power(cells: DataFrame, n: int, res: float, value: str = "v") -> Data
 
 
 def radial_power(cells: DataFrame, n: int, res: float, bins: int = 48, value: str = "v") -> DataFrame:
-    """(wr, wc, bin, k, power, elements): mean power in equal bins of wavenumber from 0 to a window's greatest; empty bins have no row."""
+    """(wr, wc, bin, k, power, elements): mean power in equal bins of wavenumber from 0 to a window's greatest; an edge belongs to the upper bin, empty bins have no row."""
     each = window_power(cells, n, res, value)
     top = each.groupBy("wr", "wc").agg(F.max("k").alias("top"))
-    at = each.join(top, ["wr", "wc"]).withColumn("bin", F.least(F.floor(F.col("k") / F.col("top") * bins), F.lit(bins - 1)).cast("int"))
+    at = each.join(top, ["wr", "wc"]).withColumn("bin", F.least(F.floor(F.col("k") / F.col("top") * bins + EDGE), F.lit(bins - 1)).cast("int"))
     return at.groupBy("wr", "wc", "bin").agg(((F.col("bin") + 0.5) * F.max("top") / bins).alias("k"), F.avg("power").alias("power"), F.count("*").alias("elements"))

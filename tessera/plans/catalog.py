@@ -522,16 +522,21 @@ def polygon_area(spark, sf_dir):
     return boxes.select("id", r6(lines.ring_area_km2("ring"), 3).alias("km2"))
 
 
-@query(f"""WITH z AS (SELECT CAST(r // 12 AS INT) AS wr, CAST(c // 12 AS INT) AS wc, r % 12 AS i, c % 12 AS j, z FROM ({ad.DENSE_SQL})),
+_POWER = f"""WITH z AS (SELECT CAST(r // 12 AS INT) AS wr, CAST(c // 12 AS INT) AS wc, r % 12 AS i, c % 12 AS j, z FROM ({ad.DENSE_SQL})),
   h AS (SELECT wr, wc, i, j, (z - avg(z) OVER (PARTITION BY wr, wc)) * (0.5 - 0.5 * cos(2 * pi() * i / 11)) * (0.5 - 0.5 * cos(2 * pi() * j / 11)) AS z FROM z),
-  f AS (SELECT wr, wc, u.range AS u, v.range AS v, sum(z * cos(2 * pi() * (u.range * i + v.range * j) / 12)) AS re, sum(z * sin(2 * pi() * (u.range * i + v.range * j) / 12)) AS im FROM h CROSS JOIN range(12) u CROSS JOIN range(7) v GROUP BY 1, 2, 3, 4)
-  SELECT wr, wc, count(*) AS elements, round(ln(avg(re * re + im * im)), 6) AS log_power,
-    round(max(sqrt(pow(2 * pi() * (CASE WHEN u < 6 THEN u ELSE u - 12 END) / 60 / (pi() / 180 * {R}), 2) + pow(2 * pi() * v / 60 / (pi() / 180 * {R} * cos(radians((wr + 0.5::DOUBLE) * 60 - 90))), 2))), 9) AS k_max FROM f GROUP BY 1, 2""")
+  f AS (SELECT wr, wc, u.range AS u, v.range AS v, sum(z * cos(2 * pi() * (u.range * i + v.range * j) / 12)) AS re, sum(z * sin(2 * pi() * (u.range * i + v.range * j) / 12)) AS im FROM h CROSS JOIN range(12) u CROSS JOIN range(7) v GROUP BY 1, 2, 3, 4)"""
+_WAVENUMBER = f"sqrt(pow(2 * pi() * (CASE WHEN u < 6 THEN u ELSE u - 12 END) / 60 / (pi() / 180 * {R}), 2) + pow(2 * pi() * v / 60 / (pi() / 180 * {R} * cos(radians((wr + 0.5::DOUBLE) * 60 - 90))), 2))"
+
+
+@query(f"""{_POWER}
+  SELECT wr, wc, count(*) AS elements, round(ln(avg(re * re + im * im)), 6) AS log_power, round(max({_WAVENUMBER}), 9) AS k_max FROM f GROUP BY 1, 2""")
 def window_power(spark, sf_dir):
     each = spectra.window_power(ad.dense(spark, sf_dir), 12, 5.0, "z")
     return each.groupBy("wr", "wc").agg(F.count("*").alias("elements"), r6(F.log(F.avg("power"))).alias("log_power"), r6(F.max("k"), 9).alias("k_max"))
 
 
-@query()
+@query(f"""{_POWER},
+  e AS (SELECT wr, wc, re * re + im * im AS power, {_WAVENUMBER} AS k FROM f), t AS (SELECT *, max(k) OVER (PARTITION BY wr, wc) AS top FROM e)
+  SELECT wr, wc, CAST(least(floor(k / top * 8 + 1e-9), 7) AS INT) AS bin, round((CAST(least(floor(k / top * 8 + 1e-9), 7) AS INT) + 0.5::DOUBLE) * max(top) / 8, 9) AS k, round(ln(avg(power)), 5) AS log_power, count(*) AS elements FROM t GROUP BY 1, 2, 3""")
 def radial_power(spark, sf_dir):
     return spectra.radial_power(ad.dense(spark, sf_dir), 12, 5.0, 8, "z").select("wr", "wc", "bin", r6(F.col("k"), 9).alias("k"), r6(F.log("power"), 5).alias("log_power"), "elements")
