@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from tessera.plans import builders
 from tessera.plans.builders import BUILDERS
 from tessera.sources import contract as contracts
-from tessera.sources import reports, store
+from tessera.sources import packaging, reports, store
 
 def build(spark: SparkSession, contract_path: str, data: str, out: str) -> list[str]:
     """Write every layer that has a builder, then the manifest; gives the ids that wait for one. A broken contract writes nothing."""
@@ -49,6 +49,8 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
         sub = verbs.add_parser(verb)
         for name in names:
             sub.add_argument(f"--{name}", required=True)
+        if verb == "export-public":
+            sub.add_argument("--dry-run", action="store_true", help="say what the export will hold and weigh, write nothing")
     args = parser.parse_args(argv)
     spark = spark or SparkSession.builder.appName("tessera").getOrCreate()
     try:
@@ -72,8 +74,12 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
         else:
             licences = spark.read.schema("source string, status string").json(args.licences)
             plan = store.strip_plan(contracts.frame(spark, contracts.load_contract(args.contract)), licences).collect()
-            store.export_public(spark, args.store, [x.id for x in plan if x.keep], args.out)
-            print(json.dumps({x.id: x.reason for x in plan}, sort_keys=True))
+            keep, reasons = [x.id for x in plan if x.keep], {x.id: x.reason for x in plan}
+            if args.dry_run:
+                print(json.dumps({"plan": reasons, "packaging": packaging.packaging(*packaging.estimate(spark, args.store, keep)["public"])}, sort_keys=True))
+            else:
+                store.export_public(spark, args.store, keep, args.out)
+                print(json.dumps(reasons, sort_keys=True))
     except (contracts.ContractViolation, FileNotFoundError, KeyError, ValueError) as e:
         print(f"error: {e}", file=sys.stderr)
         return 2

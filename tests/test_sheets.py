@@ -1,10 +1,12 @@
 """xlsx sheets written by hand, and the size of an export."""
 
+import json
 import zipfile
 
 import pytest
 from pyspark.sql import functions as F
 
+from tessera import cli
 from tessera.sources import packaging, sheets, store
 from tessera.sources.readers import SourceMismatch
 
@@ -96,3 +98,27 @@ def test_estimate(spark, tmp_path):
     got = packaging.estimate(spark, str(tmp_path), ["a"])
     assert got["full"][0] == 3 and got["public"][0] == 2 and 0 < got["public"][1] < got["full"][1]
     assert packaging.estimate(spark, str(tmp_path), [])["public"] == (0, 0)
+
+
+def test_dry_run(spark, tmp_path, capsys):
+    """Kept layers are weighed, nothing is written."""
+    contract = """
+version: 1
+status: draft
+layers:
+- {id: point_density, source: events, native_res: 3min, home_tier: 6min, tiers: [1deg, 6min], dtype: uint32, unit: count, resampling: sum, mask: none, visibility: public}
+- {id: later, source: other, native_res: 1deg, home_tier: 1deg, tiers: [1deg], dtype: float32, unit: m, resampling: none, mask: none, visibility: public}
+"""
+    (tmp_path / "c.yaml").write_text(contract)
+    (tmp_path / "l.json").write_text(json.dumps({"source": "other", "status": "rejected"}))
+    full, out = tmp_path / "store", tmp_path / "public"
+    cells = spark.createDataFrame([(0, 0, 1.0)], "r int, c int, v double").coalesce(1)
+    for layer in ("later", "kept_by_none"):
+        store.write_layer(cells, str(full), layer, "1deg")
+    given = ["export-public", "--contract", str(tmp_path / "c.yaml"), "--store", str(full), "--licences", str(tmp_path / "l.json"), "--out", str(out), "--dry-run"]
+    assert cli.main(given, spark) == 0
+    got = json.loads(capsys.readouterr().out)
+    assert got["plan"]["later"] == "rejected" and got["packaging"]["files"] == 0 and not out.exists()
+    (tmp_path / "l.json").write_text(json.dumps({"source": "other", "status": "pending"}))
+    assert cli.main(given, spark) == 0
+    assert json.loads(capsys.readouterr().out)["packaging"]["files"] == 1 and not out.exists()
