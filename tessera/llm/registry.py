@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from tessera.llm import line_dedup as lines
-from tessera.llm import merkle
+from tessera.llm import merkle, personal_data, ranked_search
 from tessera.llm import quality_rules as rules
 from tessera.llm.byte_cnn import quality_scores
 from tessera.llm.common import table
@@ -69,11 +69,14 @@ QUERIES = {
     "op8_quality_rules": op8_quality_rules,
     "op9_substring_dedup": op9_substring_dedup,
     "op10_ngram_jaccard_join": op10_ngram_jaccard_join,
+    "op11_personal_data": personal_data.op11_personal_data,
+    "op12_ranked_search": ranked_search.op12_ranked_search,
     "op13_merkle_manifest": merkle.op13_merkle_manifest,
 }
 
 ORACLE_SQL: dict[str, str] = {
     "op1_line_dedup": lines.ORACLE_SQL,
     "op8_quality_rules": rules.ORACLE_SQL,
+    "op12_ranked_search": ranked_search.ORACLE_SQL,
     "op13_merkle_manifest": merkle.ORACLE_SQL,
 }

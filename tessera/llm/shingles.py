@@ -28,8 +28,8 @@ def _power(n: int) -> tuple[np.ndarray, np.ndarray]:
     return _powers[0], _powers[1]
 
 
-def word_spans(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Starts, ends and row numbers of the words ``[^\\x20\\x09-\\x0D]+`` of all rows."""
+def word_spans(data: np.ndarray, offsets: np.ndarray, cut: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Starts, ends and row numbers of the words ``[^\\x20\\x09-\\x0D]+`` of all rows; a word ends behind a byte that ``cut`` marks, too."""
     space = _SPACE[data]
     edge = np.zeros(len(data) + 1, bool)
     edge[offsets] = True
@@ -37,21 +37,30 @@ def word_spans(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.nd
     before[1:] |= space[:-1]
     after = edge[1:].copy()
     after[:-1] |= space[1:]
+    if cut is not None:
+        ends = cut[data]
+        before[1:] |= ends[:-1]
+        after |= ends
     starts = np.flatnonzero(~space & before)
     ends = np.flatnonzero(~space & after) + 1
     return starts, ends, np.searchsorted(offsets, starts, "right") - 1
 
 
+def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """Hashes of the bytes between starts and ends, A-Z lower-cased."""
+    # words at equal byte values hash alike wherever they stand: the prefix sum's difference is shifted back to exponent 0
+    power, inverse = _power(len(data) + 1)
+    total = np.zeros(len(data) + 1, np.uint64)
+    np.cumsum(_LOWER[data] * power[: len(data)], out=total[1:])
+    return mix((total[ends] - total[starts]) * inverse[starts] + (ends - starts).astype(np.uint64) * np.uint64(_BASE))
+
+
 def shingle_rows(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(row, hash) of every shingle in order; A-Z are lower-cased; a row of fewer than five words has one shingle, an empty row none."""
     if not len(data):
         return np.zeros(0, np.int64), np.zeros(0, np.uint64)
     starts, ends, row = word_spans(data, offsets)
-    # words at equal byte values hash alike wherever they stand: the prefix sum's difference is shifted back to exponent 0
-    power, inverse = _power(len(data) + 1)
-    total = np.zeros(len(data) + 1, np.uint64)
-    np.cumsum(_LOWER[data] * power[: len(data)], out=total[1:])
-    word = mix((total[ends] - total[starts]) * inverse[starts] + (ends - starts).astype(np.uint64) * np.uint64(_BASE))
+    word = word_hashes(data, starts, ends)
     n = len(word)
     count = np.bincount(row, minlength=len(offsets) - 1)
     first = np.concatenate([[0], np.cumsum(count)])
