@@ -275,6 +275,6 @@ def op11_personal_data(spark, sf_dir: str) -> DataFrame:
     out = personal_data(table(spark, sf_dir, "documents"))
     names = F.array(*map(F.lit, KINDS))
     text = lambda spans: F.array_join(F.transform(spans, lambda s: F.concat_ws(":", F.get(names, s.kind), s.start.cast("string"), s.end.cast("string"))), ",")
-    counts = [F.size(F.filter("base", lambda s, k=k: s.kind == k)).cast("long").alias(f"n_{KINDS[k]}") for k in range(4)]
+    counts = [F.size(F.expr(f"filter(base, s -> s.kind = {k})")).cast("long").alias(f"n_{KINDS[k]}") for k in range(4)]
     spans = text(F.sort_array(F.concat("base", "added")))
     return out.select("doc_id", *counts, F.sha2(text(F.col("base")), 256).alias("base_sha256"), spans.alias("spans"))
