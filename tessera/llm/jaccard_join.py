@@ -36,10 +36,10 @@ import hashlib
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import documents, enter, join_dealt, materialize, mix, slices, text_bytes
+from tessera.llm.common import OWN, documents, enter, join_dealt, materialize, mix, slices, text_bytes
 from tessera.llm.components import components
 from tessera.llm.shingles import shingle_sets
 
@@ -57,7 +57,7 @@ _REQUESTS = pa.schema([("part", pa.int64()), ("phase", pa.int32()), ("block", pa
 _REQUESTS_SQL = "part long, phase int, block long, a binary, b binary"
 _ANSWERS = pa.schema([("block", pa.int64()), ("kind", pa.int32()), ("a", pa.binary()), ("b", pa.binary()), ("c", pa.binary())])
 _ANSWERS_SQL = "block long, kind int, a binary, b binary, c binary"
-_SETS_SQL = "doc_id long, n long, d0 long, d1 long, tokens binary"
+_SETS_SQL = "doc_id long, text_id long, n long, d0 long, d1 long, tokens binary"
 
 
 def least_overlap(n: np.ndarray, similarity: tuple[int, int] = SIMILARITY) -> np.ndarray:
@@ -66,7 +66,7 @@ def least_overlap(n: np.ndarray, similarity: tuple[int, int] = SIMILARITY) -> np
 
 
 def _ask(parts: int):
-    """docs (doc_id, text) -> token requests by part, in blocks."""
+    """docs (doc_id, text, text_id) -> token requests by part, in blocks."""
 
     def run(batches):
         from pyspark import TaskContext
@@ -74,16 +74,17 @@ def _ask(parts: int):
         enter("jaccard requests")
         task, serial = TaskContext.get().partitionId(), 0
         ids: list[int] = []
+        of_text: list[int] = []
         sets: list[np.ndarray] = []
         held = 0
 
         def flush():
-            nonlocal ids, sets, held, serial
+            nonlocal ids, of_text, sets, held, serial
             block = task << 32 | serial
             serial += 1
             n = np.array([len(s) for s in sets], np.int64)
             digests = b"".join(hashlib.blake2b(s.tobytes(), digest_size=16).digest() for s in sets)
-            rows = [(block % parts, 2, block, np.array(ids, np.int64).tobytes() + n.tobytes(), digests)]
+            rows = [(block % parts, 2, block, np.array([ids, of_text, n], np.int64).tobytes(), digests)]
             tokens = np.concatenate(sets)
             order = np.argsort(tokens, kind="stable")
             tokens, owner = tokens[order], np.repeat(np.arange(len(sets), dtype=np.uint16), n)[order]
@@ -98,16 +99,17 @@ def _ask(parts: int):
                     p = int(part[a])
                     rows.append((p, 0, block, distinct[a:b].tobytes(), count[a:b].tobytes()))
                     rows.append((p, 1, block, owner[ends[a] : ends[b]].tobytes(), b""))
-            ids, sets, held = [], [], 0
+            ids, of_text, sets, held = [], [], [], 0
             return pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*rows), _REQUESTS.types)], schema=_REQUESTS)
 
         for batch in batches:
-            doc = batch.column(0).to_numpy(zero_copy_only=False)
+            doc, text_id = (batch.column(k).to_numpy(zero_copy_only=False) for k in (0, 2))
             data, offsets = text_bytes(batch.column(1))
             for i, j in slices(offsets):
                 part = shingle_sets(data[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i])
                 for k, s in zip(range(i, j), part):
                     ids.append(int(doc[k]))
+                    of_text.append(int(text_id[k]))
                     sets.append(s)
                     held += len(s)
                     if held >= BLOCK_TOKENS or len(ids) >= BLOCK_DOCS:
@@ -166,8 +168,7 @@ def _assemble(similarity: tuple[int, int]):
     def run(group: pd.DataFrame) -> pd.DataFrame:
         enter("jaccard sets")
         info = group[group.kind == 1].iloc[0]
-        both = np.frombuffer(info.a, np.int64)
-        ids, n = both[: len(both) // 2], both[len(both) // 2 :]
+        ids, of_text, n = np.frombuffer(info.a, np.int64).reshape(3, -1)
         digests = np.frombuffer(info.b, np.int64).reshape(-1, 2)
         told = group[group.kind == 0]
         owner = np.concatenate([np.frombuffer(x, np.uint16) for x in told.a] or [np.zeros(0, np.uint16)])
@@ -179,15 +180,20 @@ def _assemble(similarity: tuple[int, int]):
         prefix = n - least_overlap(n, similarity) + 1
         reach = (n > 0) & (prefix > n - np.diff(cuts))
         blobs = [token[a:b].tobytes() if r else None for a, b, r in zip(cuts[:-1], cuts[1:], reach)]
-        return pd.DataFrame({"doc_id": ids, "n": n, "d0": digests[:, 0], "d1": digests[:, 1], "tokens": pd.Series(blobs, dtype=object)})
+        return pd.DataFrame({"doc_id": ids, "text_id": of_text, "n": n, "d0": digests[:, 0], "d1": digests[:, 1], "tokens": pd.Series(blobs, dtype=object)})
 
     return run
 
 
+def text_id() -> Column:
+    """What tells rows of one doc_id apart: a hash of the text."""
+    return F.xxhash64(F.coalesce(F.col("text"), F.lit("")))
+
+
 def shingle_table(docs: DataFrame, similarity: tuple[int, int] = SIMILARITY) -> DataFrame:
-    """(doc_id, n, d0, d1, tokens) of each document: set size, digest of the set, and shared tokens if a partner is possible."""
+    """(doc_id, text_id, n, d0, d1, tokens) of each document: hash of the text, set size, digest of the set, and shared tokens if a partner is possible."""
     spark = docs.sparkSession
-    docs = documents(docs)
+    docs = documents(docs).withColumn("text_id", text_id())
     size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     deal = int(spark.conf.get("spark.sql.shuffle.partitions"))
     parts = max(deal, -(-size // (6 * GROUP_TOKENS)))
@@ -371,21 +377,24 @@ def _join_blocks(similarity: tuple[int, int]):
     return run
 
 
-def jaccard_groups(docs: DataFrame, similarity: tuple[int, int] = SIMILARITY, block: int = FAMILY_BLOCK) -> DataFrame:
-    """(doc_id, n_shingles, component_id, n_links) of every document.
+def jaccard_members(docs: DataFrame, similarity: tuple[int, int] = SIMILARITY, block: int = FAMILY_BLOCK) -> DataFrame:
+    """(doc_id, text_id, n_shingles, component, component_id, n_links) of every document; component: a number of its own for each group, null without words.
 
     component_id is the smallest doc_id that links reach, n_links the number of
     *different* sets that link to the document's. Documents without words (null,
     empty or blank text) have no shingles and link with nothing; a similarity of
-    just the threshold is a link. Repeated rows of one doc_id count as copies. Any
-    other column is ignored; an empty table gives no rows.
+    just the threshold is a link. Rows that share a doc_id are documents of their
+    own: equal ones count as copies, others by their own sets. Any other column is
+    ignored; an empty table gives no rows.
     """
     sets = materialize(shingle_table(docs, similarity), "sets")
     some = sets.where("n > 0")
-    classes = materialize(some.groupBy("d0", "d1").agg(F.min("doc_id").alias("rep"), F.count("*").alias("copies")), "classes")
+    # a class, all documents of one set, has a number of its own, since its smallest doc_id may be another class's too
+    classes = some.groupBy("d0", "d1").agg(F.min("doc_id").alias("least"), F.count("*").alias("copies"))
+    classes = materialize(classes.withColumn("rep", F.monotonically_increasing_id()), "classes")
     # of the documents with a possible partner, the one that stands for its class
-    able = some.where("tokens is not null").select("doc_id", "n", "tokens").dropDuplicates(["doc_id"])
-    able = materialize(able.join(classes.select(F.col("rep").alias("doc_id")), "doc_id", "left_semi").withColumnRenamed("doc_id", "rep"), "able")
+    able = some.where("tokens is not null").select("doc_id", "d0", "d1", "n", "tokens").dropDuplicates(["doc_id", "d0", "d1"])
+    able = materialize(able.join(classes.select(F.col("least").alias("doc_id"), "d0", "d1", "rep"), ["doc_id", "d0", "d1"]).select("rep", "n", "tokens"), "able")
     members = _members(able, similarity, FREQUENT * block)
     # blocks of a family by a hash of the class: each class's tokens are copied once a block, so few blocks while these are small
     sized = members.groupBy("component").agg(F.count("*").alias("size"), F.sum(F.octet_length("tokens")).alias("bytes"))
@@ -395,10 +404,29 @@ def jaccard_groups(docs: DataFrame, similarity: tuple[int, int] = SIMILARITY, bl
     met = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     met = met.select("component", "rep", "n", "tokens", F.least("mine", "other").alias("bi"), F.greatest("mine", "other").alias("bj"), F.when(F.col("mine") <= F.col("other"), 0).otherwise(1).alias("side"))
     found = materialize(met.groupBy("component", "bi", "bj").applyInPandas(_join_blocks(similarity), "a long, b long, links long"), "links")
-    groups = components(found.where("a <> b"), "a", "b").withColumnRenamed("node", "rep")
+    groups = materialize(components(found.where("a <> b"), "a", "b").withColumnRenamed("node", "rep").join(classes.select("rep", "least"), "rep"), "groups")
+    first = materialize(groups.groupBy("component").agg(F.min("least").alias("first"), F.count("*").alias("size")), "first")
+    groups = join_dealt(groups.drop("least"), first, ["component"], "size").select("rep", "component", "first")
     degree = found.where("links > 0").groupBy(F.col("a").alias("rep")).agg(F.sum("links").alias("n_links"))
-    named = materialize(classes.join(groups, "rep", "left").join(degree, "rep", "left"), "named")
-    return (
-        join_dealt(sets, named, ["d0", "d1"], "copies", "left")
-        .select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component", "rep", "doc_id").alias("component_id"), F.coalesce("n_links", F.lit(0)).alias("n_links"))
-    )
+    named = classes.join(groups, "rep", "left").join(degree, "rep", "left")
+    named = named.select("d0", "d1", "copies", F.coalesce("component", "rep").alias("component"), F.coalesce("first", "least").alias("component_id"), "n_links")
+    out = join_dealt(sets, materialize(named, "named"), ["d0", "d1"], "copies", "left")
+    return out.select("doc_id", "text_id", F.col("n").alias("n_shingles"), "component", F.coalesce("component_id", "doc_id").alias("component_id"), F.coalesce("n_links", F.lit(0)).alias("n_links"))
+
+
+def jaccard_groups(docs: DataFrame, similarity: tuple[int, int] = SIMILARITY, block: int = FAMILY_BLOCK) -> DataFrame:
+    """(doc_id, n_shingles, component_id, n_links) of every document, as ``jaccard_members`` says."""
+    return jaccard_members(docs, similarity, block).select("doc_id", "n_shingles", "component_id", "n_links")
+
+
+def keep_first(docs: DataFrame, similarity: tuple[int, int] = SIMILARITY) -> DataFrame:
+    """Of each group of near duplicates the document with the smallest doc_id (of equal ones, text_id); a row repeated stays as often as it stands.
+
+    Rows without a doc_id or without words stay, all columns as they are.
+    """
+    of, of_text = f"{OWN}of", f"{OWN}of_text"
+    members = materialize(jaccard_members(docs, similarity).where("component is not null").select("doc_id", "text_id", "component"), "members")
+    first = materialize(members.groupBy("component").agg(F.min(F.struct("doc_id", "text_id")).alias("first"), F.count("*").alias("size")), "first")
+    others = join_dealt(members, first.where("size > 1"), ["component"], "size").where(F.struct("doc_id", "text_id") != F.col("first"))
+    others = others.select(F.col("doc_id").alias(of), F.col("text_id").alias(of_text)).distinct()
+    return docs.join(others, (docs.doc_id == F.col(of)) & (text_id() == F.col(of_text)), "left_anti")

@@ -21,6 +21,8 @@ from tessera.llm.common import OWN, join_dealt, materialize, named
 ONE_IN = 2
 #: Lines that the rolling hash spans; its base and modulus (2**31 - 1, so that low bits depend on all lines).
 WINDOW, BASE, MODULUS = 3, 1103515245, 2147483647
+#: Hash by which repeated bodies are found, and digest by which they are brought together before their bytes are compared.
+BODY_HASH, DIGEST = "xxhash64({body})", "md5(body)"
 _WORDED = "l -> l rlike '[^ \\t-\\r]'"
 
 
@@ -43,26 +45,38 @@ def line_dedup(docs: DataFrame, one_in: int = ONE_IN) -> DataFrame:
 
     A null text stays null, an empty one is a single line that is never removed.
     A very long text is an array of lines in its row; its chunks leave as rows of
-    their own. Rows that share a doc_id are one document and keep a chunk alike; a
-    row without one keeps its text. Ties cannot be: of equal chunks in a document
-    the first line's is kept. All other columns pass through (but for those named
-    like the two added); an empty table gives no rows.
+    their own. Rows that share doc_id and text are one document and keep a chunk
+    alike; rows that share a doc_id only are documents of their own, told apart by
+    a 64-bit hash of the text. A row without a doc_id keeps its text. Ties cannot
+    be: of equal chunks in a document the first line's is kept. All other columns
+    pass through (but for those named like the two added); an empty table gives no
+    rows.
     """
-    held = docs.where(F.col("text").isNotNull() & F.col("doc_id").isNotNull()).select(F.col("doc_id"), F.split("text", "\n", -1).alias("lines"))
+    text_id = F.xxhash64("text")
+    held = docs.where(F.col("text").isNotNull() & F.col("doc_id").isNotNull()).select(F.col("doc_id"), text_id.alias("t"), F.split("text", "\n", -1).alias("lines"))
     at = F.expr(f"filter(sequence(0, size(lines) - 1), i -> lines[i] rlike '[^ \\t-\\r]')")
-    found = held.withColumn("at", at).select("doc_id", "lines", F.explode(F.expr(f"filter({chunks(one_in)}, c -> c.n > 1)")).alias("c"))
+    found = held.withColumn("at", at).select("doc_id", "t", "lines", F.explode(F.expr(f"filter({chunks(one_in)}, c -> c.n > 1)")).alias("c"))
     body = f"filter(slice(lines, c.s + 1, c.e - c.s + 1), {_WORDED})"
-    found = found.select("doc_id", "c.s", "c.e", F.expr(f"xxhash64({body})").alias("k"))
+    found = found.select("doc_id", "t", "c.s", "c.e", F.expr(BODY_HASH.format(body=body)).alias("k"))
     again = materialize(found.groupBy("k").agg(F.count("*").alias("n")).where("n > 1"), "repeated")
-    places = join_dealt(found, again, ["k"], "n").groupBy(F.col("doc_id").alias("d")).agg(F.collect_set(F.struct("s", "e", "k")).alias("places"))
+    places = join_dealt(found, again, ["k"], "n").groupBy(F.col("doc_id").alias("d"), F.col("t").alias("dt")).agg(F.collect_set(F.struct("s", "e", "k")).alias("places"))
     # places and gone grow with the documents: a merge join at every size, never a broadcast of them
-    bodies = held.join(places.hint("merge"), F.col("doc_id") == F.col("d")).select("doc_id", "lines", F.explode("places").alias("c"))
-    bodies = materialize(bodies.select("doc_id", "c.s", "c.e", "c.k", F.expr(f"array_join({body}, '\n')").alias("body")), "bodies")
-    first = bodies.groupBy("k", "body").agg(F.min(F.struct("doc_id", "s")).alias("first"), F.count("*").alias("n")).where("n > 1")
-    later = join_dealt(bodies, materialize(first, "first"), ["k", "body"], "n").where(F.struct("doc_id", "s") != F.col("first"))
-    of, spans = f"{OWN}of", f"{OWN}gone"
-    gone = later.groupBy(F.col("doc_id").alias(of)).agg(F.sort_array(F.collect_set(F.struct("s", "e"))).alias(spans))
-    out = docs.join(materialize(gone, "gone").hint("merge"), docs.doc_id == F.col(of), "left")
+    bodies = held.join(places.hint("merge"), (F.col("doc_id") == F.col("d")) & (F.col("t") == F.col("dt"))).select("doc_id", "t", "lines", F.explode("places").alias("c"))
+    bodies = bodies.select("doc_id", "t", "c.s", "c.e", "c.k", F.expr(f"array_join({body}, '\n')").alias("body"))
+    bodies = materialize(bodies.withColumn("h", F.expr(DIGEST)), "bodies")
+    place = F.struct("doc_id", "t", "s")
+    # bytes are compared where a group's least and greatest body meet; only digests are dealt and broadcast
+    groups = bodies.groupBy("k", "h").agg(F.min(place).alias("first"), F.count("*").alias("n"), (F.min("body") == F.max("body")).alias("same")).where("n > 1")
+    groups = materialize(groups, "groups")
+    later = join_dealt(bodies.drop("body"), groups.where("same").drop("same"), ["k", "h"], "n").where(place != F.col("first")).select("doc_id", "t", "s", "e")
+    unlike = groups.where("not same").select("k", "h")
+    if unlike.limit(1).count():  # different bodies of one digest: each is a group of its own
+        some = bodies.join(unlike, ["k", "h"])
+        first = some.groupBy("k", "h", "body").agg(F.min(place).alias("first"), F.count("*").alias("n")).where("n > 1").drop("n")
+        later = later.union(some.join(first.hint("merge"), ["k", "h", "body"]).where(place != F.col("first")).select("doc_id", "t", "s", "e"))
+    of, of_text, spans = f"{OWN}of", f"{OWN}of_text", f"{OWN}gone"
+    gone = later.groupBy(F.col("doc_id").alias(of), F.col("t").alias(of_text)).agg(F.sort_array(F.collect_set(F.struct("s", "e"))).alias(spans))
+    out = docs.join(materialize(gone, "gone").hint("merge"), (docs.doc_id == F.col(of)) & (F.xxhash64(docs.text) == F.col(of_text)), "left")
     text = docs["text"]
     kept = F.array_join(F.filter(F.split(text, "\n", -1), lambda line, i: ~F.exists(F.col(spans), lambda r: i.between(r.s, r.e))), "\n")
     return out.select(

@@ -54,14 +54,14 @@ def windows(short: int = SHORT, window: int = WINDOW) -> str:
       flatten(transform(v, (x, p) -> if(x.n >= {short}, array(named_struct('s', x.i, 'e', x.i, 'w', x.u)), filter(array({onward}, {back}), y -> y is not null)))))[0]"""
 
 
-def removed_spans(units: list[str], marks: list[tuple[int, int, int, int]], min_words: int = MIN_WORDS) -> list[tuple[int, int, int]]:
+def removed_spans(units: list[str], marks: list[tuple], min_words: int = MIN_WORDS) -> list[tuple]:
     """(start, end, source) in code points of what goes.
 
-    marks: first and last unit of a repeated window, doc_id of its earliest
+    marks: first and last unit of a repeated window, the document of its earliest
     occurrence and the first unit there; units without a word are not counted.
     """
     # windows that lie alike in one source grow together: the source holds their units one after another
-    alike: dict[tuple[int, int], list[list[int]]] = {}
+    alike: dict[tuple, list[list[int]]] = {}
     for s, e, source, there in sorted(marks):
         spans = alike.setdefault((source, there - s), [])
         if spans and s <= spans[-1][1] + 1:
@@ -76,8 +76,8 @@ def removed_spans(units: list[str], marks: list[tuple[int, int, int, int]], min_
             end.append(at + len(u))
         at += len(u)
     text = "".join(units)
-    out: list[tuple[int, int, int]] = []
-    run: list[tuple[int, int, int]] = []
+    out: list[tuple] = []
+    run: list[tuple] = []
 
     def close():
         if run and len(re.findall(_WORD, text[begin[run[0][0]] : end[run[-1][1]]])) >= min_words:
@@ -107,18 +107,19 @@ def _remove(min_words: int):
     def run(batches):
         enter("substring")
         for batch in batches:
-            ids, texts, spans = [], [], []
-            for doc, units, marks in zip(*(c.to_pylist() for c in batch.columns)):
-                gone = removed_spans(units, [(m["s"], m["e"], m["source"], m["there"]) for m in marks], min_words)
+            ids, of_text, texts, spans = [], [], [], []
+            for doc, t, units, marks in zip(*(c.to_pylist() for c in batch.columns)):
+                gone = removed_spans(units, [(m["s"], m["e"], (m["source"], m["t"]), m["there"]) for m in marks], min_words)
                 text, at, kept = "".join(units), 0, []
                 for a, b, _ in gone:
                     kept.append(text[at:a])
                     at = b
                 ids.append(doc)
+                of_text.append(t)
                 texts.append("".join([*kept, text[at:]]))
-                spans.append([{"start": a, "end": b, "source": s} for a, b, s in gone])
+                spans.append([{"start": a, "end": b, "source": s[0]} for a, b, s in gone])
             kind = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64()), ("source", pa.int64())]))
-            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(texts, pa.string()), pa.array(spans, kind)], names=[f"{OWN}of", f"{OWN}kept", f"{OWN}spans"])
+            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(of_text, pa.int64()), pa.array(texts, pa.string()), pa.array(spans, kind)], names=[f"{OWN}of", f"{OWN}of_text", f"{OWN}kept", f"{OWN}spans"])
 
     return run
 
@@ -128,21 +129,23 @@ def substring_dedup(docs: DataFrame, min_words: int = MIN_WORDS, short: int = SH
 
     A null text stays null; empty and blank texts have no units and stay. A very
     long text is a row of units like any other; a task holds the units of a few
-    such rows. Rows that share a doc_id are one document; a row without one keeps
-    its text. Of occurrences in one document the first place is the earliest one
-    (ties cannot be: a place is unique). All other columns pass through (but for
-    one named removed); an empty table gives no rows.
+    such rows. Rows that share doc_id and text are one document; rows that share a
+    doc_id only are documents of their own, told apart by a 64-bit hash of the
+    text; a row without a doc_id keeps its text. Of occurrences in one document the
+    first place is the earliest one (ties cannot be: a place is unique). All other
+    columns pass through (but for one named removed); an empty table gives no rows.
     """
-    held = docs.where(F.col("text").isNotNull() & F.col("doc_id").isNotNull()).select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    units = held.select("doc_id", F.explode(F.expr(windows(short, window))).alias("u"))
-    units = materialize(units.select("doc_id", "u.s", "u.e", F.xxhash64("u.w").alias("h1"), F.xxhash64(F.lit(1), "u.w").alias("h2")), "units")
-    first = units.groupBy("h1", "h2").agg(F.min(F.struct("doc_id", "s", "e")).alias("first"), F.count("*").alias("n")).where("n > 1")
-    later = join_dealt(units, materialize(first, "first"), ["h1", "h2"], "n").where("doc_id <> first.doc_id or s > first.e")
-    marks = later.groupBy(F.col("doc_id").alias("d")).agg(F.collect_set(F.struct("s", "e", F.col("first.doc_id").alias("source"), F.col("first.s").alias("there"))).alias("marks"))
-    cut = held.join(materialize(marks, "marks"), F.col("doc_id") == F.col("d")).select("doc_id", F.expr(_UNITS).alias("units"), "marks")
-    of, kept, spans = f"{OWN}of", f"{OWN}kept", f"{OWN}spans"
-    cut = cut.mapInArrow(_remove(min_words), f"{of} long, {kept} string, {spans} {_SPANS}").where(F.size(spans) > 0)
-    out = docs.join(materialize(cut.dropDuplicates([of]), "kept"), docs.doc_id == F.col(of), "left")
+    held = docs.where(F.col("text").isNotNull() & F.col("doc_id").isNotNull()).select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("t"), "text")
+    units = held.select("doc_id", "t", F.explode(F.expr(windows(short, window))).alias("u"))
+    units = materialize(units.select("doc_id", "t", "u.s", "u.e", F.xxhash64("u.w").alias("h1"), F.xxhash64(F.lit(1), "u.w").alias("h2")), "units")
+    first = units.groupBy("h1", "h2").agg(F.min(F.struct("doc_id", "t", "s", "e")).alias("first"), F.count("*").alias("n")).where("n > 1")
+    later = join_dealt(units, materialize(first, "first"), ["h1", "h2"], "n").where("doc_id <> first.doc_id or t <> first.t or s > first.e")
+    mark = F.struct("s", "e", F.col("first.doc_id").alias("source"), F.col("first.t").alias("t"), F.col("first.s").alias("there"))
+    marks = later.groupBy(F.col("doc_id").alias("d"), F.col("t").alias("dt")).agg(F.collect_set(mark).alias("marks"))
+    cut = held.join(materialize(marks, "marks"), (F.col("doc_id") == F.col("d")) & (F.col("t") == F.col("dt"))).select("doc_id", "t", F.expr(_UNITS).alias("units"), "marks")
+    of, of_text, kept, spans = f"{OWN}of", f"{OWN}of_text", f"{OWN}kept", f"{OWN}spans"
+    cut = cut.mapInArrow(_remove(min_words), f"{of} long, {of_text} long, {kept} string, {spans} {_SPANS}").where(F.size(spans) > 0)
+    out = docs.join(materialize(cut.dropDuplicates([of, of_text]), "kept"), (docs.doc_id == F.col(of)) & (F.xxhash64(docs.text) == F.col(of_text)), "left")
     return out.select(
         *named(docs, {"text": F.when(F.col(of).isNull(), docs["text"]).otherwise(F.col(kept))}, ("removed",)),
         F.coalesce(spans, F.expr(f"cast(array() as {_SPANS})")).alias("removed"),

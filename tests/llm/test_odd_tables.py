@@ -81,3 +81,41 @@ def test_shared_folder(spark, monkeypatch):
     with pytest.raises(ValueError):
         common.shared_dir(Cluster())
     assert common.shared_dir(spark)
+
+
+LONG_A, LONG_B = (" ".join(f"{c}{i}" for i in range(60)) for c in "ab")
+LINES_X, LINES_Y = ("\n".join(f"A {c} line of its own, number {i}." for i in range(12)) for c in "xy")
+
+
+def test_rows_of_one_id_lines(spark):
+    """Rows that share a doc_id are told apart by their text: what repeats in one of them leaves the other alone."""
+    df = spark.createDataFrame([(1, LINES_X), (2, LINES_X), (2, LINES_Y)], "doc_id long, text string")
+    got = {(r.doc_id, r.n_removed_lines, r.text) for r in line_dedup.line_dedup(df).collect()}
+    assert (1, 0, LINES_X) in got and (2, 0, LINES_Y) in got and len(got) == 3 and max(n for _, n, _ in got) >= 10
+
+
+def test_digests_that_meet(spark, monkeypatch):
+    """Bodies of one digest are compared by their bytes, and still removed where they repeat."""
+    df = spark.createDataFrame([(1, LINES_X), (2, LINES_X + "\n" + LINES_Y), (3, LINES_Y), (4, "One line.\nAnd one.")], "doc_id long, text string")
+    want = sorted(map(tuple, line_dedup.line_dedup(df).collect()))
+    monkeypatch.setattr(line_dedup, "DIGEST", "'same'")
+    monkeypatch.setattr(line_dedup, "BODY_HASH", "0L")
+    assert sorted(map(tuple, line_dedup.line_dedup(df).collect())) == want and sum(r[3] for r in want) >= 8
+
+
+def test_rows_of_one_id_passages(spark):
+    passage = "Here " + " ".join(f"passage{i}" for i in range(60)) + "."
+    own = "Quite " + " ".join(f"other{i}" for i in range(40)) + "."
+    df = spark.createDataFrame([(1, passage), (2, own + " " + passage), (2, own.replace("other", "else"))], "doc_id long, text string")
+    got = {r.text: [tuple(x) for x in r.removed] for r in substring_dedup.substring_dedup(df).collect()}
+    assert got == {passage: [], own + " ": [(len(own) + 1, len(own) + 1 + len(passage), 1)], own.replace("other", "else"): []}
+
+
+def test_rows_of_one_id_near_copies(spark):
+    """The smallest doc_id of a group may be another group's, too."""
+    near = LONG_B + " tail"
+    df = spark.createDataFrame([(5, LONG_A), (5, LONG_B), (7, near), (8, near), (9, LONG_A + " more"), (9, "x y z")], "doc_id long, text string")
+    got = sorted((r.doc_id, r.component_id, r.n_links) for r in jaccard_groups(df).collect())
+    assert got == [(5, 5, 1), (5, 5, 1), (7, 5, 1), (8, 5, 1), (9, 5, 1), (9, 9, 0)]
+    kept = corpus_pipeline.jaccard_stage(spark, df, "/root/testdata/sf0.001").collect()
+    assert sorted(map(tuple, kept)) == sorted([(5, LONG_A), (5, LONG_B), (9, "x y z")])
