@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tessera.llm.byte_cnn import keep_good
 from tessera.llm.common import materialize, named, table
-from tessera.llm.jaccard_join import jaccard_groups
+from tessera.llm.jaccard_join import keep_first
 from tessera.llm.line_dedup import line_dedup
 from tessera.llm.packing import pack
 from tessera.llm.substring_dedup import substring_dedup
@@ -33,8 +33,7 @@ def line_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 def jaccard_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of near duplicates the document with the smallest doc_id stays."""
-    others = jaccard_groups(docs).where("doc_id <> component_id").select("doc_id").distinct()
-    return docs.join(others, "doc_id", "left_anti").select([f"`{c}`" for c in docs.columns])
+    return keep_first(docs)
 
 
 def substring_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
