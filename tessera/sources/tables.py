@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessera.operators.stats import finite
+from tessera.sources.ordinals import numbered, records
 from tessera.sources.readers import SourceMismatch, require
 
 
@@ -107,22 +108,23 @@ def csv_table(spark: SparkSession, path: str, header: list[str], sep: str = ",",
     """A CSV whose header is just ``header``: records may span lines, an empty field is null, ``NA`` stays text.
 
     numbers: columns cast to double; text that is no number raises, or becomes null
-    with parse="null". ordinal: a column with each record's place in its file from 1.
-    A file whose records span lines is one task's; many files are many tasks.
+    with parse="null". ordinal: a column with each record's place in its file from 1,
+    empty lines not counted. A file is read in splits also where records span lines.
     """
-    raw = spark.read.option("sep", sep).option("multiLine", "true").option("header", "false").option("emptyValue", "").option("escape", '"').csv(path, schema=", ".join(f"_c{i} string" for i in range(len(header) + 1)))
-    raw = raw.select("*", F.col("_metadata.file_path").alias("_path"), F.monotonically_increasing_id().alias("_id"))
-    first = raw.groupBy("_path").agg(F.min_by(F.struct(*[f"_c{i}" for i in range(len(header) + 1)]), "_id").alias("_head"), F.min("_id").alias("_first"))
+    names = [f"_c{i}" for i in range(len(header) + 1)]
+    parsed = F.from_csv("value", ", ".join(f"{c} string" for c in names), {"sep": sep, "escape": '"', "emptyValue": "", "multiLine": "true"})
+    raw = records(spark, path).select("path", "record", parsed.alias("_r")).select("path", "record", "_r.*")
+    first = raw.where("record = 1").withColumn("_head", F.struct(*names))
     same = [F.trim(F.regexp_replace(F.coalesce(F.col(f"_head._c{i}"), F.lit("")), "^﻿", "")) == h for i, h in enumerate(header)]
     ok = F.min((F.forall(F.array(*same), lambda x: x) & F.col(f"_head._c{len(header)}").isNull()).cast("int")) == 1
     require(first, header=F.coalesce(ok, F.lit(True)))
-    rows = raw.join(first.select("_path", "_first"), "_path").where("_id > _first")
+    rows = raw.where("record > 1")
     text = [F.nullif(F.col(f"_c{i}"), F.lit("")) for i in range(len(header))]
     if numbers and parse == "raise":
         wrong = F.array(*[(t.isNotNull() & t.try_cast("double").isNull()) for t, h in zip(text, header) if h in numbers])
         require(rows, numbers=F.count_if(F.array_contains(wrong, True)) == 0)
     out = [t.try_cast("double").alias(h) if h in numbers else t.alias(h) for t, h in zip(text, header)]
-    return rows.select(*out, *([(F.col("_id") - F.col("_first")).alias(ordinal)] if ordinal else []))
+    return rows.select(*out, *([(F.col("record") - 1).alias(ordinal)] if ordinal else []))
 
 
 def require_full_grid(df: DataFrame, nlat: int, nlon: int, r: str = "r", c: str = "c") -> DataFrame:
@@ -205,11 +207,13 @@ def shear(vsv: Column, vsh: Column) -> dict[str, Column]:
 def evaluated(spark: SparkSession, path: str, points: DataFrame, columns: list[str], tolerance: float = 1e-6) -> DataFrame:
     """Rows that an outside evaluator wrote for ``points`` (i, x, y, z), read back with i: as many, in their order, at their coordinates.
 
-    The evaluator's file holds a row a point in order; the first three columns are the coordinates.
+    The evaluator's file holds a row a point in order, from i = 0; the first three
+    columns are the coordinates. A line's number is its place in the file, in
+    however many splits that is read; ``path`` names one file.
     """
     tokens = F.split(F.trim("value"), r"\s+")
-    got = spark.read.text(path).select(F.monotonically_increasing_id().alias("i"), tokens.alias("t")).select("i", *[F.get("t", F.lit(k)).try_cast("double").alias(c) for k, c in enumerate(columns)])
+    got = numbered(spark, path).select((F.col("line") - 1).alias("i"), tokens.alias("t")).select("i", *[F.get("t", F.lit(k)).try_cast("double").alias(c) for k, c in enumerate(columns)])
     both = points.join(got, "i", "full")
     off = F.greatest(*[F.abs(F.col(a) - F.col(b)) for a, b in zip(("x", "y", "z"), columns)])
-    require(both, rows=(F.count("i") == F.count("x")) & (F.count("i") == F.count(columns[0])), order=F.coalesce(F.max(off) <= tolerance, F.lit(True)))
+    require(both, rows=(F.count("i") == F.count("x")) & (F.count("i") == F.count(columns[0])), once=F.count("i") == F.count_distinct("i"), order=F.coalesce(F.max(off) <= tolerance, F.lit(True)))
     return got
