@@ -18,8 +18,8 @@ from tessera.llm.common import documents, enter, held_out, text_bytes
 EMBED, WIDTH, STRIDE, FILTERS = 8, 8, 4, 16
 #: Positions of a pooled chunk; half of them belong to the next chunk too.
 CHUNK = 64
-#: Labelled rows that the classifier is fitted on at most, for each label; their texts are taken whole.
-SAMPLE = 1000
+#: Labelled rows that the classifier is fitted on at most, for each label, and bytes of their texts, which are taken whole.
+SAMPLE, LONGEST = 1000, 200_000
 EPOCHS, BATCH, RATE, SEED = 8, 16, 0.005, 7
 #: Share of training texts that come once more, cut to a few words, so that short texts are no surprise; bytes of these.
 SHORT_SHARE, SHORT_BYTES = 0.25, 120
@@ -144,12 +144,19 @@ def fit(texts: list[bytes], labels: np.ndarray, epochs: int = EPOCHS, seed: int
 
 
 def training_rows(docs: DataFrame, labels: DataFrame, label: str, sample: int | tuple[int, int]) -> tuple[list[str], np.ndarray]:
-    """At most ``sample`` texts of each label (or so many of label 0, of label 1), the first by a hash of the id; never of the held-out fold."""
-    marked = labels.where(~held_out(F.col("doc_id")) & F.col(label).isin(0, 1)).select(F.col("doc_id").cast("long").alias("doc_id"), F.col(label).cast("int").alias("y"))
+    """At most ``sample`` rows of each label (or so many of label 0, of label 1) with texts of LONGEST bytes or less, the first by a hash of the id; never of the held-out fold.
+
+    Both bounds hold for rows, however often ids are repeated in either table; so
+    the driver never gets more than their product in bytes.
+    """
+    marked = labels.where(~held_out(F.col("doc_id")) & F.col(label).isin(0, 1)).select(F.col("doc_id").cast("long").alias("doc_id"), F.col(label).cast("int").alias("y")).distinct()
     bounds = sample if isinstance(sample, tuple) else (sample, sample)
-    picked = [marked.where(f"y = {y}").orderBy(F.xxhash64("doc_id"), "doc_id").limit(bounds[y]) for y in (0, 1)]
-    rows = docs.join(F.broadcast(picked[0].union(picked[1])), "doc_id").select("doc_id", "text", "y").collect()
-    rows.sort(key=lambda r: r.doc_id)
+    short = docs.where(F.octet_length("text") <= LONGEST)
+    rows = []
+    for y, n in enumerate(bounds):
+        picked = marked.where(f"y = {y}").orderBy(F.xxhash64("doc_id"), "doc_id").limit(n)  # as many ids at most
+        rows += short.join(F.broadcast(picked), "doc_id").select("doc_id", "text", "y").orderBy(F.xxhash64("doc_id"), "doc_id", F.xxhash64("text")).limit(n).collect()
+    rows.sort(key=lambda r: (r.doc_id, r.y, r.text))
     return [r.text for r in rows], np.array([r.y for r in rows], np.float32)
 
 

@@ -77,6 +77,9 @@ def documents(docs: DataFrame) -> DataFrame:
     return docs.where(F.col("doc_id").isNotNull()).select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text"), F.lit("")).alias("text"))
 
 
+#: Texts longer than this are never kept in a memo, so that entries bound its bytes.
+KEPT_LETTERS = 48
+
 #: Caches of a Python worker that outlive a task, and the step that it last ran.
 CACHES: list[dict] = []
 _step: list[str] = []

@@ -166,6 +166,10 @@ def encode_gif(payload: bytes) -> bytes:
     return b"".join([*out, b"\x3b"])
 
 
+#: Pixels of a screen at most, and of all frames' screens beyond twice the pixels that the frames draw.
+LARGEST = 1 << 24
+
+
 def _blocks(raw: bytes, at: int) -> tuple[bytes, int]:
     parts = []
     while raw[at]:
@@ -180,7 +184,8 @@ def decode_gif(raw: bytes, compose: bool = True) -> list[dict]:
     """Frames of a GIF: index (h, w uint8), palette (n, 3), place, delay, disposal, transparent, and image, the composed RGB screen.
 
     ValueError for what is no whole GIF: another signature, a file cut off, an
-    unknown block, a code that no entry stands for, an image without a palette.
+    unknown block, a code that no entry stands for, an image without a palette, and
+    for screens that would take far more memory than the frames' own pixels.
     """
     try:
         return _decode(raw, compose)
@@ -196,8 +201,10 @@ def _decode(raw: bytes, compose: bool) -> list[dict]:
     if flags & 0x80:
         n = 3 << (flags & 7) + 1
         palette, at = np.frombuffer(raw, np.uint8, n, at).reshape(-1, 3), at + n
+    if compose and width * height > LARGEST:
+        raise ValueError(f"a screen of {width} x {height}")
     screen = np.zeros((height, width, 3), np.uint8) if compose else None
-    control, frames = (0, 0, None), []
+    control, frames, drawn = (0, 0, None), [], 0
     while raw[at] != 0x3B:
         kind = raw[at]
         if kind == 0x21:
@@ -220,6 +227,9 @@ def _decode(raw: bytes, compose: bool) -> list[dict]:
         pixels = lzw_decode(packed, raw[at], w * h)
         if len(pixels) < w * h:
             raise ValueError(f"{len(pixels)} of {w * h} pixels")
+        drawn += w * h
+        if compose and (len(frames) + 1) * width * height > LARGEST + 2 * drawn:
+            raise ValueError("screens beyond what its frames draw")
         index = np.frombuffer(pixels, np.uint8).reshape(h, w)
         if own & 0x40:
             order = np.concatenate([np.arange(a, h, s) for a, s in ((0, 8), (4, 8), (2, 4), (1, 2))])

@@ -15,10 +15,10 @@ from itertools import chain
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from tessera.llm.common import documents
+from tessera.llm.common import CACHES, KEPT_LETTERS, documents, enter
 
 NAME = "piece_bpe_32k.model"
-#: Words and pairs that a worker's memos hold.
+#: Words and pairs that a worker's memos hold; long ones are not kept.
 MEMO = 500_000
 _BLANK = "▁"
 _SEGMENT = re.compile(f"{_BLANK}*[^{_BLANK}]+|{_BLANK}+")
@@ -120,7 +120,7 @@ class PieceCodec:
         found = self.memo.get(segment)
         if found is None:
             found = self.segment(segment)
-            if len(self.memo) < MEMO:
+            if len(self.memo) < MEMO and len(segment) <= KEPT_LETTERS:
                 self.memo[segment] = found
         return found
 
@@ -165,10 +165,11 @@ def _utf8(raw: bytes) -> str:
 
 
 _loaded: dict[str, PieceCodec] = {}
+CACHES.append(_loaded)
 
 
 def load(path: str | None = None) -> PieceCodec:
-    """The worker's codec of a model file; it outlives a task."""
+    """The worker's codec of a model file; it outlives a task, until the worker goes on to another operator."""
     if path is None:
         import public_tokenizers
 
@@ -180,6 +181,7 @@ def load(path: str | None = None) -> PieceCodec:
 
 def _run(path: str | None):
     def run(batches):
+        enter("pieces")
         codec = load(path)
         sha = lambda s: hashlib.sha256(s.encode()).hexdigest()
         for batch in batches:

@@ -10,6 +10,7 @@ around it tell quotation or talk about the term (less) from address (more).
 from __future__ import annotations
 
 import re
+import zlib
 from collections import Counter
 
 import numpy as np
@@ -18,13 +19,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tessera.llm.byte_cnn import training_rows
-from tessera.llm.common import documents, held_out
+from tessera.llm.common import KEPT_LETTERS, documents, enter, held_out, mix
 
 #: Labelled rows that the lexicon is mined from at most: clean, toxic.
-SAMPLE = (3000, 1000)
+SAMPLE = (3000, 2000)
 THRESHOLD = 0.7
-#: A term's least documents among toxic rows and least share of toxic ones; stem lengths.
-SUPPORT, PRECISION, STEMS = 5, 0.95, (5, 8)
+#: A term's least families among toxic rows, in number and as a share of them, and least share of toxic ones; stem lengths.
+SUPPORT, SHARE, PRECISION, STEMS = 5, 0.02, 0.92, (5, 8)
+#: Rows of one label are a family if any of so many least hashes of their runs of WORDS words agree.
+SKETCH, WORDS = 4, 4
 #: Edits allowed from these lengths on (whole words only), and a match's worth by its edits.
 EDITS, WORTH = ((9, 2), (5, 1)), (1.0, 0.85, 0.75)
 #: A term with so many different near words in clean rows is matched without edits.
@@ -150,7 +153,9 @@ class Lexicon:
                 self.seen = {}
             for i, x in enumerate(worths):
                 if x is None:
-                    worths[i] = self.seen[words[i]] = self.worth(words[i])
+                    worths[i] = self.worth(words[i])
+                    if len(words[i]) <= KEPT_LETTERS:
+                        self.seen[words[i]] = worths[i]
         if not any(worths):
             return 0.01, 0
         left, n = 0.99, 0
@@ -172,8 +177,36 @@ class Lexicon:
         return worth
 
 
+def _families(texts: list[str], labels: np.ndarray) -> tuple[list[str], np.ndarray]:
+    """One text for each family of near copies of a label, and its label."""
+    top, first, seen = list(range(len(texts))), {}, {}
+
+    def find(i):
+        while top[i] != i:
+            top[i] = i = top[top[i]]
+        return i
+
+    for i, (text, y) in enumerate(zip(texts, labels)):
+        words = text.lower().split()
+        runs = {" ".join(words[k : k + WORDS]) for k in range(max(1, len(words) - WORDS + 1))}
+        h = np.fromiter((zlib.crc32(x.encode()) for x in runs), np.uint64, len(runs))
+        for k in range(SKETCH):
+            least = int(mix(h + np.uint64((k + 1) * 0x9E3779B97F4A7C15 % 2**64)).min())
+            j = first.setdefault((k, int(y), least), i)
+            top[find(i)] = find(j)
+    for i in range(len(texts)):
+        seen.setdefault(find(i), set()).update(texts[i].lower().split())
+    kept = sorted(seen)
+    return [" ".join(sorted(seen[i])) for i in kept], np.array([labels[i] for i in kept])
+
+
 def mine(texts: list[str], labels: np.ndarray) -> Lexicon:
-    """Words and stems that mark toxic rows. Of a stem and a longer form with the same rows, the longer one stays."""
+    """Words and stems that mark toxic rows. Of a stem and a longer form with the same rows, the longer one stays.
+
+    A family of near copies counts as one row, with all its words: what copies have
+    in common besides a term is no term.
+    """
+    texts, labels = _families(texts, labels)
     low, high = STEMS
 
     def forms(text: str) -> set[str]:
@@ -188,7 +221,8 @@ def mine(texts: list[str], labels: np.ndarray) -> Lexicon:
     for text, y in zip(texts, labels):
         if y:
             toxic.update(forms(text))
-    toxic = Counter({w: n for w, n in toxic.items() if n >= SUPPORT})
+    least = max(SUPPORT, SHARE * float(np.sum(labels == 1)))
+    toxic = Counter({w: n for w, n in toxic.items() if n >= least})
     seen = toxic.copy()
     for text, y in zip(texts, labels):
         if not y:
@@ -214,6 +248,7 @@ def mine(texts: list[str], labels: np.ndarray) -> Lexicon:
 
 def _score(terms: dict[str, float], exceptions: frozenset[str], exact: frozenset[str], threshold: float):
     def run(batches):
+        enter("toxicity")
         lexicon = Lexicon(terms, exceptions, exact)
         for batch in batches:
             found = [lexicon.score(t) for t in batch.column(1).to_pylist()]

@@ -12,9 +12,9 @@ import re
 
 import numpy as np
 
-from tessera.llm.common import CACHES
+from tessera.llm.common import CACHES, KEPT_LETTERS
 
-#: Words that a worker's memo holds.
+#: Words that a worker's memo holds; long ones are not kept.
 MEMO = 600_000
 END = 2
 NAME = "word_bpe_49k.json"
@@ -43,7 +43,7 @@ class WordBpe:
         found = self.pieces.get(piece)
         if found is None:
             found = np.array([t.id for t in self.model.tokenize(piece.encode().decode("latin-1").translate(self.letters))], "<u4").tobytes()
-            if len(self.pieces) < MEMO // 4:
+            if len(self.pieces) < MEMO // 4 and len(piece) <= KEPT_LETTERS:
                 self.pieces[piece] = found
         return found
 
@@ -63,7 +63,7 @@ class WordBpe:
                     p = memo.get(words[i])
                     if p is None:
                         p = self.word(words[i])
-                        if len(memo) < MEMO:
+                        if len(memo) < MEMO and len(words[i]) <= KEPT_LETTERS:
                             memo[words[i]] = p
                     parts[i] = p
         return b"".join(parts)

@@ -333,6 +333,12 @@ def test_gif_frames_and_faults(spark):
     assert [(r.doc_id, r.frame, r.starts_cs, r.delay_cs, r.width, r.height) for r in frames] == [(0, 0, 0, 10, 64, 256), (0, 1, 10, 10, 64, 144)]
     assert sum(frames[0].red) == 64 * 256 and frames[0].red == frames[0].blue == [1024] * 16 and frames[1].n_colours == 256
     assert gif_media.gif_frames(df.where("false")).count() == 0
+    huge = whole[:6] + b"\xff\xff\xff\xff" + whole[10:]
+    wide = whole[:6] + b"\0\x0c\0\x0c" + whole[10:-1] + whole[whole.index(b"\x21\xf9") : -1] * 3 + b"\x3b"
+    for raw, fault in ((huge, "a screen of 65535 x 65535"), (wide, "screens beyond")):
+        with pytest.raises(ValueError, match=fault):
+            gif_media.decode_gif(raw)
+        assert len(gif_media.decode_gif(raw, compose=False)) >= 2
     rng = np.random.default_rng(0)
     for _ in range(300):
         raw = bytearray(whole[: int(rng.integers(len(whole)))] if rng.random() < 0.5 else whole)
