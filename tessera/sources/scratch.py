@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
@@ -17,3 +17,10 @@ def scratch_path(spark: SparkSession, name: str) -> str:
         folder = getattr(spark, "_tessera_scratch", None) or "file://" + tempfile.mkdtemp(prefix="tessera-")
         spark._tessera_scratch = folder
     return f"{folder.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+def kept(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written to a scratch path and read back: computed once, and safe from lost executors. The table stays for as long as results may read it."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
