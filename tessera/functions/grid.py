@@ -95,7 +95,7 @@ def require_contiguous(df: DataFrame, group: str, n: int, c: str = "c") -> DataF
 
 def axis_attributes(axis: str) -> dict[str, str]:
     """What a level axis says of itself in the manifest."""
-    return {"time": {"units": "Ma", "positive": "down", "long_name": "age before present"}, "depth": {"units": "km", "positive": "down", "long_name": "depth"}}[axis]
+    return {"time": {"units": "Ma", "long_name": "geologic age before present", "direction": "increasing age (into the past)"}, "depth": {"units": "km", "positive": "down", "long_name": "depth"}}[axis]
 
 
 def pixel_key(x: Column, per_degree: int = 10) -> Column:

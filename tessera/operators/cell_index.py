@@ -112,10 +112,12 @@ def _quartered(cells: DataFrame, level: int) -> DataFrame:
     kids = cells.withColumn("_k", kid).withColumns({"_x": F.col("ix") * 2 + F.col("_k.a"), "_y": F.col("iy") * 2 + F.col("_k.b")})
     px, py = (F.col("ix") + 0.5) * (2 * w) - 180, (F.col("iy") + 0.5) * (2 * h) - 90
     cx, cy = (F.col("_x") + 0.5) * w - 180, (F.col("_y") + 0.5) * h - 90
+    kids = kids.withColumns({"_px": px, "_py": py, "_cx": cx, "_cy": cy})  # under names of their own: below, ix and iy are the quarter's
+    px, py, cx, cy = (F.col(c) for c in ("_px", "_py", "_cx", "_cy"))
     near = lambda e: (F.least(e.x1, e.x2) <= cx + w / 2 + _EPS) & (F.greatest(e.x1, e.x2) >= cx - w / 2 - _EPS) & (F.least(e.y1, e.y2) <= cy + h / 2 + _EPS) & (F.greatest(e.y1, e.y2) >= cy - h / 2 - _EPS)
     some = F.filter("edges", near)
-    inside = F.col("centre") != _path_odd(cx, cy, px, py, F.col("edges"))
-    return kids.select(F.lit(level).alias("level"), F.col("_x").alias("ix"), F.col("_y").alias("iy"), "fid", F.when(F.size(some) > 0, some).alias("edges"), inside.alias("centre"))
+    kids = kids.withColumns({"_in": F.col("centre") != _path_odd(cx, cy, px, py, F.col("edges")), "_some": F.when(F.size(some) > 0, some)})
+    return kids.select(F.lit(level).alias("level"), F.col("_x").alias("ix"), F.col("_y").alias("iy"), "fid", F.col("_some").alias("edges"), F.col("_in").alias("centre"))
 
 
 def contained(points: DataFrame, cells: DataFrame, id_: str = "id", lat: str = "lat", lon: str = "lon", deepest: int = DEEPEST) -> DataFrame:

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tessera.functions.grid import RADIUS_KM
+from tessera.operators.polygons import fill
 
 
 def unit_vector(lat: Column, lon: Column) -> list[Column]:
@@ -60,10 +61,10 @@ def inside_rings(x: Column, y: Column, rings: Column) -> Column:
 def close_pole(ring: Column, winding: Column) -> Column:
     """An unwound closed ring of struct(x, y) that goes round the globe once, as a polygon: it is led along its pole's parallel.
 
-    winding: 1 or -1 of a ring round a pole, 0 leaves the ring. The pole is that of the ring's mean latitude.
+    winding: 1 of a ring that runs eastward round the north pole, -1 of one that runs
+    westward round the south pole, so that its inside is on its left; 0 leaves the ring.
     """
-    mean = F.aggregate(ring, F.lit(0.0), lambda a, p: a + p.y) / F.size(ring)
-    pole = F.when(mean >= 0, 90.0).otherwise(-90.0)
+    pole = F.when(winding > 0, 90.0).otherwise(-90.0)
     corner = lambda p: F.struct(p.x.alias("x"), pole.alias("y"))
     last, first = F.element_at(ring, -1), F.element_at(ring, 1)
     return F.when(winding == 0, ring).otherwise(F.concat(ring, F.array(corner(last), corner(first), first)))
@@ -78,9 +79,8 @@ def turned_copies(polygons: DataFrame, ring: str = "ring") -> DataFrame:
 
 
 def burn_rings(polygons: DataFrame, res: float, nlat: int, nlon: int, rings: str = "rings") -> DataFrame:
-    """``burn`` of polygons with holes: an array of rings, the exterior first; its box bounds the work."""
-    out = burn(polygons.withColumn("_box", F.expr(f"array(named_struct('x', array_min({rings}[0].x), 'y', array_min({rings}[0].y)), named_struct('x', array_max({rings}[0].x), 'y', array_min({rings}[0].y)), named_struct('x', array_max({rings}[0].x), 'y', array_max({rings}[0].y)), named_struct('x', array_min({rings}[0].x), 'y', array_max({rings}[0].y)))")), res, nlat, nlon, "_box")
-    return out.where(inside_rings((F.col("c") + 0.5) * res - 180, (F.col("r") + 0.5) * res - 90, F.col(rings))).drop("_box")
+    """Cells of polygons with holes, an array of rings, as ``polygons.fill`` finds them: all other columns, r and c."""
+    return fill(polygons, res, nlat, nlon, rings)
 
 
 def segment_faults(segs: DataFrame) -> DataFrame:
@@ -107,13 +107,8 @@ def cross_track(p_lat: Column, p_lon: Column, lat: Column, lon: Column, lat2: Co
 
 
 def burn(polygons: DataFrame, res: float, nlat: int, nlon: int, ring: str = "ring") -> DataFrame:
-    """(r, c) of cell centres inside each polygon: its box's cells are exploded, then cast; the box bounds the work."""
-    xs, ys = F.transform(ring, lambda p: p.x), F.transform(ring, lambda p: p.y)
-    low = lambda v, o, n: F.greatest(F.floor((F.array_min(v) + o) / res), F.lit(0))
-    high = lambda v, o, n: F.least(F.floor((F.array_max(v) + o) / res), F.lit(n - 1))
-    cells = polygons.withColumn("r", F.explode(F.sequence(low(ys, 90, nlat), high(ys, 90, nlat)))).withColumn("c", F.explode(F.sequence(low(xs, 180, nlon), high(xs, 180, nlon))))
-    cells = cells.withColumns({"r": F.col("r").cast("int"), "c": F.col("c").cast("int")})
-    return cells.where(inside((F.col("c") + 0.5) * res - 180, (F.col("r") + 0.5) * res - 90, F.col(ring)))
+    """``burn_rings`` of polygons of one ring."""
+    return fill(polygons.withColumn(ring, F.array(ring)), res, nlat, nlon, ring)
 
 
 def split_dateline(segs: DataFrame) -> DataFrame:

@@ -63,6 +63,26 @@ def overlap_mean(cells: DataFrame, value: str = "v", keys: tuple[str, ...] = ())
     return some.groupBy(*keys, F.col("tr").alias("r"), F.col("tc").alias("c")).agg((F.sum(F.col(value) * F.col("w")) / F.sum("w")).alias(value), F.sum("w").alias("weight"))
 
 
+def overlap_mean_by_axis(df: DataFrame, x0: Column, x1: Column, y0: Column, y1: Column, tier_units: int, value: str = "v", keys: tuple[str, ...] = ()) -> DataFrame:
+    """``overlap_mean`` of ``overlaps`` in two steps: source columns into target columns, then source rows into target rows.
+
+    An overlap's weight is a width times a height, so the sums over a target column
+    may be taken first, within each source row. A source cell is exploded to the
+    columns it meets, and only a row of target columns to the rows it meets: a + b
+    steps for a x b, and the second shuffle carries target columns alone. Edges in
+    columns must depend on the column only, edges in rows on the row.
+    """
+    nlon = 360 * UNITS // tier_units
+    met = lambda a, b: F.explode(F.sequence(F.floor(F.col(a) / tier_units), F.floor((F.col(b) - 1) / tier_units)))
+    some = df.where(finite(F.col(value))).select(*keys, F.col(value).cast("double").alias("_v"), x0.alias("_x0"), x1.alias("_x1"), y0.alias("_y0"), y1.alias("_y1")).withColumn("_i", met("_x0", "_x1"))
+    width = (F.least("_x1", (F.col("_i") + 1) * tier_units) - F.greatest("_x0", F.col("_i") * tier_units)).cast("double")
+    column = F.pmod("_i", F.lit(nlon)).cast("int").alias("c")
+    rows = some.groupBy(*keys, "_y0", "_y1", column).agg(F.sum(F.col("_v") * width).alias("_s"), F.sum(width).alias("_w")).withColumn("_j", met("_y0", "_y1"))
+    sine = lambda y: F.sin(F.radians(y / F.lit(float(UNITS)) - 90))
+    height = sine(F.least("_y1", (F.col("_j") + 1) * tier_units)) - sine(F.greatest("_y0", F.col("_j") * tier_units))
+    return rows.groupBy(*keys, F.col("_j").cast("int").alias("r"), "c").agg((F.sum(F.col("_s") * height) / F.sum(F.col("_w") * height)).alias(value), F.sum(F.col("_w") * height).alias("weight"))
+
+
 def axial_mean(theta: Column, w: Column) -> Column:
     """Mean direction of axes (period 180 degrees)."""
     t = F.radians(2 * theta)

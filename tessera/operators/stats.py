@@ -24,6 +24,8 @@ def hist_quantiles(hist: DataFrame, qs: list[float], low: float, width: float) -
 
 #: Accuracy of the sketch that brackets a quantile: its rank is off by at most rows / ACCURACY.
 ACCURACY = 10_000
+#: Ranks by which a bracket is wider than that, on both sides; a rank outside its bracket raises.
+BRACKET = 3
 
 
 def finite(v: Column) -> Column:
@@ -40,7 +42,7 @@ def exact_quantiles(df: DataFrame, value: str, qs: list[float], *keys: str) -> D
     rows are ordered whole.
     """
     some = df.where(finite(F.col(value))).select(*keys, F.col(value).cast("double").alias("_v"))
-    off = 3 / ACCURACY
+    off = BRACKET / ACCURACY
     edges = F.percentile_approx("_v", [min(1.0, max(0.0, q + d)) for q in qs for d in (-off, off)], ACCURACY)
     first, last = F.min("_v"), F.max("_v")
     sketch = some.groupBy(*keys).agg(F.count("*").alias("_n"), edges.alias("_e"), first.alias("_first"), last.alias("_last"))
@@ -57,7 +59,9 @@ def exact_quantiles(df: DataFrame, value: str, qs: list[float], *keys: str) -> D
     take = lambda rank: F.min(F.when(F.col("_upto") > rank, F.col("_v")))
     lower, upper = take(F.floor("_at")), take(F.ceil("_at"))
     part = F.first("_at") - F.floor(F.first("_at"))
-    return run.groupBy(*keys, "q").agg((lower + (upper - lower) * part).alias("value"))
+    below = F.coalesce(F.max(F.when(F.col("_v").isNull(), F.col("_upto"))), F.lit(0))
+    held = (below <= F.floor(F.first("_at"))) & (F.max("_upto") > F.ceil(F.first("_at")))
+    return run.groupBy(*keys, "q").agg(F.when(held, lower + (upper - lower) * part).otherwise(F.raise_error(F.lit("a rank lies outside its bracket"))).alias("value"))
 
 
 def pair_stats(df: DataFrame, x: str, y: str, *keys: str) -> DataFrame:

@@ -51,11 +51,13 @@ def _met(cells: DataFrame, tier: str) -> DataFrame:
 
 def on_tier(cells: DataFrame, tier: str, keys: tuple[str, ...] = (), axial: bool = False, value: str = "v") -> DataFrame:
     """Cells of COARSE degrees to a tier: area-weighted mean, or mean direction of axes."""
-    met = _met(cells, tier)
     if axial:
-        some = met.where(F.col(value).isNotNull())
+        some = _met(cells, tier).where(F.col(value).isNotNull())
         return some.groupBy(*keys, F.col("tr").alias("r"), F.col("tc").alias("c")).agg(kernels.axial_mean(F.col(value), F.col("w")).alias("v"))
-    return kernels.overlap_mean(met, value, keys).select(*keys, "r", "c", F.col(value).alias("v"))
+    step = COARSE * UNITS
+    c, r = F.col("c").cast("long"), F.col("r").cast("long")
+    found = kernels.overlap_mean_by_axis(cells, c * step, (c + 1) * step, r * step, (r + 1) * step, int(TIERS[tier] * UNITS), value, keys)
+    return found.select(*keys, "r", "c", F.col(value).alias("v"))
 
 
 def source_weights(cells: DataFrame) -> DataFrame:

@@ -85,7 +85,7 @@ def violations(layers: DataFrame) -> DataFrame:
         "tier twice": F.size(F.array_distinct("tiers")) < F.size("tiers"),
         "home tier is none of the tiers": ~F.array_contains("tiers", F.col("home_tier")) & ~F.col("home_tier").isin(*PER_TIER),
         "tier finer than the source": F.exists("tiers", lambda t: F.coalesce(F.try_element_at(degrees, t) < native - 1e-12, F.lit(False))),
-        "native resolution": ~F.col("native_res").rlike(r"^\s*\d+(\.\d+)?\s*(deg|min|sec)\s*$") & ~F.trim(strip_note(F.col("native_res"))).isin(*UNBOUND),
+        "native resolution": ~F.trim(strip_note(F.col("native_res"))).rlike(r"^\d+(\.\d+)?\s*(deg|min|sec)$") & ~F.trim(strip_note(F.col("native_res"))).isin(*UNBOUND),
         "unknown dtype": ~F.col("dtype").isin(*DTYPES),
         "unknown resampling": ~strip_note(F.col("resampling")).isin(*RESAMPLING),
         "unknown visibility": ~F.col("visibility").isin("public", "internal"),
@@ -104,3 +104,16 @@ def exact_deg(text: str) -> Fraction:
     number = text.rstrip("degmins ")
     unit = text[len(number) :].strip()
     return Fraction(number) / {"deg": 1, "min": 60, "sec": 3600}[unit]
+
+
+def native_deg(text: str) -> Fraction | None:
+    """A native resolution's degrees, a note behind it left out; None where it bounds no tier."""
+    import re
+
+    bare = re.split(r"[（(]", text)[0].strip()
+    if bare in UNBOUND:
+        return None
+    m = re.fullmatch(r"(\d+(?:\.\d+)?)\s*(deg|min|sec)", bare)
+    if not m:
+        raise ContractViolation(f"native resolution {text!r}")
+    return Fraction(m[1]) / {"deg": 1, "min": 60, "sec": 3600}[m[2]]

@@ -9,8 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessera.functions.grid import TIERS, dense_grid, shape
-from tessera.operators.stats import layer_checksum, present
-from tessera.sources.contract import Contract
+from tessera.operators.stats import layer_sha256, present
+from tessera.sources.contract import Contract, native_deg
 
 #: What a layer's mask is called after it.
 MASK = "__validity"
@@ -66,16 +66,34 @@ def read_manifest(store: str) -> dict:
     return json.loads(Path(store, "manifest.json").read_text())
 
 
+#: Fields of a contract that the manifest repeats.
+FIELDS = ("dims", "dtype", "unit", "tiers", "home_tier", "visibility", "resampling", "native_res", "mask")
+
+
+def manifest_checks(data: dict, contract: Contract) -> list[tuple[str, str, str]]:
+    """(name, status, summary): manifest and contract have the same layers, the same fields of each, and a coverage for just its tiers; no tier is finer than its source."""
+    rule = lambda name, bad: (name, "FAIL" if bad else "pass", ", ".join(map(str, bad)))
+    known, told = {x.id: x for x in contract.layers}, {x["id"]: x for x in data["layers"]}
+    rows = [rule("layers of the manifest outside the contract", sorted(told.keys() - known.keys())), rule("layers of the contract missing in the manifest", sorted(known.keys() - told.keys()))]
+    rows.append(rule("layers twice in the manifest", sorted({x["id"] for x in data["layers"] if sum(y["id"] == x["id"] for y in data["layers"]) > 1})))
+    rows.append(rule("coordinates", [] if data.get("crs") == "EPSG:4326" else [data.get("crs")]))
+    same = lambda v: list(v) if isinstance(v, tuple) else v
+    for name in sorted(told.keys() & known.keys()):
+        x, y = told[name], known[name]
+        rows.append(rule(f"{name} fields", [f for f in FIELDS if x.get(f) != same(getattr(y, f))]))
+        rows.append(rule(f"{name} at 1deg", [] if "1deg" in x["coverage"] else ["missing"]))
+        odd = sorted(set(x["coverage"]) ^ set(y.tiers))
+        rows.append(rule(f"{name} coverage", odd + [t for t, v in x["coverage"].items() if not isinstance(v, (int, float)) or not 0 <= v <= 1]))
+        native = native_deg(y.native_res)
+        rows.append(rule(f"{name} finer than its source", [t for t in x["tiers"] if native is not None and t in TIERS and TIERS[t] < native]))
+    return rows
+
+
 def checks(spark: SparkSession, store: str, contract: Contract) -> DataFrame:
     """(name, status, summary) of the structural rules; only FAIL counts against a store."""
     cells, data = read_store(spark, store), read_manifest(store)
     known = {x.id: x for x in contract.layers}
-    built = {x["id"] for x in data["layers"]}
-    rows = [("manifest against contract", "pass" if built <= known.keys() else "FAIL", ", ".join(sorted(built - known.keys())))]
-    for x in data["layers"]:
-        rows.append((f"{x['id']} at 1deg", "pass" if "1deg" in x["coverage"] else "FAIL", ""))
-        wrong = [t for t, v in x["coverage"].items() if not 0 <= v <= 1]
-        rows.append((f"{x['id']} coverage", "FAIL" if wrong else "pass", ", ".join(wrong)))
+    rows = manifest_checks(data, contract)
     limits = F.create_map(*[x for t in TIERS for x in (F.lit(t), F.struct(F.lit(shape(t)[0]).alias("nlat"), F.lit(shape(t)[1]).alias("nlon")))])
     at = limits[F.col("tier")]
     found = cells.groupBy("tier", "layer").agg(
@@ -95,8 +113,10 @@ def checks(spark: SparkSession, store: str, contract: Contract) -> DataFrame:
 
 
 def checksums(spark: SparkSession, store: str) -> DataFrame:
-    """(tier, layer, cells, checksum): equal stores give equal rows, however their files are cut."""
-    return layer_checksum(read_store(spark, store), ["tier", "layer"], "v")
+    """(tier, layer, cells, checksum): SHA-256 of each layer's cells in order; equal stores give equal rows, however their files are cut."""
+    cells = read_store(spark, store)
+    sizes = cells.groupBy("tier", "layer").agg(F.count("*").alias("cells"))
+    return sizes.join(layer_sha256(cells, ["tier", "layer"], "v"), ["tier", "layer"]).select("tier", "layer", "cells", F.col("sha256").alias("checksum"))
 
 
 def strip_plan(layers: DataFrame, licences: DataFrame) -> DataFrame:

@@ -8,6 +8,7 @@ import pytest
 from tessera.plans import catalog
 from tessera.plans import contracts as _contracts  # noqa: F401 - registers its queries in the catalog
 from tessera.plans import layers as _layers  # noqa: F401 - registers its queries in the catalog
+from tessera.plans import spatial as _spatial  # noqa: F401 - registers its queries in the catalog
 
 DATA = "/root/testdata/sf0.001"
 

@@ -233,3 +233,29 @@ def test_sidecars_and_groups(spark, tmp_path):
     sample = lambda x: {r.id for r in merge.stratified(x, "k", "id", 5).collect()}
     df = spark.range(300).withColumn("k", F.col("id") % 3)
     assert len(sample(df)) == 15 and sample(df) == sample(df.repartition(7))
+
+
+def test_noted_native_resolution(spark):
+    """A note behind the number changes neither rule nor degrees."""
+    make = lambda i, native, tiers: contract.Layer(i, "s", native, tiers[-1], tiers, "float32", "m", "none", "none")
+    layers = (make("a", "0.05deg（two lattices, joined）", ("1deg", "3min")), make("b", "2 min (nodes)", ("1deg", "3min")), make("c", "vector-line（traces）", ("1deg", "30sec")), make("d", "0.05deg（x）", ("1deg", "30sec")), make("e", "about 1deg", ("1deg",)))
+    got = {tuple(r) for r in contract.violations(contract.frame(spark, contract.Contract("1", "draft", layers))).collect()}
+    assert got == {("d", "tier finer than the source"), ("e", "native resolution")}
+    assert [contract.native_deg(x.native_res) for x in layers[:3]] == [contract.Fraction(1, 20), contract.Fraction(1, 30), None]
+
+
+def test_rank_outside_its_bracket(spark, monkeypatch):
+    """A bracket that misses its rank is an error, never a wrong value."""
+    monkeypatch.setattr(stats, "ACCURACY", 100)
+    df = spark.range(5000).select(F.col("id").cast("double").alias("v"))
+    assert [r.value for r in stats.exact_quantiles(df, "v", [0.5]).collect()] == [2499.5]
+    for wrong in (-5, -40):
+        monkeypatch.setattr(stats, "BRACKET", wrong)
+        with pytest.raises(Exception, match="outside its bracket"):
+            stats.exact_quantiles(df, "v", [0.5]).collect()
+
+
+def test_pole_by_winding(spark):
+    ring = spark.createDataFrame([(1, [(0.0, 50.0), (120.0, 50.0), (240.0, 50.0), (360.0, 50.0)]), (-1, [(0.0, 50.0), (-120.0, 50.0), (-240.0, 50.0), (-360.0, 50.0)]), (0, [(0.0, 1.0), (1.0, 1.0), (1.0, 2.0), (0.0, 1.0)])], "w int, ring array<struct<x:double,y:double>>")
+    got = {r.w: [p.y for p in r.p] for r in ring.select("w", geometry.close_pole(F.col("ring"), F.col("w")).alias("p")).collect()}
+    assert got[1][4:6] == [90.0, 90.0] and got[-1][4:6] == [-90.0, -90.0] and len(got[0]) == 4

@@ -83,7 +83,9 @@ layers:
     assert not (tmp_path / "store").exists()
     assert cli.main(["build", "--contract", str(tmp_path / "c.yaml"), "--data", data, "--store", full], spark) == 0
     assert '"later"' in capsys.readouterr().out
-    assert cli.main(["validate", "--contract", str(tmp_path / "c.yaml"), "--store", full], spark) == 0
+    assert cli.main(["validate", "--contract", str(tmp_path / "c.yaml"), "--store", full], spark) == 1  # a layer of the contract is missing
+    (tmp_path / "built.yaml").write_text("\n".join(x for x in good.split("\n") if "later" not in x))
+    assert cli.main(["validate", "--contract", str(tmp_path / "built.yaml"), "--store", full], spark) == 0
     assert cli.main(["export-public", "--contract", str(tmp_path / "c.yaml"), "--store", full, "--licences", str(tmp_path / "l.json"), "--out", public], spark) == 0
     capsys.readouterr()
     assert cli.main(["checksum", "--store", full], spark) == 0

@@ -101,9 +101,16 @@ def test_contract_and_store(spark, tmp_path):
     store.write_layer(grid.dense_grid(spark, "1deg").withColumn("v", F.lit(1.0).cast("float")), out, "a__y", "1deg")
     cover = [r.asDict() for r in store.coverage(store.read_store(spark, out)).collect()]
     store.write_manifest(store.manifest(c, cover), out)
-    assert {r.name for r in store.checks(spark, out, c).collect() if r.status != "pass"} == {"a__x 1deg mask"}
+    # tiers that were not built, and one finer than its source
+    part = {"a__x coverage", "a__y coverage", "a__y finer than its source"}
+    assert {r.name for r in store.checks(spark, out, c).collect() if r.status != "pass"} == {"a__x 1deg mask", *part}
     store.write_mask(spark, out, "a__x", "1deg")
-    assert {r.status for r in store.checks(spark, out, c).collect()} == {"pass"}
+    assert {r.name for r in store.checks(spark, out, c).collect() if r.status != "pass"} == part
+    data = store.read_manifest(out)
+    data["layers"][0] |= {"unit": "km", "tiers": ["1deg"]}
+    failed = lambda d: {name for name, status, _ in store.manifest_checks(d, c) if status != "pass"} - part
+    assert failed(data) == {"a__x fields"} and failed(data | {"layers": data["layers"][1:]}) == {"layers of the contract missing in the manifest"}
+    assert failed(data | {"layers": [*data["layers"][1:] * 2, data["layers"][1] | {"id": "z"}], "crs": "?"}) == {"layers of the contract missing in the manifest", "layers of the manifest outside the contract", "layers twice in the manifest", "coordinates"}
     first = sorted(map(tuple, store.checksums(spark, out).collect()))
     store.write_layer(grid.dense_grid(spark, "1deg").repartition(3).withColumn("v", F.lit(1.0).cast("float")), out, "a__y", "1deg")
     assert first == sorted(map(tuple, store.checksums(spark, out).collect()))
