@@ -46,10 +46,10 @@ class Netcdf:
     """Header of a classic netCDF file (CDF 1, 2 or 5): dims {name: length}, attrs, vars {name: (dims, attrs, dtype, begin, is_record)}."""
 
     def __init__(self, raw: bytes):
-        if raw[:3] != b"CDF" or raw[3] not in (1, 2, 5):
+        if raw[:3] != b"CDF" or raw[3:4] not in (b"\1", b"\2", b"\5"):
             raise SourceMismatch("not a classic netCDF file")
         self.raw, self.at = raw, 4
-        self.wide, self.far = raw[3] == 5, raw[3] > 1
+        self.wide, self.far = raw[3:4] == b"\5", raw[3:4] != b"\1"
         self.records = self._size()
         listed = self._list(lambda: (self._name(), self._size()))
         self.dims = {name: n for name, n in listed}
@@ -62,11 +62,11 @@ class Netcdf:
     def _size(self) -> int:
         kind, n = (">q", 8) if self.wide else (">i", 4)
         self.at += n
-        return struct.unpack_from(kind, self.raw, self.at - n)[0]
+        return struct.unpack(kind, self.raw[self.at - n : self.at])[0]
 
     def _tag(self) -> int:
         self.at += 4
-        return struct.unpack_from(">i", self.raw, self.at - 4)[0]
+        return struct.unpack(">i", self.raw[self.at - 4 : self.at])[0]
 
     def _name(self) -> str:
         n = self._size()
@@ -84,15 +84,15 @@ class Netcdf:
         self.at += -(-size // 4) * 4
         if kind.kind == "S":
             return name, self.raw[start : start + size].decode(errors="replace").rstrip("\0")
-        return name, np.frombuffer(self.raw, kind, n, start)
+        return name, np.frombuffer(self.raw[start : start + size], kind)
 
     def _var(self, names: list[str]):
         name = self._name()
         dims = [names[self._size()] for _ in range(self._size())]
         attrs, kind = dict(self._list(self._attr)), np.dtype(_NC_TYPES[self._tag()])
         self._size()
-        begin = struct.unpack_from(">q" if self.far else ">i", self.raw, self.at)[0]
         self.at += 8 if self.far else 4
+        begin = struct.unpack(">q" if self.far else ">i", self.raw[self.at - (8 if self.far else 4) : self.at])[0]
         return name, (dims, attrs, kind, begin, bool(dims) and self.dims[dims[0]] == 0)
 
     def _bytes(self, var) -> int:
@@ -117,11 +117,16 @@ class Netcdf:
             v = np.frombuffer(self.raw, kind, n, begin + a * self.stride + b * n * kind.itemsize)
         else:
             v = np.frombuffer(self.raw, kind, n, begin + k * n * kind.itemsize)
-        out = v.astype(np.float64)
-        for hole in ("_FillValue", "missing_value"):
-            if hole in attrs:
-                out[v == attrs[hole][0]] = np.nan
-        return out * float(attrs.get("scale_factor", [1.0])[0]) + float(attrs.get("add_offset", [0.0])[0])
+        return unpacked(v, attrs)
+
+
+def unpacked(v: np.ndarray, attrs: dict) -> np.ndarray:
+    """Stored numbers as doubles: holes NaN, scale and offset applied."""
+    out = v.astype(np.float64)
+    for hole in ("_FillValue", "missing_value"):
+        if hole in attrs:
+            out[v == attrs[hole][0]] = np.nan
+    return out * float(attrs.get("scale_factor", [1.0])[0]) + float(attrs.get("add_offset", [0.0])[0])
 
 
 def netcdf_grid(spark: SparkSession, path: str, variable: str, glob: str = "*.nc") -> DataFrame:
@@ -184,24 +189,25 @@ class Tiff:
     def __init__(self, raw: bytes):
         self.raw = raw
         self.order = {b"II": "<", b"MM": ">"}.get(raw[:2])
-        if not self.order or struct.unpack_from(self.order + "H", raw, 2)[0] not in (42, 43):
+        take = lambda form, at: struct.unpack(self.order + form, raw[at : at + struct.calcsize(self.order + form)])
+        if not self.order or take("H", 2)[0] not in (42, 43):
             raise SourceMismatch("not a TIFF file")
-        big = struct.unpack_from(self.order + "H", raw, 2)[0] == 43
+        big = take("H", 2)[0] == 43
         number, far, entry, inline = ("Q", 8, 20, 8) if big else ("H", 4, 12, 4)
-        at = struct.unpack_from(self.order + ("Q" if big else "I"), raw, 8 if big else 4)[0]
-        count = struct.unpack_from(self.order + number, raw, at)[0]
+        at = take("Q" if big else "I", 8 if big else 4)[0]
+        count = take(number, at)[0]
         at += struct.calcsize(number)
         self.tags = {}
         for i in range(count):
             here = at + i * entry
-            tag, kind, n = struct.unpack_from(self.order + ("HHQ" if big else "HHI"), raw, here)
+            tag, kind, n = take("HHQ" if big else "HHI", here)
             if kind not in _TIFF_TYPES:
                 continue
             dtype = np.dtype(_TIFF_TYPES[kind]).newbyteorder(self.order)
             place = here + entry - far
             if n * dtype.itemsize > inline:
-                place = struct.unpack_from(self.order + ("Q" if big else "I"), raw, place)[0]
-            self.tags[tag] = np.frombuffer(raw, dtype, n, place)
+                place = take("Q" if big else "I", place)[0]
+            self.tags[tag] = np.frombuffer(raw[place : place + n * dtype.itemsize], dtype)
         if self.one(SAMPLES, 1) != 1:
             raise SourceMismatch("more than one sample a pixel")
         kind = {1: "u", 2: "i", 3: "f"}[self.one(FORMAT, 1)]
@@ -233,13 +239,25 @@ class Tiff:
             return lzw(raw)
         raise SourceMismatch(f"compression {how}")
 
-    def blocks(self):
-        """(row, column, values) of each strip or tile, cut to the image; nodata becomes NaN."""
+    @property
+    def layout(self) -> tuple[int, int, int]:
+        """(rows, columns) of a strip or tile, and how many stand side by side."""
+        height, width = self.shape
+        wide, high = (self.one(TILE_WIDTH), self.one(TILE_HEIGHT)) if TILES in self.tags else (width, min(height, self.one(STRIP_ROWS, height)))
+        return high, wide, -(-width // wide)
+
+    def places(self) -> list[tuple[int, int]]:
+        """(offset, bytes) of each strip or tile."""
+        return list(zip(*(self.tags[t].tolist() for t in ((TILES, TILE_SIZES) if TILES in self.tags else (STRIPS, STRIP_SIZES)))))
+
+    def blocks(self, some: range | None = None):
+        """(row, column, values) of each strip or tile (or those of ``some`` numbers), cut to the image; nodata becomes NaN."""
         height, width = self.shape
         tiled = TILES in self.tags
-        wide, high = (self.one(TILE_WIDTH), self.one(TILE_HEIGHT)) if tiled else (width, min(height, self.one(STRIP_ROWS, height)))
-        across = -(-width // wide)
-        for i, (place, size) in enumerate(zip(*(self.tags[t].tolist() for t in ((TILES, TILE_SIZES) if tiled else (STRIPS, STRIP_SIZES))))):
+        high, wide, across = self.layout
+        places = self.places()
+        for i in range(len(places)) if some is None else some:
+            place, size = places[i]
             r, c = i // across * high, i % across * wide
             rows = high if tiled else min(high, height - r)
             raw = self._decoded(place, size)[: rows * wide * self.dtype.itemsize]

@@ -52,12 +52,18 @@ def fields(spark: SparkSession, path: str, columns: list[str], skip: int = 0, te
 
 
 def ascii_grid(spark: SparkSession, path: str, header: int = 6) -> DataFrame:
-    """(r, c, v) of an ESRI ASCII grid, south first; the nodata value becomes null. A file is one row of lines."""
-    whole = spark.read.text(path, wholetext=True).select(F.filter(F.split("value", r"\r?\n"), lambda x: F.trim(x) != "").alias("l"))
-    head = lambda name: F.get(F.filter(F.slice("l", 1, header), lambda x: F.lower(x).startswith(name)), 0)
-    number = lambda name: F.regexp_extract(head(name), r"([-+.\deE]+)\s*$", 1).cast("double")
-    rows = whole.select(number("nrows").cast("int").alias("nrows"), number("nodata").alias("nodata"), F.posexplode(F.slice("l", header + 1, F.size("l"))).alias("i", "line"))
-    cells = rows.select((F.col("nrows") - 1 - F.col("i")).alias("r"), "nodata", F.posexplode(F.split(F.trim("line"), r"\s+")).alias("c", "v"))
+    """(r, c, v) of ESRI ASCII grids, south first; the nodata value becomes null.
+
+    Lines are numbered over a file's splits, so a file of any size is many tasks;
+    empty lines may only stand at its end. Its header is a few rows.
+    """
+    from tessera.sources.ordinals import numbered
+
+    lines = numbered(spark, path).where(F.trim("value") != "")
+    number = lambda name: F.max(F.when(F.lower("value").startswith(name), F.regexp_extract("value", r"([-+.\deE]+)\s*$", 1).try_cast("double"))).alias(name)
+    heads = lines.where(F.col("line") <= header).groupBy("path").agg(number("nrows"), number("nodata"))
+    rows = lines.where(F.col("line") > header).join(heads, "path")
+    cells = rows.select((F.col("nrows").cast("int") - F.col("line").cast("int") + header).alias("r"), "nodata", F.posexplode(F.split(F.trim("value"), r"\s+")).alias("c", "v"))
     return cells.select("r", "c", F.nullif(F.col("v").cast("double"), F.col("nodata")).alias("v"))
 
 
@@ -87,10 +93,16 @@ def average_seam(df: DataFrame, nlon: int, keys: tuple[str, ...] = (), value: st
 
 
 def delimited_lines(spark: SparkSession, path: str, mark: str = "***") -> DataFrame:
-    """(line, title, seq, x, y) of a text of titled vertex lists, each closed by a line that starts with ``mark``."""
-    whole = spark.read.text(path, wholetext=True)
-    parts = whole.select(F.posexplode(F.split("value", rf"(?m)^\s*{''.join(chr(92) + c for c in mark)}.*$")).alias("line", "body"))
-    rows = parts.select("line", F.filter(F.split("body", r"\r?\n"), lambda x: F.trim(x) != "").alias("l")).where(F.size("l") > 1)
-    points = rows.select("line", F.trim(F.col("l")[0]).alias("title"), F.posexplode(F.slice("l", 2, F.size("l"))).alias("seq", "p"))
-    at = F.split(F.trim("p"), r"\s*,\s*|\s+")
-    return points.select("line", "title", "seq", at[0].cast("double").alias("x"), at[1].cast("double").alias("y"))
+    """(line, title, seq, x, y) of a text of titled vertex lists, each closed by a line that starts with ``mark``.
+
+    Lists are numbered by the marks before them, over all splits of the file.
+    """
+    from tessera.sources.ordinals import numbered, prefix_sum
+
+    lines = numbered(spark, path).where(F.trim("value") != "")
+    closes = F.trim("value").startswith(mark)
+    told = prefix_sum(lines, ["path"], "line", {"list": closes.cast("int"), "place": F.lit(1)}, 1 << 17).where(~closes)
+    first = told.groupBy("path", "list").agg(F.min("place").alias("first"), F.min_by("value", "place").alias("title"))
+    at = F.split(F.trim("value"), r"\s*,\s*|\s+")
+    points = told.join(first, ["path", "list"]).where("place > first")
+    return points.select(F.col("list").cast("int").alias("line"), F.trim("title").alias("title"), (F.col("place") - F.col("first") - 1).cast("int").alias("seq"), at[0].cast("double").alias("x"), at[1].cast("double").alias("y"))

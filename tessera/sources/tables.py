@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessera.operators.stats import finite
-from tessera.sources.ordinals import numbered, records
+from tessera.sources.ordinals import numbered, prefix_sum, records
 from tessera.sources.readers import SourceMismatch, require
 
 
@@ -164,11 +164,17 @@ def trailing_off_grid(rows: DataFrame, on_grid: Column, lat_off: Column, lon_off
 
 
 def integer_grid(spark: SparkSession, path: str, nlat: int, nlon: int, header: int = 2) -> DataFrame:
-    """(r, c, v), south first, of integers in free form after header lines, north first, whose last column repeats the first."""
-    whole = spark.read.text(path, wholetext=True).select(F.split("value", r"\r?\n").alias("l"))
-    flat = whole.select(F.filter(F.split(F.array_join(F.slice("l", header + 1, F.size("l")), " "), r"\s+"), lambda x: x != "").alias("t"))
-    require(flat, size=F.min(F.size("t")) == nlat * nlon)
-    cells = flat.select(F.posexplode("t").alias("i", "v")).select((nlat - 1 - F.floor(F.col("i") / nlon)).cast("int").alias("r"), (F.col("i") % nlon).cast("int").alias("c"), F.col("v").try_cast("int").alias("v"))
+    """(r, c, v), south first, of integers in free form after header lines, north first, whose last column repeats the first.
+
+    Numbers may break over lines as they like: a number's place is that of its line's
+    first one, from the counts of the lines before it, in however many splits the file
+    is read; ``path`` names one file.
+    """
+    lines = numbered(spark, path).where(F.col("line") > header).withColumn("t", F.filter(F.split("value", r"\s+"), lambda x: x != ""))
+    flat = prefix_sum(lines.select("path", "line", "t"), ["path"], "line", {"before": F.size("t")}, 1 << 17)
+    require(flat, size=F.coalesce(F.sum(F.size("t")), F.lit(0)) == nlat * nlon)
+    cells = flat.select("before", F.posexplode("t").alias("p", "v")).withColumn("i", F.col("before") + F.col("p"))
+    cells = cells.select((nlat - 1 - F.floor(F.col("i") / nlon)).cast("int").alias("r"), (F.col("i") % nlon).cast("int").alias("c"), F.col("v").try_cast("int").alias("v"))
     ends = cells.where(F.col("c").isin(0, nlon - 1)).groupBy("r").agg(F.count("v").alias("n"), (F.min("v") == F.max("v")).alias("same"))
     require(ends, seam=(F.min("n") == 2) & (F.min(F.col("same").cast("int")) == 1))
     return cells.where(F.col("c") < nlon - 1)
