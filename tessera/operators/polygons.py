@@ -72,3 +72,38 @@ def burn_codes(cells: DataFrame, codes: list[str], size: str, order: str, nodata
 def burn_counts(burnt: DataFrame, nlat: int, nlon: int) -> DataFrame:
     """(overlap, uncovered): cells that several polygons hold, and cells of the grid that none does."""
     return burnt.agg(F.count_if(F.col("n_hits") > 1).alias("overlap"), (F.lit(nlat * nlon) - F.count("*")).alias("uncovered"))
+
+
+def half_plane(ring: Column, axis: str, bound: float, keep_above: bool) -> Column:
+    """A closed or open ring cut at x (or y) = ``bound``: what lies on one side, led along the cut.
+
+    One step along the edges: a vertex that is kept stays, and an edge that crosses
+    adds its crossing. Parts that the cut separates stay joined by edges along it, of
+    no area. A ring wholly on the other side becomes empty.
+    """
+    other = "y" if axis == "x" else "x"
+    kept = (lambda p: p[axis] >= bound) if keep_above else (lambda p: p[axis] <= bound)
+    after = F.concat(F.slice(ring, 2, F.greatest(F.size(ring) - 1, F.lit(0))), F.slice(ring, 1, 1))
+    point = lambda p: F.struct(p.x.alias("x"), p.y.alias("y"))
+
+    def crossing(a, b):
+        across = a[other] + (b[other] - a[other]) * (bound - a[axis]) / F.when(b[axis] != a[axis], b[axis] - a[axis])
+        at = {axis: F.lit(float(bound)), other: across}
+        return F.struct(at["x"].alias("x"), at["y"].alias("y"))
+
+    step = lambda a, b: F.concat(F.when(kept(a), F.array(point(a))).otherwise(F.array().cast("array<struct<x:double,y:double>>")), F.when(kept(a) != kept(b), F.array(crossing(a, b))).otherwise(F.array().cast("array<struct<x:double,y:double>>")))
+    return F.flatten(F.zip_with(ring, after, step))
+
+
+def clipped(polygons: DataFrame, ring: str = "ring", west: float = -180.0, south: float = -90.0, east: float = 180.0, north: float = 90.0) -> DataFrame:
+    """``polygons`` with a ring cut to a window, four half planes one after another; rings without a part in it go."""
+    out = polygons
+    for axis, bound, above in (("x", west, True), ("x", east, False), ("y", south, True), ("y", north, False)):
+        out = out.withColumn(ring, half_plane(F.col(ring), axis, bound, above))
+    return out.where(F.size(ring) > 2)
+
+
+def plane_area(ring: Column) -> Column:
+    """Area in square degrees, positive for a ring that runs counterclockwise; open and closed rings alike."""
+    after = F.concat(F.slice(ring, 2, F.greatest(F.size(ring) - 1, F.lit(0))), F.slice(ring, 1, 1))
+    return F.aggregate(F.zip_with(ring, after, lambda a, b: a.x * b.y - b.x * a.y), F.lit(0.0), lambda s, v: s + v) / 2

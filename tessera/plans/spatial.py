@@ -4,11 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tessera.operators import cell_index, kernels, polygons
+from tessera.operators import cell_index, kernels, polygons, states
 from tessera.plans import adapters as ad
 from tessera.plans.catalog import _BOX, _BURN, _OVER, _U, R, _boxes, _v, query, r6
-from tessera.sources import ordinals
-from tessera.sources.scratch import scratch_path
+from tessera.sources import chunks, ordinals
+from tessera.sources.scratch import kept, scratch_path
 
 # polygons
 
@@ -98,3 +98,66 @@ def record_fields(spark, sf_dir):
     ad.read(spark, sf_dir, "events").select(F.concat(F.col("event_id").cast("string"), F.lit(',"'), F.replace(note, F.lit('"'), F.lit('""')), F.lit('"'))).write.text(path)
     parsed = F.from_csv("value", "event_id long, note string", {"escape": '"', "multiLine": "true"})
     return ordinals.records(spark, path).select(parsed.alias("p")).select("p.*")
+
+
+# clips
+
+
+@query(f"SELECT fid, round(0.75 * h * (least(x + w, 100) - greatest(x, -100)), 6) AS area FROM ({_BOX}) WHERE least(x + w, 100) > greatest(x, -100)")
+def window_areas(spark, sf_dir):
+    """Polygons cut to a window of longitudes, and their areas in it."""
+    cut = polygons.clipped(_boxes(spark, sf_dir).select("fid", "ring"), "ring", -100.0, -90.0, 100.0, 90.0)
+    return cut.select("fid", r6(polygons.plane_area(F.col("ring"))).alias("area"))
+
+
+# stored layers and states
+
+
+def _density_6min(spark, sf_dir):
+    at = ad.points(spark, sf_dir)
+    r, c = F.floor((F.col("lat") + 90.0003) * 10).cast("int"), F.floor((F.col("lon") + 180.0003) * 10).cast("int")
+    return at.groupBy(r.alias("r"), F.least(c, F.lit(3599)).alias("c")).agg(F.count("*").alias("v")).where("r < 1800")
+
+
+_DENSITY_6MIN = f"SELECT CAST(floor((lat + 90.0003::DOUBLE) * 10) AS INT) AS r, least(CAST(floor((lon + 180.0003::DOUBLE) * 10) AS INT), 3599) AS c, count(*) AS v FROM ({ad.POINTS_SQL}) GROUP BY 1, 2 HAVING CAST(floor((lat + 90.0003::DOUBLE) * 10) AS INT) < 1800"
+
+
+def _stored(spark, cells, name):
+    path = scratch_path(spark, name)
+    return chunks.write_chunks(cells, path.rsplit("/", 1)[-1].replace("-", "_"), "6min", path)
+
+
+@query(f"SELECT r, c, v FROM ({_DENSITY_6MIN}) WHERE (r + 0.5) / 10 - 90 BETWEEN 10 AND 60 AND ((c + 0.5) / 10 - 180 >= 150 OR (c + 0.5) / 10 - 180 <= -120)")
+def chunk_box(spark, sf_dir):
+    """A box across the dateline, read from the chunks that it meets."""
+    return chunks.in_box(_stored(spark, _density_6min(spark, sf_dir), "boxed"), "6min", 10.0, 60.0, 150.0, -120.0).select("r", "c", "v")
+
+
+@query(f"SELECT r, c, v, v * 3 AS w FROM ({_DENSITY_6MIN}) WHERE v >= 1 AND (r + c) % 2 = 0")
+def chunk_join(spark, sf_dir):
+    """Two stored layers joined on their cells, bucket by bucket."""
+    x = _density_6min(spark, sf_dir)
+    a, b = _stored(spark, x, "left"), _stored(spark, x.where((F.col("r") + F.col("c")) % 2 == 0).withColumn("w", F.col("v") * 3).drop("v"), "right")
+    return a.drop("chunk").join(b.drop("chunk"), ["r", "c"])
+
+
+_REFRESH = f"SELECT CAST(r // 6 AS INT) AS tr, CAST(c // 6 AS INT) AS tc, v FROM ({ad.RASTER_SQL}) WHERE NOT (r < 6 AND c BETWEEN 6 AND 11)"
+
+
+def _refreshed(spark, sf_dir):
+    now = ad.raster(spark, sf_dir).where("not (r < 6 and c between 6 and 11)")
+    before = ad.raster(spark, sf_dir).where("r < 30").withColumn("v", F.when((F.col("r") < 12) & (F.col("c") < 18), F.col("v") + 1).otherwise(F.col("v")))
+    held = kept(states.tile_states(before, 6, 0.0, 50.0, 40), "states")
+    return states.refreshed(held, now, 6, 0.0, 50.0, 40)
+
+
+@query(f"SELECT tr, tc, count(*) AS n, CAST(sum(v) AS DOUBLE) AS total, CAST(min(v) AS DOUBLE) AS least, CAST(max(v) AS DOUBLE) AS most FROM ({_REFRESH}) GROUP BY 1, 2")
+def states_refreshed(spark, sf_dir):
+    """States of tiles after cells changed, came and went: as if all were counted anew."""
+    return states.merged(_refreshed(spark, sf_dir), F.col("tr"), F.col("tc")).drop("mean")
+
+
+@query(f"SELECT CAST(least(v // 50, 39) AS INT) AS bin, count(*) AS n FROM ({_REFRESH}) GROUP BY 1")
+def states_histogram(spark, sf_dir):
+    """The histogram of all cells, from the tiles' states alone."""
+    return states.merged_histogram(_refreshed(spark, sf_dir))
