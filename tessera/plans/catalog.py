@@ -48,9 +48,13 @@ _HOME = f"SELECT r, c, count(*) AS n FROM (SELECT {_cells(20)} FROM (SELECT lat
 # cells, coordinates, areas
 
 
-@query(f"SELECT CAST(range AS INT) AS r, round(range + 0.5 - 90, 6) AS lat, round({R}*{R}*radians(1)*(sin(radians(range+1-90.0::DOUBLE)) - sin(radians(range-90.0::DOUBLE))), 4) AS area_km2 FROM range(180)")
+@query(f"""SELECT CAST(range AS INT) AS r, round(range + 0.5 - 90, 6) AS lat, round({R}*{R}*radians(1)*(sin(radians(range+1-90.0::DOUBLE)) - sin(radians(range-90.0::DOUBLE))), 4) AS area_km2, coalesce(n, 0) AS n
+  FROM range(180) LEFT JOIN (SELECT least(CAST(floor(lat + 90) AS BIGINT), 179) AS range, count(*) AS n FROM ({ad.POINTS_SQL}) GROUP BY 1) USING (range)""")
 def pixel_area_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return grid.row_areas(spark, "1deg").select("r", r6(F.col("lat")).alias("lat"), r6(F.col("area_km2"), 4).alias("area_km2"))
+    """Each row's cell area, and the points that lie in the row."""
+    held = ad.points(spark, sf_dir).groupBy(grid.row_of(F.col("lat"), "1deg").alias("r")).agg(F.count("*").alias("n"))
+    rows = grid.row_areas(spark, "1deg").join(held, "r", "left")
+    return rows.select("r", r6(F.col("lat")).alias("lat"), r6(F.col("area_km2"), 4).alias("area_km2"), F.coalesce("n", F.lit(0)).alias("n"))
 
 
 @query(f"SELECT event_id, round({_WRAP.format('(lon * 3)')}, 6) AS lon FROM ({ad.POINTS_SQL})")
@@ -457,10 +461,11 @@ def cross_tier_compare(spark, sf_dir):
     return a.join(b, "k").select("k", r6(F.col("a")).alias("coarse"), r6(F.col("b")).alias("fine"), r6(F.col("a") - F.col("b")).alias("diff"))
 
 
-@query(f"SELECT 'raster' AS layer, count(*) AS cells, sum(CASE WHEN (v % 5 = 0) <> (CASE WHEN v % 5 <> 0 THEN 1 ELSE 0 END = 0) THEN 1 ELSE 0 END)::BIGINT AS wrong FROM ({ad.RASTER_SQL})")
+@query(f"SELECT 'raster' AS layer, count(*) AS cells, count(*) FILTER (WHERE (v % 5 <> 0) <> (v % 3 <> 0)) AS wrong FROM ({ad.RASTER_SQL})")
 def mask_consistency(spark, sf_dir):
-    v = F.col("v") % 5
-    return ad.raster(spark, sf_dir).agg(F.count("*").alias("cells"), F.count_if((v == 0) != (stats.present(v, True) == 0)).alias("wrong")).select(F.lit("raster").alias("layer"), "cells", "wrong")
+    """A class layer against a mask made from other classes: cells where only one of them has a value."""
+    mask = stats.present(F.col("v") % 3, True)
+    return ad.raster(spark, sf_dir).agg(F.count("*").alias("cells"), F.count_if(stats.present(F.col("v") % 5, True) != mask).alias("wrong")).select(F.lit("raster").alias("layer"), "cells", "wrong")
 
 
 @query("SELECT source, sum(strlen(text))::BIGINT AS n_bytes, count(*) AS n, min(sha256(text)) AS first_sha FROM documents GROUP BY 1")
@@ -468,12 +473,16 @@ def source_digests(spark, sf_dir):
     return ad.read(spark, sf_dir, "documents").groupBy("source").agg(F.sum(F.octet_length("text")).cast("long").alias("n_bytes"), F.count("*").alias("n"), F.min(F.sha2("text", 256)).alias("first_sha"))
 
 
-@query(f"SELECT 'raster' AS layer, count(*) AS cells, true AS order_free FROM ({ad.RASTER_SQL})")
+def digest_sql(layers: str) -> str:
+    """(layer, sha256) of (layer, r, c, v): rows of cells digested, then the layer's rows."""
+    return f"SELECT layer, sha256(string_agg(r || ':' || d, ';' ORDER BY r)) AS sha256 FROM (SELECT layer, r, sha256(string_agg(',' || c || ',' || v, ';' ORDER BY c)) AS d FROM ({layers}) GROUP BY 1, 2) GROUP BY 1"
+
+
+@query(digest_sql(f"SELECT 'raster' AS layer, r, c, v FROM ({ad.RASTER_SQL}) UNION ALL SELECT 'dense' AS layer, r, c, CAST(z AS BIGINT) AS v FROM ({ad.DENSE_SQL})"))
 def layer_checksum(spark, sf_dir):
-    """Equal whether or not the rows are dealt anew; its digest is no SQL function elsewhere."""
-    x = ad.raster(spark, sf_dir).withColumn("layer", F.lit("raster"))
-    a, b = stats.layer_checksum(x, ["layer"], "v"), stats.layer_checksum(x.repartition(7, "c"), ["layer"], "v")
-    return a.join(b.select("layer", F.col("checksum").alias("again")), "layer").select("layer", "cells", (F.col("checksum") == F.col("again")).alias("order_free"))
+    """Digests of two layers' cells in order, whatever the order of the rows."""
+    both = ad.raster(spark, sf_dir).withColumn("layer", F.lit("raster")).unionByName(ad.dense(spark, sf_dir).select("r", "c", F.col("z").cast("long").alias("v"), F.lit("dense").alias("layer")))
+    return stats.layer_sha256(both.repartition(7, "c"), ["layer"], "v")
 
 
 # lines and spectra

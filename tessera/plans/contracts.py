@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from tessera.functions import grid
 from tessera.operators import fidelity, geometry, kernels, lines, merge, stats, windows
 from tessera.plans import adapters as ad
-from tessera.plans.catalog import R, _key, _KEY, _v, query, r6
+from tessera.plans.catalog import R, _key, _KEY, _OFF, _v, digest_sql, query, r6
 from tessera.sources import sidecars, tables
 
 # points, cells, axes
@@ -27,9 +27,12 @@ def point_density_valid(spark, sf_dir):
     return grid.point_cells(odd, "1deg", drop=True).groupBy("r", "c").agg(F.count("*").alias("n"))
 
 
-@query("SELECT CAST(range AS INT) AS r, range * 0.5 - 90 AS lat, greatest(range * 0.5 - 90.25, -90) AS south, least(range * 0.5 - 89.75, 90) AS north FROM range(361)")
+@query(f"""SELECT CAST(range AS INT) AS r, range * 0.5 - 90 AS lat, greatest(range * 0.5 - 90.25, -90) AS south, least(range * 0.5 - 89.75, 90) AS north, coalesce(n, 0) AS n
+  FROM range(361) LEFT JOIN (SELECT CAST(floor((lat + 90.25 + {_OFF}::DOUBLE) * 2) AS BIGINT) AS range, count(*) AS n FROM ({ad.POINTS_SQL}) GROUP BY 1) USING (range)""")
 def node_edges(spark, sf_dir):
-    return grid.node_edges(spark, 361)
+    """Rows of nodes, their edges, and the points between these."""
+    held = ad.points(spark, sf_dir).groupBy(F.floor((F.col("lat") + 90.25 + _OFF) * 2).cast("int").alias("r")).agg(F.count("*").alias("n"))
+    return grid.node_edges(spark, 361).join(held, "r", "left").fillna(0, ["n"])
 
 
 @query(f"SELECT event_id, CAST(least(greatest(round_even((lat + 87.45::DOUBLE) / 0.1::DOUBLE, 0), 0), 1749) AS INT) AS line, round(abs(lat - (-87.45::DOUBLE + least(greatest(round_even((lat + 87.45::DOUBLE) / 0.1::DOUBLE, 0), 0), 1749) * 0.1::DOUBLE)), 6) AS off FROM ({ad.POINTS_SQL})")
@@ -46,12 +49,14 @@ def ring_columns(spark, sf_dir):
 # tiles, slices, text
 
 
-@query("""SELECT concat(CASE WHEN n >= 0 THEN 'N' ELSE 'S' END, lpad(CAST(abs(n) AS VARCHAR), 2, '0'), CASE WHEN w >= 0 THEN 'E' ELSE 'W' END, lpad(CAST(abs(w) AS VARCHAR), 3, '0')) AS label, CAST(n AS DOUBLE) AS north, CAST(w AS DOUBLE) AS west
-  FROM (SELECT 90 - 15 * a.range AS n, 15 * b.range - 180 AS w FROM range(12) a CROSS JOIN range(24) b)""")
+@query(f"""SELECT concat(CASE WHEN n >= 0 THEN 'N' ELSE 'S' END, lpad(CAST(abs(n) AS VARCHAR), 2, '0'), CASE WHEN w >= 0 THEN 'E' ELSE 'W' END, lpad(CAST(abs(w) AS VARCHAR), 3, '0')) AS label, CAST(n AS DOUBLE) AS north, CAST(w AS DOUBLE) AS west
+  , coalesce(k, 0) AS n FROM (SELECT 90 - 15 * a.range AS n, 15 * b.range - 180 AS w FROM range(12) a CROSS JOIN range(24) b) LEFT JOIN (SELECT 90 - 15 * least(CAST(floor((90 - lat) / 15) AS BIGINT), 11) AS n, 15 * CAST(floor((lon + 180) / 15) AS BIGINT) - 180 AS w, count(*) AS k FROM ({ad.POINTS_SQL}) GROUP BY 1, 2) USING (n, w)""")
 def tile_labels(spark, sf_dir):
-    """The globe's tiles, their bounds read back from their labels."""
+    """The globe's tiles, their bounds read back from their labels, and the points in each."""
     at = tables.tile_bounds(F.col("label"))
-    return tables.all_tiles(spark).select("label", at["north"].alias("north"), at["west"].alias("west"))
+    north, west = 90 - 15 * F.least(F.floor((90 - F.col("lat")) / 15), F.lit(11)), 15 * F.floor((F.col("lon") + 180) / 15) - 180
+    held = ad.points(spark, sf_dir).groupBy(tables.tile_label(north, west).alias("label")).agg(F.count("*").alias("n"))
+    return tables.all_tiles(spark).join(held, "label", "left").select("label", at["north"].alias("north"), at["west"].alias("west"), F.coalesce("n", F.lit(0)).alias("n"))
 
 
 _TILED = "SELECT CAST(p_size % 12 AS INT) AS i, CAST(p_partkey % 24 AS INT) AS j, min(p_partkey) AS v FROM part GROUP BY 1, 2"
@@ -147,14 +152,17 @@ def layer_sha256(spark, sf_dir):
     return stats.layer_sha256(ad.raster(spark, sf_dir).withColumn("layer", F.lit("raster")), ["layer"], "v")
 
 
-@query(f"SELECT 'changed' AS layer, true AS differs UNION ALL SELECT 'lone' AS layer, true AS differs")
+_CHANGED = f"SELECT layer, r, c, CASE WHEN layer = 'changed' AND r = 7 AND c = 7 THEN -1 ELSE v END AS v FROM ({ad.RASTER_SQL}) CROSS JOIN (VALUES ('same'), ('changed'), ('lone')) l(layer)"
+
+
+@query(f"""SELECT layer, a.sha256 AS left_sha256, b.sha256 AS right_sha256 FROM ({digest_sql(f"SELECT layer, r, c, v FROM ({ad.RASTER_SQL}) CROSS JOIN (VALUES ('same'), ('changed')) l(layer)")}) a FULL JOIN ({digest_sql(_CHANGED)}) b USING (layer) WHERE a.sha256 IS DISTINCT FROM b.sha256""")
 def checksum_differences(spark, sf_dir):
     """A store against one with a layer changed and a layer more."""
     x = ad.raster(spark, sf_dir)
     both = x.withColumn("layer", F.lit("same")).union(x.withColumn("layer", F.lit("changed")))
     other = both.withColumn("v", F.when((F.col("layer") == "changed") & (F.col("r") == 7) & (F.col("c") == 7), -1).otherwise(F.col("v"))).union(x.withColumn("layer", F.lit("lone")))
     a, b = (stats.layer_sha256(t, ["layer"], "v") for t in (both, other))
-    return stats.checksum_differences(a, b, ["layer"]).select("layer", (~F.col("left").eqNullSafe(F.col("right"))).alias("differs"))
+    return stats.checksum_differences(a, b, ["layer"]).select("layer", F.col("left").alias("left_sha256"), F.col("right").alias("right_sha256"))
 
 
 @query(f"""WITH w AS (SELECT CAST(r // 4 AS INT) AS wr, CAST(c // 4 AS INT) AS wc, count(*) AS k, bool_and(v % 11 <> 0) AS ok FROM ({ad.RASTER_SQL}) GROUP BY 1, 2), g AS (SELECT wr, wc, row_number() OVER (ORDER BY wr, wc) - 1 AS i, count(*) OVER () AS total FROM w WHERE k = 16 AND ok)
