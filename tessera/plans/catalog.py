@@ -491,7 +491,11 @@ def layer_checksum(spark, sf_dir):
 _CUT = "CASE WHEN ceil(least({a},{b})) <= floor(greatest({a},{b})) AND {a} <> {b} THEN list_transform(range(CAST(ceil(least({a},{b})) AS BIGINT), CAST(floor(greatest({a},{b})) AS BIGINT) + 1), lambda k: (k - {a}) / ({b} - {a})) ELSE [] END"
 
 
-@query(f"""WITH s AS (SELECT user_id AS line, (lon + 180) / 2 AS x0, (lat + 90) / 2 AS y0, (lon2 + 180) / 2 AS x1, (lat2 + 90) / 2 AS y1, sqrt(pow(lon2 - lon, 2) + pow(lat2 - lat, 2)) AS len FROM ({_SEG}) WHERE abs(lon2 - lon) <= 180),
+_ACROSS = f"SELECT *, CASE WHEN lon2 + 2 * side - lon <> 0 THEN lat + (lat2 - lat) * (side - lon) / (lon2 + 2 * side - lon) ELSE lat END AS cut FROM (SELECT *, CASE WHEN lon > 0 THEN 180.0::DOUBLE ELSE -180.0::DOUBLE END AS side FROM ({_SEG}) WHERE abs(lon2 - lon) > 180)"
+_SPLIT = f"SELECT user_id, lat, lon, lat2, lon2 FROM ({_SEG}) WHERE abs(lon2 - lon) <= 180 UNION ALL SELECT user_id, lat, lon, cut, side FROM ({_ACROSS}) UNION ALL SELECT user_id, cut, -side, lat2, lon2 FROM ({_ACROSS})"
+
+
+@query(f"""WITH s AS (SELECT user_id AS line, (lon + 180) / 2 AS x0, (lat + 90) / 2 AS y0, (lon2 + 180) / 2 AS x1, (lat2 + 90) / 2 AS y1, sqrt(pow(lon2 - lon, 2) + pow(lat2 - lat, 2)) AS len FROM ({_SPLIT})),
   l AS (SELECT line, round(sum(len), 6) AS length FROM s GROUP BY 1),
   t AS (SELECT *, list_sort(list_concat([0.0::DOUBLE], {_CUT.format(a='x0', b='x1')}, {_CUT.format(a='y0', b='y1')}, [1.0::DOUBLE])) AS t FROM s WHERE line % 5 <> 0),
   u AS (SELECT *, unnest(range(1, len(t))) AS i FROM t),
@@ -500,7 +504,8 @@ _CUT = "CASE WHEN ceil(least({a},{b})) <= floor(greatest({a},{b})) AND {a} <> {b
   k AS (SELECT c.*, row_number() OVER (PARTITION BY r, c ORDER BY length, c.line DESC) AS n, min(c.line) OVER (PARTITION BY r, c) <> max(c.line) OVER (PARTITION BY r, c) AS overlap FROM c JOIN l ON c.line = l.line)
   SELECT r, c, line % 5 AS code, overlap FROM k WHERE n = 1""")
 def line_burn(spark, sf_dir):
-    segs = _segments(spark, sf_dir).where(F.abs(F.col("lon2") - F.col("lon")) <= 180).withColumnRenamed("user_id", "line")
+    """Lines burnt with the code of a cell's shortest; segments across the dateline are cut there."""
+    segs = geometry.split_dateline(_segments(spark, sf_dir)).withColumnRenamed("user_id", "line")
     length = segs.groupBy("line").agg(F.round(F.sum(F.sqrt(F.pow(F.col("lon2") - F.col("lon"), F.lit(2)) + F.pow(F.col("lat2") - F.col("lat"), F.lit(2)))), 6).alias("length"))
     return lines.burn_lines(segs.join(length, "line").withColumn("code", F.col("line") % 5), 2.0, 90, 180)
 
