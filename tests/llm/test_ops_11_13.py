@@ -274,3 +274,42 @@ def test_private_query(spark):
         base = [f"{personal_data.KINDS[k]}:{a}:{b}" for k, a, b in sorted(brute_base(rows[r.doc_id].text))]
         assert r.base_sha256 == hashlib.sha256(",".join(base).encode()).hexdigest() and set(base) <= set(r.spans.split(",")) | {""}
         assert [r.n_email, r.n_ip, r.n_card, r.n_phone] == [sum(x.startswith(k + ":") for x in base) for k in personal_data.KINDS[:4]]
+
+
+# --- bounds of the other operators
+
+
+def test_samples_are_of_rows(spark):
+    """A repeated id gives no more rows than the sample says, and no text is longer than it says."""
+    from tessera.llm import byte_cnn, toxicity
+
+    labels = spark.createDataFrame([(i, i % 2) for i in (2, 4, 5, 7) for _ in range(30)], "doc_id long, quality int").selectExpr("*", "quality as toxic")
+    docs = spark.createDataFrame([(i, f"text {k % 3}") for i in (2, 4, 5, 7) for k in range(50)] + [(4, "x" * (byte_cnn.LONGEST + 1))], "doc_id long, text string")
+    for sample in (1, (2, 3), 500):
+        texts, y = byte_cnn.training_rows(docs, labels, "quality", sample)
+        most = sample if isinstance(sample, tuple) else (sample, sample)
+        assert sum(y == 0) <= most[0] and sum(y == 1) <= most[1] and len(texts) == len(y) > 0 and max(map(len, texts)) < 9
+    assert toxicity.toxicity_scores(docs, labels, (1, 1)).count() == 201
+
+
+def test_memos_keep_no_long_words():
+    from tessera.llm import common, piece_codec, toxicity, wordbpe
+
+    long, short = "q" * 400, "plain words here"
+    codec, bpe, lexicon = piece_codec.load(), wordbpe.load(), toxicity.Lexicon({"scum": 0.9})
+    for use, memo in ((codec.encode, codec.memo), (bpe.encode, bpe.memo), (lexicon.score, lexicon.seen)):
+        use(f"{short} {long}")
+        assert memo and max(len(k) for k in memo) <= common.KEPT_LETTERS
+
+
+def test_copies_make_no_terms():
+    """What near copies of one toxic text share is no term; what many toxic texts share is."""
+    from tessera.llm import toxicity
+
+    rng = np.random.default_rng(0)
+    word = lambda: "".join(rng.choice(list("abcdefghij"), 7))
+    shared = " ".join(word() for _ in range(60))
+    toxic = [f"{shared} moron {word()}" for _ in range(300)] + [" ".join([*(word() for _ in range(40)), "moron"]) for _ in range(40)]
+    clean = [" ".join(word() for _ in range(40)) for _ in range(300)]
+    lexicon = toxicity.mine([*toxic, *clean], np.array([1] * len(toxic) + [0] * len(clean)))
+    assert set(lexicon.terms) == {"moron"}
