@@ -34,15 +34,38 @@ def crossed_cells(segs: DataFrame, res: float, nlat: int, nlon: int) -> DataFram
     return out.withColumns({"r": cell(y0, y1, nlat), "c": cell(x0, x1, nlon)}).drop("_t", "_m")
 
 
-def burn_lines(segs: DataFrame, res: float, nlat: int, nlon: int, line: str = "line", code: str = "code", length: str = "length", nodata: int = 0) -> DataFrame:
+def walked_cells(segs: DataFrame, res: float, nlat: int, nlon: int) -> DataFrame:
+    """A row for each cell of a segment's walk, with ``r`` and ``c``: one cell for each column, or for each row where it is steeper.
+
+    The trace of one cell's width from the first end's cell to the last one's that a
+    raster library draws by default: after i of the longer side's n steps the shorter
+    side has gone floor((2 i m + n - 1) / 2 n) of its m. Every cell that it has is one
+    beside the segment or passed by it; of those that ``crossed_cells`` gives it
+    leaves out the corners. A row's upper edge belongs to it, counted from the north.
+    """
+    col = lambda x: F.floor((F.col(x) + 180) / res)
+    row = lambda y: nlat - 1 - F.floor((90 - F.col(y)) / res)
+    whole = segs.where("lat is not null and lon is not null and lat2 is not null and lon2 is not null")
+    at = whole.withColumns({"_x": col("lon"), "_y": row("lat"), "_dx": col("lon2") - col("lon"), "_dy": row("lat2") - row("lat")})
+    flat = F.abs("_dx") >= F.abs("_dy")
+    at = at.withColumns({"_n": F.greatest(F.abs("_dx"), F.abs("_dy")), "_m": F.least(F.abs("_dx"), F.abs("_dy"))}).withColumn("_i", F.explode(F.sequence(F.lit(0).cast("long"), F.col("_n"))))
+    gone = F.when(F.col("_n") == 0, F.lit(0)).otherwise(F.floor((2 * F.col("_i") * F.col("_m") + F.col("_n") - 1) / F.when(F.col("_n") > 0, 2 * F.col("_n"))))
+    step = lambda long, d: F.signum(F.col(d)) * F.when(long, F.col("_i")).otherwise(gone)
+    out = at.withColumns({"r": (F.col("_y") + step(~flat, "_dy")).cast("int"), "c": (F.col("_x") + step(flat, "_dx")).cast("int")})
+    return out.where(F.col("r").between(0, nlat - 1) & F.col("c").between(0, nlon - 1)).drop("_x", "_y", "_dx", "_dy", "_n", "_m", "_i")
+
+
+def burn_lines(segs: DataFrame, res: float, nlat: int, nlon: int, line: str = "line", code: str = "code", length: str = "length", nodata: int = 0, cells=crossed_cells) -> DataFrame:
     """(r, c, code, overlap): a cell takes the code of its shortest line (of equal ones the last); overlap: more than one line is there.
 
+    cells: ``crossed_cells``, all that a segment passes, or ``walked_cells``.
+
     Lines of code ``nodata`` burn nothing. One aggregation with map-side combine,
     however many lines meet in a cell.
     """
-    cells = crossed_cells(segs.where(F.col(code) != nodata), res, nlat, nlon)
+    met = cells(segs.where(F.col(code) != nodata), res, nlat, nlon)
     best = F.max(F.struct((-F.col(length)).alias("a"), F.col(line).alias("b"), F.col(code).alias("v")))
-    return cells.groupBy("r", "c").agg(best.alias("best"), (F.min(line) != F.max(line)).alias("overlap")).select("r", "c", F.col("best.v").alias(code), "overlap")
+    return met.groupBy("r", "c").agg(best.alias("best"), (F.min(line) != F.max(line)).alias("overlap")).select("r", "c", F.col("best.v").alias(code), "overlap")
 
 
 def _reach(res: float) -> float:

@@ -4,9 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tessera.operators import cell_index, kernels, polygons, states
+from tessera.operators import cell_index, geometry, kernels, lines, polygons, states
 from tessera.plans import adapters as ad
-from tessera.plans.catalog import _BOX, _BURN, _OVER, _U, R, _boxes, _v, query, r6
+from tessera.plans.catalog import _BOX, _BURN, _OVER, _SPLIT, _U, R, _boxes, _segments, _v, query, r6
 from tessera.sources import chunks, ordinals
 from tessera.sources.scratch import kept, scratch_path
 
@@ -100,6 +100,20 @@ def record_fields(spark, sf_dir):
     return ordinals.records(spark, path).select(parsed.alias("p")).select("p.*")
 
 
+# lines
+
+_WALK = f"SELECT line, x, y, dx, dy, greatest(abs(dx), abs(dy)) AS n, least(abs(dx), abs(dy)) AS m FROM (SELECT user_id AS line, floor((lon + 180) / 2) AS x, 89 - floor((90 - lat) / 2) AS y, floor((lon2 + 180) / 2) - floor((lon + 180) / 2) AS dx, floor((90 - lat) / 2) - floor((90 - lat2) / 2) AS dy FROM ({_SPLIT}))"
+
+
+@query(f"""SELECT line, count(*) AS cells, CAST(sum(r) AS BIGINT) AS rows_sum, CAST(sum(c) AS BIGINT) AS cols_sum FROM (
+  SELECT line, CAST(y + sign(dy) * CASE WHEN abs(dx) >= abs(dy) THEN g ELSE i END AS INT) AS r, CAST(x + sign(dx) * CASE WHEN abs(dx) >= abs(dy) THEN i ELSE g END AS INT) AS c
+  FROM (SELECT *, CASE WHEN n = 0 THEN 0 ELSE floor((2 * i * m + n - 1) / (2 * n)) END AS g FROM (SELECT *, unnest(range(0, CAST(n AS BIGINT) + 1)) AS i FROM ({_WALK})))) WHERE r BETWEEN 0 AND 89 AND c BETWEEN 0 AND 179 GROUP BY 1""")
+def line_walk(spark, sf_dir):
+    """Cells of each line's walk, a cell a column or row."""
+    segs = geometry.split_dateline(_segments(spark, sf_dir)).withColumnRenamed("user_id", "line")
+    return lines.walked_cells(segs, 2.0, 90, 180).groupBy("line").agg(F.count("*").alias("cells"), F.sum("r").alias("rows_sum"), F.sum("c").alias("cols_sum"))
+
+
 # clips
 
 

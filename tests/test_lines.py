@@ -92,3 +92,37 @@ layers:
     first = capsys.readouterr().out
     assert cli.main(["checksum", "--store", public], spark) == 0
     assert capsys.readouterr().out == first and len(first.splitlines()) == 2
+
+
+def walked(x0, y0, x1, y1):
+    """The walk step by step, with its running error."""
+    dx, dy, sx, sy = abs(x1 - x0), abs(y1 - y0), (x1 > x0) - (x1 < x0), (y1 > y0) - (y1 < y0)
+    n, m, x, y, out = max(dx, dy), min(dx, dy), x0, y0, []
+    error = 2 * m - n
+    for _ in range(n + 1):
+        out.append((y, x))
+        side = error > 0
+        error += 2 * m - (2 * n if side else 0)
+        if dx >= dy:
+            x, y = x + sx, y + sy * side
+        else:
+            x, y = x + sx * side, y + sy
+    return out
+
+
+def test_walk(spark):
+    """Equal to the walk with a running error; single cells wide, from end to end, and next to what the segment passes."""
+    rng = np.random.default_rng(6)
+    segs = [(i, *map(float, rng.uniform(-80, 80, 1)), *map(float, rng.uniform(-170, 170, 1)), *map(float, rng.uniform(-80, 80, 1)), *map(float, rng.uniform(-170, 170, 1))) for i in range(60)]
+    segs += [(100, 0.5, 0.5, 0.5, 9.5), (101, 0.5, 0.5, 9.5, 0.5), (102, 0.5, 0.5, 5.5, 5.5), (103, 5.5, 5.5, 0.5, 0.5), (104, 3.2, 3.2, 3.3, 3.3), (105, 1.0, 1.0, 4.0, 9.0)]
+    table = spark.createDataFrame(segs, "line long, lat double, lon double, lat2 double, lon2 double")
+    got = {}
+    for x in lines.walked_cells(table, 1.0, 180, 360).select("line", "r", "c").collect():
+        got.setdefault(x.line, []).append((x.r, x.c))
+    row, col = (lambda y: 179 - math.floor(90 - y)), (lambda x: math.floor(x + 180))
+    assert {k: sorted(v) for k, v in got.items()} == {i: sorted(walked(col(b), row(a), col(d), row(c))) for i, a, b, c, d in segs}
+    passed = {(x.line, x.r, x.c) for x in lines.crossed_cells(table.where("line < 100"), 1.0, 180, 360).collect()}
+    mine = {(k, *v) for k, vs in got.items() if k < 100 for v in vs}
+    assert len(mine) < len(passed) and all(any((k, r + i, c + j) in passed for i in (-1, 0, 1) for j in (-1, 0, 1)) for k, r, c in mine)
+    burnt = lines.burn_lines(table.where("line in (100, 101)").withColumns({"code": F.col("line") - 99, "length": F.lit(9.0)}), 1.0, 180, 360, cells=lines.walked_cells)
+    assert {(x.r, x.c): (x.code, x.overlap) for x in burnt.collect()} == {(90, 180 + k): (1, False) for k in range(1, 10)} | {(90 + k, 180): (2, False) for k in range(1, 10)} | {(90, 180): (2, True)}
