@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessera.functions.grid import wrap_lon
+from tessera.sources.copies import copied, files_below
 from tessera.sources.readers import SourceMismatch
 
 
@@ -47,12 +48,11 @@ def array_stats(spark: SparkSession, store: str) -> DataFrame:
 
 
 def copy_tree(spark: SparkSession, source: str, target: str) -> tuple[int, int]:
-    """Copy a folder as it is, file by file, and give its (files, bytes); raises if the copy has others."""
-    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
-    a, b = jvm.org.apache.hadoop.fs.Path(source), jvm.org.apache.hadoop.fs.Path(target)
-    if b.getFileSystem(conf).exists(b):
+    """Copy a folder as it is, its files dealt over tasks, and give its (files, bytes); raises if the copy has others."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(target)
+    if place.getFileSystem(spark._jsc.hadoopConfiguration()).exists(place):
         raise SourceMismatch(f"{target} exists")
-    jvm.org.apache.hadoop.fs.FileUtil.copy(a.getFileSystem(conf), a, b.getFileSystem(conf), b, False, conf)
+    copied(files_below(spark, source), target)
     want, got = tree_stats(spark, source), tree_stats(spark, target)
     if want != got:
         raise SourceMismatch(f"copied {got} of {want} files and bytes")

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from tessera.functions.grid import TIERS, dense_grid, shape
 from tessera.operators.stats import layer_sha256, present
 from tessera.sources.contract import Contract, native_deg
+from tessera.sources.copies import copied, files_below
 
 #: What a layer's mask is called after it.
 MASK = "__validity"
@@ -127,11 +128,17 @@ def strip_plan(layers: DataFrame, licences: DataFrame) -> DataFrame:
 
 
 def export_public(spark: SparkSession, store: str, keep: list[str], out: str) -> None:
-    """The kept layers, their masks and the filtered manifest; the two stores must not contain one another."""
+    """The kept layers, their masks and the filtered manifest; the two stores must not contain one another.
+
+    Files are copied as they are, by tasks; no row is written anew.
+    """
     a, b = Path(store).resolve(), Path(out).resolve()
     if a == b or a in b.parents or b in a.parents:
         raise ValueError(f"{out} overlaps {store}")
     wanted = [*keep, *[x + MASK for x in keep]]
-    read_store(spark, store).where(F.col("layer").isin(wanted)).write.partitionBy("tier", "layer").parquet(out)
+    if b.exists():
+        raise ValueError(f"{out} exists")
+    files = files_below(spark, store).where(F.regexp_extract("inner", r"^tier=[^/]+/layer=([^/]+)/[^/]+$", 1).isin(wanted))
+    copied(files, str(b))
     data = read_manifest(store)
     write_manifest(data | {"layers": [x for x in data["layers"] if x["id"] in keep]}, out)
