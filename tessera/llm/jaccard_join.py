@@ -60,6 +60,24 @@ _ANSWERS_SQL = "block long, kind int, a binary, b binary, c binary"
 _SETS_SQL = "doc_id long, text_id long, n long, d0 long, d1 long, tokens binary"
 
 
+def _planes(x: np.ndarray) -> bytes:
+    """Numbers as bytes, all lowest bytes first: planes of small numbers' high bytes are zeros, which shuffles compress."""
+    return np.ascontiguousarray(x).view(np.uint8).reshape(len(x), -1).T.tobytes()
+
+
+def _numbers(raw: bytes, kind) -> np.ndarray:
+    return np.ascontiguousarray(np.frombuffer(raw, np.uint8).reshape(np.dtype(kind).itemsize, -1).T).view(kind).ravel()
+
+
+def _steps(tokens: np.ndarray) -> bytes:
+    """Ascending tokens as planes of their differences."""
+    return _planes(np.diff(tokens, prepend=np.uint64(0)))
+
+
+def _climbed(raw: bytes) -> np.ndarray:
+    return np.cumsum(_numbers(raw, np.uint64), dtype=np.uint64)
+
+
 def least_overlap(n: np.ndarray, similarity: tuple[int, int] = SIMILARITY) -> np.ndarray:
     """Tokens that a set of size n shares with any partner at least: ceil(t * n)."""
     return -(-np.asarray(n, np.int64) * similarity[0] // similarity[1])
@@ -97,8 +115,8 @@ def _ask(parts: int):
                 ends = np.append(new, len(tokens))
                 for a, b in zip(cuts[:-1], cuts[1:]):
                     p = int(part[a])
-                    rows.append((p, 0, block, distinct[a:b].tobytes(), count[a:b].tobytes()))
-                    rows.append((p, 1, block, owner[ends[a] : ends[b]].tobytes(), b""))
+                    rows.append((p, 0, block, _steps(distinct[a:b]), _planes(count[a:b])))
+                    rows.append((p, 1, block, _planes(owner[ends[a] : ends[b]]), b""))
             ids, of_text, sets, held = [], [], [], 0
             return pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*rows), _REQUESTS.types)], schema=_REQUESTS)
 
@@ -144,7 +162,7 @@ def _answer(batches):
             if p != part:
                 part, asked, shared = p, {}, None
             if phase == 0:
-                asked[block] = np.frombuffer(a, np.uint64), np.frombuffer(b, np.uint16)
+                asked[block] = _climbed(a), _numbers(b, np.uint16)
             elif phase == 1:
                 if shared is None:
                     shared = closed()
@@ -154,8 +172,8 @@ def _answer(batches):
                 at = np.minimum(np.searchsorted(shared[0], tokens), len(shared[0]) - 1)
                 hit = shared[0][at] == tokens
                 if hit.any():
-                    owners = np.frombuffer(a, np.uint16)[np.repeat(hit, count)]
-                    rows.append((block, 0, owners.tobytes(), np.repeat(tokens[hit], count[hit]).tobytes(), np.repeat(shared[1][at[hit]], count[hit]).tobytes()))
+                    owners = _numbers(a, np.uint16)[np.repeat(hit, count)]
+                    rows.append((block, 0, _planes(owners), _steps(np.repeat(tokens[hit], count[hit])), _planes(np.repeat(shared[1][at[hit]], count[hit]))))
             else:
                 rows.append((block, 1, a, b, b""))
         if rows:
@@ -171,9 +189,9 @@ def _assemble(similarity: tuple[int, int]):
         ids, of_text, n = np.frombuffer(info.a, np.int64).reshape(3, -1)
         digests = np.frombuffer(info.b, np.int64).reshape(-1, 2)
         told = group[group.kind == 0]
-        owner = np.concatenate([np.frombuffer(x, np.uint16) for x in told.a] or [np.zeros(0, np.uint16)])
-        token = np.concatenate([np.frombuffer(x, np.uint64) for x in told.b] or [np.zeros(0, np.uint64)])
-        df = np.concatenate([np.frombuffer(x, np.uint32) for x in told.c] or [np.zeros(0, np.uint32)])
+        owner = np.concatenate([_numbers(x, np.uint16) for x in told.a] or [np.zeros(0, np.uint16)])
+        token = np.concatenate([_climbed(x) for x in told.b] or [np.zeros(0, np.uint64)])
+        df = np.concatenate([_numbers(x, np.uint32) for x in told.c] or [np.zeros(0, np.uint32)])
         order = np.lexsort((token, df, owner))
         token = token[order]
         cuts = np.searchsorted(owner[order], np.arange(len(ids) + 1))
