@@ -73,7 +73,8 @@ def point_density_1deg(spark, sf_dir):
 
 
 def _home(spark, sf_dir):
-    return ad.points(spark, sf_dir).groupBy(grid.row_of(F.col("lat") + _OFF, "3min").alias("r"), grid.col_of(F.col("lon") + _OFF, "3min").alias("c")).agg(F.count("*").alias("n"))
+    # a point at the pole stays in the last row
+    return ad.points(spark, sf_dir).groupBy(grid.row_of(F.least(F.col("lat") + _OFF, F.lit(90.0)), "3min").alias("r"), grid.col_of(F.col("lon") + _OFF, "3min").alias("c")).agg(F.count("*").alias("n"))
 
 
 @query(" UNION ALL ".join(f"SELECT '{t}' AS tier, CAST(r // {f} AS INT) AS r, CAST(c // {f} AS INT) AS c, CAST(sum(n) AS BIGINT) AS n FROM ({_HOME}) GROUP BY 1, 2, 3" for t, f in (("6min", 2), ("30min", 10), ("1deg", 20))))

@@ -44,3 +44,19 @@ def test_reconcile_whole_tables(spark):
     a, b = ({r[0] for r in spark.read.parquet(f"{DATA}/{t}.parquet").select(c).collect()} for t, c in (("customer", "c_custkey"), ("events", "user_id")))
     got = {(r.k, r.side) for r in catalog.QUERIES["set_reconcile_keys"](spark, DATA).collect()}
     assert got == {(k, "left") for k in a - b} | {(k, "right") for k in b - a} and got
+
+
+def same_as_sql(spark, path, name, **tables):
+    """A query against its SQL on a few rows of its own; tables: rows as SQL by table."""
+    con = duckdb.connect()
+    for table, sql in tables.items():
+        con.sql(f"copy ({sql}) to '{path}/{table}.parquet' (format parquet)")
+        con.sql(f"create view {table} as select * from '{path}/{table}.parquet'")
+    got, want = catalog.QUERIES[name](spark, str(path)).toPandas(), con.sql(catalog.ORACLE_SQL[name]).df()
+    assert len(want) and rows(got) == rows(want)
+
+
+def test_density_at_the_pole(spark, tmp_path):
+    """Points at 90 degrees, which the offset moves beyond the pole, are in the last row."""
+    pole = next(k for k in range(180001) if k * 7919 % 180001 == 180000)
+    same_as_sql(spark, tmp_path, "density_pyramid", events=f"select range + {pole - 2} as event_id, 7::bigint as user_id, 'a' as event_type, timestamp '2020-01-01' as ts, 1.0::double as value from range(5)")
