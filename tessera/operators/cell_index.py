@@ -42,12 +42,24 @@ def _side(level: Column) -> Column:
 
 
 def _path_odd(px: Column, py: Column, qx: Column, qy: Column, edge_list: Column) -> Column:
-    """Whether an odd number of edges lies between two points: along the parallel of the first, then the meridian of the second."""
+    """Whether an odd number of edges lies between two points: along the parallel of the first, then the meridian of the second.
+
+    A point's side of an edge is told once, from the edge's place on the point's
+    parallel as the scanline has it; above and below follow from that, so that the
+    path's corner and its ends may lie on an edge.
+    """
 
     def crossed(e):
-        along = ((e.y1 > py) != (e.y2 > py)) & ((px < (e.x2 - e.x1) * (py - e.y1) / F.when(e.y2 != e.y1, e.y2 - e.y1) + e.x1) != (qx < (e.x2 - e.x1) * (py - e.y1) / F.when(e.y2 != e.y1, e.y2 - e.y1) + e.x1))
-        up = ((e.x1 > qx) != (e.x2 > qx)) & ((py < (e.y2 - e.y1) * (qx - e.x1) / F.when(e.x2 != e.x1, e.x2 - e.x1) + e.y1) != (qy < (e.y2 - e.y1) * (qx - e.x1) / F.when(e.x2 != e.x1, e.x2 - e.x1) + e.y1))
-        return F.coalesce(along, F.lit(False)).cast("int") + F.coalesce(up, F.lit(False)).cast("int")
+        def left(x, y):
+            place = (e.x2 - e.x1) * (y - e.y1) / F.when(e.y2 != e.y1, e.y2 - e.y1) + e.x1
+            return F.when((e.x1 > x) == (e.x2 > x), e.x1 > x).otherwise(x < place)
+
+        def below(x, y):
+            return F.when((e.y1 > y) == (e.y2 > y), e.y1 > y).otherwise(left(x, y) != ((e.x2 > e.x1) == (e.y2 > e.y1)))
+
+        along = ((e.y1 > py) != (e.y2 > py)) & (left(px, py) != left(qx, py))
+        up = ((e.x1 > qx) != (e.x2 > qx)) & (below(qx, py) != below(qx, qy))
+        return along.cast("int") + up.cast("int")
 
     return F.aggregate(F.transform(edge_list, crossed), F.lit(0), lambda a, n: a + n) % 2 == 1
 
@@ -77,9 +89,7 @@ def cover(polygons: DataFrame, fid: str = "fid", rings: str = "rings", level: in
     flat = edges(polygons.select(F.col(fid).alias("fid"), rings), rings)
     edge = F.struct("x1", "y1", "x2", "y2")
     held = _spread(flat, level).groupBy("ix", "iy", "fid").agg(F.collect_list(edge).alias("edges"))
-    # rows and columns of this grid in units in which both are of one degree's size
-    square = flat.withColumns({"y1": F.col("y1") * 2 + 90, "y2": F.col("y2") * 2 + 90})
-    told = runs(square, 360.0 / n, n, n, ["fid"])
+    told = runs(flat, 360.0 / n, n, n, ["fid"], height=180.0 / n)
     centres = told.select("fid", F.col("r").cast("long").alias("iy"), F.explode(F.sequence(F.col("c0").cast("long"), F.col("c1").cast("long"))).alias("ix"))
     both = held.join(centres.withColumn("centre", F.lit(True)), ["fid", "ix", "iy"], "full")
     now = kept(both.select(F.lit(level).alias("level"), "ix", "iy", "fid", "edges", F.coalesce("centre", F.lit(False)).alias("centre")), "cover")
@@ -120,8 +130,26 @@ def _quartered(cells: DataFrame, level: int) -> DataFrame:
     return kids.select(F.lit(level).alias("level"), F.col("_x").alias("ix"), F.col("_y").alias("iy"), "fid", F.col("_some").alias("edges"), F.col("_in").alias("centre"))
 
 
-def contained(points: DataFrame, cells: DataFrame, id_: str = "id", lat: str = "lat", lon: str = "lon", deepest: int = DEEPEST) -> DataFrame:
-    """(id, fid) of each point and each polygon of ``cover`` that holds it; a point without a finite place is in none."""
+def _beside(px: Column, py: Column, edge_list: Column) -> Column:
+    """Whether an edge runs so close to a point that rounding tells its side; no farther than ``cover`` counts edges for cells beside them."""
+    eps = _EPS / 2
+
+    def close(e):
+        across = F.abs((e.x2 - e.x1) * (py - e.y1) / F.when(e.y2 != e.y1, e.y2 - e.y1) + e.x1 - px) <= eps
+        up = F.abs((e.y2 - e.y1) * (px - e.x1) / F.when(e.x2 != e.x1, e.x2 - e.x1) + e.y1 - py) <= eps
+        within = px.between(F.least(e.x1, e.x2) - eps, F.greatest(e.x1, e.x2) + eps) & py.between(F.least(e.y1, e.y2) - eps, F.greatest(e.y1, e.y2) + eps)
+        return within & (F.coalesce(across, F.lit(False)) | F.coalesce(up, F.lit(False)))
+
+    return F.exists(edge_list, close)
+
+
+def contained(points: DataFrame, cells: DataFrame, id_: str = "id", lat: str = "lat", lon: str = "lon", deepest: int = DEEPEST, decide: Column | None = None) -> DataFrame:
+    """(id, fid) of each point and each polygon of ``cover`` that holds it; a point without a finite place is in none.
+
+    decide: a test of ``lat``, ``lon`` and ``fid`` for points on an edge but for
+    rounding, where the polygon's source says more than its rounded corners; without
+    it they are told like all others.
+    """
     x, y = F.col(lon).cast("double"), F.col(lat).cast("double")
     at = points.where(x.between(-180, 180) & y.between(-90, 90)).select(F.col(id_).alias("id"), x.alias("_px"), y.alias("_py"))
     n = F.expr("shiftleft(1L, level)")
@@ -130,6 +158,9 @@ def contained(points: DataFrame, cells: DataFrame, id_: str = "id", lat: str = "
     met = at.join(cells, ["level", "ix", "iy"])
     cx, cy = (F.col("ix") + 0.5) * 360 * _side(F.col("level")) - 180, (F.col("iy") + 0.5) * 180 * _side(F.col("level")) - 90
     inside = F.when(F.col("edges").isNull(), F.lit(True)).otherwise(F.col("centre") != _path_odd(F.col("_px"), F.col("_py"), cx, cy, F.col("edges")))
+    if decide is not None:
+        met = met.withColumns({"lat": F.col("_py"), "lon": F.col("_px")})
+        inside = F.when(F.coalesce(_beside(F.col("_px"), F.col("_py"), F.col("edges")), F.lit(False)), decide).otherwise(inside)
     return met.where(inside).select("id", "fid")
 
 

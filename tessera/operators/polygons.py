@@ -32,7 +32,7 @@ def first_centre(v: Column, res: float, origin: float) -> Column:
 
 
 def crossings(edge_rows: DataFrame, res: float, nlat: int, carry: list[str]) -> DataFrame:
-    """(carry, r, x) of each row of cell centres that an edge crosses."""
+    """(carry, r, x) of each row of cell centres that an edge crosses; res: a row's height."""
     low, high = F.least("y1", "y2"), F.greatest("y1", "y2")
     a, b = F.greatest(first_centre(low, res, 90.0), F.lit(0)), F.least(first_centre(high, res, 90.0) - 1, F.lit(nlat - 1))
     some = edge_rows.withColumns({"_a": a, "_b": b}).where("_a <= _b").withColumn("r", F.explode(F.sequence("_a", "_b")))
@@ -41,9 +41,12 @@ def crossings(edge_rows: DataFrame, res: float, nlat: int, carry: list[str]) ->
     return some.select(*carry, F.col("r").cast("int").alias("r"), x.alias("x"))
 
 
-def runs(edge_rows: DataFrame, res: float, nlat: int, nlon: int, carry: list[str]) -> DataFrame:
-    """(carry, r, c0, c1): the columns of cell centres inside, first and last, of each polygon and row; ``carry`` names a polygon."""
-    met = crossings(edge_rows, res, nlat, carry).groupBy(*carry, "r").agg(F.array_sort(F.collect_list("x")).alias("_x"))
+def runs(edge_rows: DataFrame, res: float, nlat: int, nlon: int, carry: list[str], height: float | None = None) -> DataFrame:
+    """(carry, r, c0, c1): the columns of cell centres inside, first and last, of each polygon and row; ``carry`` names a polygon.
+
+    height: of rows, where it is not that of columns.
+    """
+    met = crossings(edge_rows, height or res, nlat, carry).groupBy(*carry, "r").agg(F.array_sort(F.collect_list("x")).alias("_x"))
     pairs = F.transform(F.sequence(F.lit(0), F.expr("size(_x) div 2 - 1")), lambda k: F.struct(F.get("_x", 2 * k).alias("a"), F.get("_x", 2 * k + 1).alias("b")))
     out = met.where(F.size("_x") > 1).withColumn("_p", F.explode(pairs))
     c0, c1 = F.greatest(first_centre(F.col("_p.a"), res, 180.0), F.lit(0)), F.least(first_centre(F.col("_p.b"), res, 180.0) - 1, F.lit(nlon - 1))

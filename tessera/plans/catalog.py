@@ -254,9 +254,13 @@ def zone_intersect(spark, sf_dir):
     return z.where("zone = 1").select("r", "c").intersect(z.where("zone = 2").select("r", "c"))
 
 
+def _box_sides(n):
+    return (n * 37 % 300 - 170).cast("double") + 0.0137, (n * 53 % 140 - 80).cast("double") + 0.0171, (n % 9 + 2).cast("double"), (n % 5 + 2).cast("double")
+
+
 def _boxes(spark, sf_dir):
     n = F.col("s_suppkey")
-    x, y, w, h = (n * 37 % 300 - 170).cast("double") + 0.0137, (n * 53 % 140 - 80).cast("double") + 0.0171, (n % 9 + 2).cast("double"), (n % 5 + 2).cast("double")
+    x, y, w, h = _box_sides(n)
     ring = F.array(*[F.struct((x + a * w).alias("x"), (y + b * h).alias("y")) for a, b in ((0, 0), (1, 0.25), (1, 1), (0, 0.75))])
     return ad.read(spark, sf_dir, "supplier").select(n.alias("fid"), (n % 11 + 1).cast("int").alias("code"), (w * h).alias("size"), ring.alias("ring"))
 

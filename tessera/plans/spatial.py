@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from tessera.operators import cell_index, geometry, kernels, lines, polygons, states
 from tessera.plans import adapters as ad
-from tessera.plans.catalog import _BOX, _BURN, _OVER, _SPLIT, _U, R, _boxes, _segments, _v, query, r6
+from tessera.plans.catalog import _BOX, _BURN, _OVER, _SPLIT, _U, R, _box_sides, _boxes, _segments, _v, query, r6
 from tessera.sources import chunks, ordinals
 from tessera.sources.scratch import kept, scratch_path
 
@@ -45,11 +45,18 @@ _CORNERS = "SELECT fid, x + a1 * w AS lon, y + b1 * h AS lat, x + a2 * w AS lon2
 _INSIDE = f"SELECT id, fid FROM ({ad.PRIMARY_SQL}) JOIN ({_BOX}) ON lon >= x AND lon < x + w AND lat >= y + 0.25::DOUBLE * h * (lon - x) / w AND lat < y + 0.75::DOUBLE * h + 0.25::DOUBLE * h * (lon - x) / w"
 
 
+def _in_box():
+    """Whether a box holds a point, by its own sides: for points on an edge, where the corners are rounded."""
+    x, y, w, h = _box_sides(F.col("fid"))
+    lat, lon = F.col("lat"), F.col("lon")
+    return (lon >= x) & (lon < x + w) & (lat >= y + 0.25 * h * (lon - x) / w) & (lat < y + 0.75 * h + 0.25 * h * (lon - x) / w)
+
+
 @query(f"SELECT id, fid FROM ({_INSIDE})")
 def contained(spark, sf_dir):
-    """Each point and each polygon that holds it, by cells of several levels."""
+    """Each point and each polygon that holds it, by cells of several levels; points on an edge by the polygon's own sides."""
     boxes = _boxes(spark, sf_dir).select("fid", F.array("ring").alias("rings"))
-    return cell_index.contained(ad.primary(spark, sf_dir), cell_index.cover(boxes))
+    return cell_index.contained(ad.primary(spark, sf_dir), cell_index.cover(boxes), decide=_in_box())
 
 
 @query(f"""WITH s AS (SELECT id, fid, {_v('p.lat', 'p.lon', 'p')}, {_v('e.lat', 'e.lon', 'a')}, {_v('lat2', 'lon2', 'e')} FROM ({ad.PRIMARY_SQL}) p CROSS JOIN ({_CORNERS}) e),

@@ -60,3 +60,12 @@ def test_density_at_the_pole(spark, tmp_path):
     """Points at 90 degrees, which the offset moves beyond the pole, are in the last row."""
     pole = next(k for k in range(180001) if k * 7919 % 180001 == 180000)
     same_as_sql(spark, tmp_path, "density_pyramid", events=f"select range + {pole - 2} as event_id, 7::bigint as user_id, 'a' as event_type, timestamp '2020-01-01' as ts, 1.0::double as value from range(5)")
+
+
+CUSTOMERS = "select key::bigint as c_custkey, 1.0::double as c_acctbal from (values {}) t(key)"
+SUPPLIERS = "select key::bigint as s_suppkey, 1.0::double as s_acctbal from (values {}) t(key)"
+
+
+def test_contained_with_a_corner_on_an_edge(spark, tmp_path):
+    """The path from a point to its cell's centre turns on an edge."""
+    same_as_sql(spark, tmp_path, "contained", customer=CUSTOMERS.format("(56812), (7)"), supplier=SUPPLIERS.format("(2809), (12), (7)"))
