@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from tessera.operators.geometry import haversine, segment_distance, unit_vector
 from tessera.functions.grid import RADIUS_KM, TIERS, row_areas, shape
 from tessera.operators.stats import hist_quantiles, histogram, pair_stats
+from tessera.sources.scratch import dealt
 
 #: Greatest relative deviation of an area integral.
 INTEGRAL_TOLERANCE = 1e-3
@@ -106,7 +107,7 @@ def distances_hold(cells: DataFrame, segs: DataFrame, name: str, tier: str, samp
     nlat, nlon = shape(tier)
     res = float(TIERS[tier])
     some = evenly(cells, nlat * nlon, sample, nlon).select("r", "c", F.col(value).alias("v"))
-    met = segs.join(F.broadcast(some))
+    met = dealt(segs).join(F.broadcast(some))
     lat, lon = (F.col("r") + 0.5) * res - 90, (F.col("c") + 0.5) * res - 180
     km = segment_distance(unit_vector(lat, lon), unit_vector(F.col("lat"), F.col("lon")), unit_vector(F.col("lat2"), F.col("lon2")))
     ends = F.least(haversine(lat, lon, F.col("lat"), F.col("lon")), haversine(lat, lon, F.col("lat2"), F.col("lon2")))

@@ -33,9 +33,9 @@ def segments(points: DataFrame, line: str, order: str) -> DataFrame:
     return out.where("lat2 is not null and not (lat = lat2 and lon = lon2)")
 
 
-def segment_distance(p: list[Column], a: list[Column], b: list[Column]) -> Column:
-    """Kilometres from a point to a great-circle segment: to its foot, or to the nearer end."""
-    n = cross(a, b)
+def segment_distance(p: list[Column], a: list[Column], b: list[Column], n: list[Column] | None = None) -> Column:
+    """Kilometres from a point to a great-circle segment: to its foot, or to the nearer end. n: ``cross(a, b)`` where it is a column already."""
+    n = n or cross(a, b)
     size = F.sqrt(dot(n, n))
     foot = (dot(cross(n, p), a) <= 0) & (dot(cross(n, p), b) >= 0)
     return F.when(foot & (size > 0), F.lit(RADIUS_KM) * F.abs(F.asin(_unit(dot(p, n) / size)))).otherwise(F.lit(RADIUS_KM) * F.acos(_unit(F.greatest(dot(p, a), dot(p, b)))))

@@ -9,7 +9,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tessera.functions.grid import RADIUS_KM
-from tessera.operators.geometry import segment_distance, unit_vector
+from tessera.operators.geometry import cross, haversine, segment_distance, unit_vector
+from tessera.sources.scratch import dealt, kept
 
 
 def crossed_cells(segs: DataFrame, res: float, nlat: int, nlon: int) -> DataFrame:
@@ -68,9 +69,10 @@ def burn_lines(segs: DataFrame, res: float, nlat: int, nlon: int, line: str = "l
     return met.groupBy("r", "c").agg(best.alias("best"), (F.min(line) != F.max(line)).alias("overlap")).select("r", "c", F.col("best.v").alias(code), "overlap")
 
 
-def _reach(res: float) -> float:
-    """Kilometres from a cell's centre to its farthest point, at most (with room for rounding)."""
-    return RADIUS_KM * math.radians(res) * math.sqrt(0.5) * 1.001
+def _reach(res: float) -> Column:
+    """Kilometres from the centre of a cell of row ``r`` to its farthest point, one of its corners (with room for rounding)."""
+    lat = (F.col("r") + 0.5) * res - 90
+    return 1.001 * F.greatest(*[haversine(lat, F.lit(0.0), lat + d, F.lit(res / 2)) for d in (-res / 2, res / 2)])
 
 
 def distance_pyramid(segs: DataFrame, chain: list[int | Fraction], inside: DataFrame | None = None) -> DataFrame:
@@ -80,26 +82,33 @@ def distance_pyramid(segs: DataFrame, chain: list[int | Fraction], inside: DataF
     a cell's segments are those within its parent's least distance plus twice the
     parent's reach: the nearest one of every point of the parent is among them.
     Rows grow with segments, not with their square; least distances are combined
-    map-side. inside: (r, c) of cells whose distance is 0.
+    map-side. The segments that a level keeps are written once, before they meet the
+    cells of the next one, so no level is computed anew for those below it, and small
+    files of segments are dealt to many tasks first. inside: (r, c) of cells whose
+    distance is 0.
     """
-    near = segs.select(F.struct("lat", "lon", "lat2", "lon2").alias("s"))
     steps_down = [Fraction(a) / Fraction(b) for a, b in zip(chain[:-1], chain[1:])]
     if any(x.denominator != 1 for x in steps_down) or (180 / Fraction(chain[0])).denominator != 1:
         raise ValueError(f"{chain}: each must be a whole multiple of the next")
+    a, b, n, p = ([F.col(f"_{v}{k}") for k in "xyz"] for v in "abnp")
+    named = lambda vector, name: [x.alias(f"_{name}{k}") for x, k in zip(vector, "xyz")]
+    ends = [*named(unit_vector(F.col("lat"), F.col("lon")), "a"), *named(unit_vector(F.col("lat2"), F.col("lon2")), "b")]
+    near = dealt(segs.select("lat", "lon", "lat2", "lon2")).select(*ends).select(*a, *b, *named(cross(a, b), "n"))
     nlon = int(360 / Fraction(chain[0]))
-    near = near.withColumn("_i", F.explode(F.sequence(F.lit(0), F.lit(nlon // 2 * nlon - 1)))).select("s", (F.col("_i") / nlon).cast("int").alias("r"), (F.col("_i") % nlon).cast("int").alias("c"))
+    near = near.withColumn("_i", F.explode(F.sequence(F.lit(0), F.lit(nlon // 2 * nlon - 1)))).select(*a, *b, *n, (F.col("_i") / nlon).cast("int").alias("r"), (F.col("_i") % nlon).cast("int").alias("c"))
     for i, res in enumerate(chain):
-        p = unit_vector((F.col("r") + 0.5) * float(res) - 90, (F.col("c") + 0.5) * float(res) - 180)
-        km = segment_distance(p, unit_vector(F.col("s.lat"), F.col("s.lon")), unit_vector(F.col("s.lat2"), F.col("s.lon2")))
-        near = near.withColumn("km", km)
-        least = near.groupBy("r", "c").agg(F.min("km").alias("least"))
+        # the vectors are columns, so that each is computed once a row
+        centre = unit_vector((F.col("r") + 0.5) * float(res) - 90, (F.col("c") + 0.5) * float(res) - 180)
+        met = near.select("*", *named(centre, "p")).withColumn("km", segment_distance(p, a, b, n))
+        least = met.groupBy("r", "c").agg(F.min("km").alias("least"))
         if i == len(chain) - 1:
             out = least.select("r", "c", F.col("least").alias("km"))
             break
         k = int(steps_down[i])
         steps = F.sequence(F.lit(0), F.lit(k - 1))
-        kept = near.join(least, ["r", "c"]).where(F.col("km") <= F.col("least") + 2 * _reach(float(res)))
-        near = kept.withColumn("_a", F.explode(steps)).withColumn("_b", F.explode(steps)).select("s", (F.col("r") * k + F.col("_a")).alias("r"), (F.col("c") * k + F.col("_b")).alias("c"))
+        held = met.join(kept(least.withColumn("least", F.col("least") + 2 * _reach(float(res))), "least"), ["r", "c"]).where("km <= least")
+        near = dealt(kept(held.select(*a, *b, *n, "r", "c"), "near"))
+        near = near.withColumn("_a", F.explode(steps)).withColumn("_b", F.explode(steps)).select(*a, *b, *n, (F.col("r") * k + F.col("_a")).alias("r"), (F.col("c") * k + F.col("_b")).alias("c"))
     if inside is None:
         return out
     zero = inside.select("r", "c", F.lit(0.0).alias("_zero")).distinct()

@@ -24,3 +24,8 @@ def kept(df: DataFrame, name: str) -> DataFrame:
     path = scratch_path(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def dealt(df: DataFrame) -> DataFrame:
+    """``df`` over as many partitions as tasks run at once, twice: for few rows in few files that each make much work."""
+    return df.repartition(2 * df.sparkSession.sparkContext.defaultParallelism)

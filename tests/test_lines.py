@@ -35,6 +35,13 @@ def test_distance_pyramid(spark):
     assert all(math.isclose(v, flat[k], abs_tol=1e-6) for k, v in deep.items())
 
 
+def test_distance_levels_once(spark):
+    """The last level reads what the one above kept, dealt to many tasks; nothing of the levels above is computed again."""
+    segs = spark.createDataFrame([(0.0, 0.0, 0.0, 10.0)], "lat double, lon double, lat2 double, lon2 double").coalesce(1)
+    plan = lines.distance_pyramid(segs, [20, 5, 1])._jdf.queryExecution().toString()
+    assert "Join" not in plan and "REPARTITION_BY_NUM" in plan
+
+
 def test_octant(spark):
     ring = [(0.0, 0.0), (90.0, 0.0), (0.0, 90.0), (0.0, 0.0)]
     area = spark.createDataFrame([(ring,)], "ring array<struct<x double, y double>>").select(lines.ring_area_km2("ring")).first()[0]
