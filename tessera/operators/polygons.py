@@ -12,6 +12,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tessera.sources.scratch import dealt
+
 _ROW = "_polygon"
 
 
@@ -99,10 +101,15 @@ def half_plane(ring: Column, axis: str, bound: float, keep_above: bool) -> Colum
 
 
 def clipped(polygons: DataFrame, ring: str = "ring", west: float = -180.0, south: float = -90.0, east: float = 180.0, north: float = 90.0) -> DataFrame:
-    """``polygons`` with a ring cut to a window, four half planes one after another; rings without a part in it go."""
-    out = polygons
+    """``polygons`` with a ring cut to a window, four half planes one after another; rings without a part in it go.
+
+    Each cut is a row of its own generator, so that the next one reads its ring and
+    does not compute it anew wherever it names it.
+    """
+    out = dealt(polygons)
     for axis, bound, above in (("x", west, True), ("x", east, False), ("y", south, True), ("y", north, False)):
-        out = out.withColumn(ring, half_plane(F.col(ring), axis, bound, above))
+        cut = F.array(half_plane(F.col(ring), axis, bound, above))
+        out = out.withColumn(ring, F.explode(cut))
     return out.where(F.size(ring) > 2)
 
 

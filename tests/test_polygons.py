@@ -111,3 +111,11 @@ def test_held_or_nearest(spark, places):
     got = {r.id: (r.fid, r.km) for r in cell_index.held_or_nearest(points, ring_table(spark, mine)).collect()}
     inside = {i: min(k for k, rings in enumerate(mine) if held(rings, np.float64(lon), np.float64(lat))) for i, lat, lon in rows if lat == lat and lat is not None and any(held(rings, np.float64(lon), np.float64(lat)) for rings in mine)}
     assert len(got) == 704 and {i: v for i, (v, km) in got.items() if km == 0} == inside and all(km > 0 for i, (_, km) in got.items() if i not in inside)
+
+
+def test_each_cut_once(spark):
+    """No cut of a window holds the one before in each place where it names the ring."""
+    one = spark.createDataFrame([(1, [(0.0, 0.0), (10.0, 0.0), (10.0, 10.0), (0.0, 10.0)])], "fid int, ring array<struct<x double, y double>>")
+    cut = polygons.clipped(one, "ring", 2.0, 3.0, 8.0, 9.0)
+    assert cut.select(polygons.plane_area(F.col("ring"))).first()[0] == 36.0
+    assert cut._jdf.queryExecution().optimizedPlan().toString().count("zip_with") == 4
