@@ -194,7 +194,9 @@ def nearest(points: DataFrame, segs: DataFrame, id_: str = "id", sid: str = "sid
     than 90 degrees (``require_short``). Points without a finite place have no row;
     without segments nothing has.
     """
-    cut = kept(pieces(segs, sid, level), "pieces")
+    # of equal segments the smallest sid wins wherever one does
+    alike = segs.groupBy("lat", "lon", "lat2", "lon2").agg(F.min(sid).alias(sid))
+    cut = kept(pieces(alike, sid, level), "pieces")
     side = 2.0 / (1 << level)
     v = unit_vector(F.col("lat"), F.col("lon"))
     finite = F.col("lat").between(-90, 90) & (F.abs("lon") <= 360)
@@ -227,11 +229,17 @@ def nearest(points: DataFrame, segs: DataFrame, id_: str = "id", sid: str = "sid
     return met.groupBy("id").agg(F.min(F.struct(km.alias("km"), F.col("sid").alias("sid"))).alias("m")).select("id", "m.sid", "m.km")
 
 
-def held_or_nearest(points: DataFrame, polygons: DataFrame, id_: str = "id", fid: str = "fid", rings: str = "rings") -> DataFrame:
-    """(id, fid, km): a polygon that holds a point (the smallest fid) at 0 km, else the polygon with the nearest edge and its distance."""
+def held_or_nearest(points: DataFrame, polygons: DataFrame, id_: str = "id", fid: str = "fid", rings: str = "rings", decide: Column | None = None) -> DataFrame:
+    """(id, fid, km, held): a polygon that holds a point (the smallest fid) at 0 km, else the polygon with the nearest edge and its distance.
+
+    Of polygons with the same rings only that of the smallest fid can be found, so
+    the others go first. decide: as for ``contained``.
+    """
+    polygons = kept(polygons.groupBy(rings).agg(F.min(fid).alias(fid)), "polygons")
     flat = edges(polygons.select(F.col(fid).alias("sid"), rings), rings)
     segs = flat.select("sid", F.col("y1").alias("lat"), F.col("x1").alias("lon"), F.col("y2").alias("lat2"), F.col("x2").alias("lon2"))
     segs = segs.where("not (lat = lat2 and lon = lon2)")
-    inside = contained(points, cover(polygons, fid, rings), id_).groupBy("id").agg(F.min("fid").alias("fid"))
+    inside = kept(contained(points, cover(polygons, fid, rings), id_, decide=decide).groupBy("id").agg(F.min("fid").alias("fid")), "inside")
     outside = points.join(inside.select(F.col("id").alias(id_)), id_, "left_anti")
-    return inside.select("id", "fid", F.lit(0.0).alias("km")).union(nearest(outside, segs, id_).select("id", F.col("sid").alias("fid"), "km"))
+    found = nearest(outside, segs, id_).select("id", F.col("sid").alias("fid"), "km", F.lit(False).alias("held"))
+    return inside.select("id", "fid", F.lit(0.0).alias("km"), F.lit(True).alias("held")).union(found)

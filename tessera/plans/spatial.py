@@ -68,8 +68,8 @@ def contained(spark, sf_dir):
 def held_or_nearest(spark, sf_dir):
     """Points in a polygon at 0 km, all others with the distance to the nearest edge of any polygon."""
     boxes = _boxes(spark, sf_dir).select("fid", F.array("ring").alias("rings"))
-    found = cell_index.held_or_nearest(ad.primary(spark, sf_dir), boxes)
-    return found.select("id", (F.col("km") == 0).cast("int").alias("held"), F.round("km", 3).alias("km"))
+    found = cell_index.held_or_nearest(ad.primary(spark, sf_dir), boxes, decide=_in_box())
+    return found.select("id", F.col("held").cast("int").alias("held"), F.round("km", 3).alias("km"))
 
 
 # overlaps

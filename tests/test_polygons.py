@@ -119,3 +119,14 @@ def test_each_cut_once(spark):
     cut = polygons.clipped(one, "ring", 2.0, 3.0, 8.0, 9.0)
     assert cut.select(polygons.plane_area(F.col("ring"))).first()[0] == 36.0
     assert cut._jdf.queryExecution().optimizedPlan().toString().count("zip_with") == 4
+
+
+def test_copies_of_a_polygon_meet_points_once(spark, monkeypatch):
+    """Copies make no cells and no pieces of their own; the smallest fid of them is named."""
+    ring = [[(0.0, 0.0), (4.0, 0.0), (4.0, 4.0), (0.0, 4.0)]]
+    points = spark.createDataFrame([(1, 2.0, 2.0), (2, 2.0, 9.0)], "id long, lat double, lon double")
+    tables = {}
+    monkeypatch.setattr(cell_index, "kept", lambda df, name: tables.setdefault(name, df))
+    got = {x.id: (x.fid, x.held) for x in cell_index.held_or_nearest(points, ring_table(spark, [ring] * 20)).collect()}
+    assert got == {1: (0, True), 2: (0, False)}
+    assert {x.fid for x in tables["cover"].collect()} == {0} and tables["pieces"].select("sid").distinct().count() == 1
