@@ -61,12 +61,19 @@ def burn_lines(segs: DataFrame, res: float, nlat: int, nlon: int, line: str = "l
 
     cells: ``crossed_cells``, all that a segment passes, or ``walked_cells``.
 
-    Lines of code ``nodata`` burn nothing. One aggregation with map-side combine,
-    however many lines meet in a cell.
+    Lines of code ``nodata`` burn nothing. Lines are ranked first, so that a cell's
+    best is the least of whole numbers, combined in a hash map before anything is
+    sorted or leaves its task, however many lines meet in a cell.
     """
-    met = cells(segs.where(F.col(code) != nodata), res, nlat, nlon)
-    best = F.max(F.struct((-F.col(length)).alias("a"), F.col(line).alias("b"), F.col(code).alias("v")))
-    return met.groupBy("r", "c").agg(best.alias("best"), (F.min(line) != F.max(line)).alias("overlap")).select("r", "c", F.col("best.v").alias(code), "overlap")
+    some = segs.where(F.col(code) != nodata)
+    keys = [F.col(length), F.col(line), F.col(code)]
+    order = [F.desc_nulls_last(-F.col(length)), F.desc_nulls_last(line), F.desc_nulls_last(code)]
+    ranked = kept(some.select(*keys).distinct().orderBy(*order).select("*", F.monotonically_increasing_id().alias("_rank")), "ranks")
+    told = ranked.select(*[x.alias(f"_{i}") for i, x in enumerate(keys)], "_rank")
+    same = [x.eqNullSafe(F.col(f"_{i}")) for i, x in enumerate(keys)]
+    met = cells(some.join(told, same[0] & same[1] & same[2]).drop("_0", "_1", "_2"), res, nlat, nlon)
+    best = met.groupBy("r", "c").agg(F.min("_rank").alias("_rank"), (F.min(line) != F.max(line)).alias("overlap"))
+    return best.join(ranked.select("_rank", code), "_rank").select("r", "c", code, "overlap")
 
 
 def _reach(res: float) -> Column:

@@ -35,6 +35,14 @@ def test_distance_pyramid(spark):
     assert all(math.isclose(v, flat[k], abs_tol=1e-6) for k, v in deep.items())
 
 
+def test_burning_sorts_no_cells(spark):
+    """Cells are combined in hash maps: a sort of all of them would spill."""
+    segs = spark.createDataFrame([(1, 7, 9.0, 0.5, 0.5, 0.5, 9.5), (2, 3, 9.0, 0.5, 0.5, 0.5, 3.5)], "line int, code int, length double, lat double, lon double, lat2 double, lon2 double")
+    burnt = lines.burn_lines(segs, 1.0, 180, 360)
+    assert "SortAggregate" not in burnt._jdf.queryExecution().executedPlan().toString()
+    assert {x.c - 180: x.code for x in burnt.collect()} == {k: 3 if k < 4 else 7 for k in range(10)}  # of equal ones the last
+
+
 def test_distance_levels_once(spark):
     """The last level reads what the one above kept, dealt to many tasks; nothing of the levels above is computed again."""
     segs = spark.createDataFrame([(0.0, 0.0, 0.0, 10.0)], "lat double, lon double, lat2 double, lon2 double").coalesce(1)
